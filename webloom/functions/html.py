@@ -9,6 +9,7 @@ browser's full tree builder does.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from html import unescape
 from html.entities import html5
 
@@ -38,6 +39,9 @@ SPECIAL = ENDS_PARAGRAPH | VOID | RAW_TEXT | set(
     "template textarea tfoot th thead title tr".split()
 )
 SCOPE_LIMITS = set("applet caption html marquee object table td template th foreignobject desc".split())
+PARAGRAPH_LIMITS = SCOPE_LIMITS | {"button"}
+LIST_LIMITS = SCOPE_LIMITS | {"ol", "ul"}
+TABLE_PARTS = set("table template tr td th tbody thead tfoot caption".split())
 # An opening tag that ends an open element of the named kind, up to a limit.
 IMPLIED_ENDS = {
     "li": ({"li"}, SPECIAL - {"address", "div", "p", "li"}),
@@ -79,7 +83,7 @@ def _attribute_text(value: str) -> str:
     return _REFERENCE.sub(decode, value) if "&" in value else value
 
 
-def _href(attributes: str, foreign: bool) -> str | None:
+def _href(attributes: str, foreign: int) -> str | None:
     for found in _ATTRIBUTE.finditer(attributes):
         name = found[1].lower()
         if name == "href" or (foreign and name == "xlink:href"):
@@ -95,17 +99,21 @@ class PageScan:
         self.hrefs: list[str] = []
         self._pieces: list[str] = []
         self._open: list[str] = []
+        self._count: dict[str, int] = defaultdict(int)  # open elements by name, as pages may nest deeply
         self._tables_end_paragraphs = False
         self._scan(html)
         self._close_down_to(0)
         self.text = "".join(self._pieces).strip(UNICODE_BLANKS)
 
     def _scan(self, html: str) -> None:
-        at, size = 0, len(html)
         self._tables_end_paragraphs = html[:200].lstrip().lower().startswith("<!doctype html")
-        while at < size:
-            found = _MARKUP.match(html, at)
-            at = found.end()
+        at = 0
+        while at is not None:
+            at = self._scan_markup(html, at)
+
+    def _scan_markup(self, html: str, at: int) -> int | None:
+        """Handle markup up to the next raw content; its end, None when all is read."""
+        for found in _MARKUP.finditer(html, at):
             kind = found.lastgroup
             if kind == "text" or kind == "stray":
                 self._add_text(found[0])
@@ -113,10 +121,10 @@ class PageScan:
                 self._end(found["end"].lower())
             elif kind == "attrs":
                 name = found["start"].lower()
-                if name in RAW_TEXT or name in RAW_WITH_REFERENCES and "svg" not in self._open:
-                    at = self._raw(html, at, name)
-                else:
-                    self._start(name, found["attrs"])
+                if name in RAW_TEXT or name in RAW_WITH_REFERENCES and not self._count["svg"]:
+                    return self._raw(html, found.end(), name)
+                self._start(name, found["attrs"])
+        return None
 
     def _raw(self, html: str, at: int, name: str) -> int:
         """Content up to the matching end tag, in which no other tag counts."""
@@ -124,7 +132,7 @@ class PageScan:
         content = html[at : end.start() if end else len(html)]
         if name == "xmp":
             self._close_paragraph()
-        if name not in NOT_VISIBLE and content and "template" not in self._open:
+        if name not in NOT_VISIBLE and content and not self._count["template"]:
             if name in RAW_WITH_REFERENCES:
                 content = unescape(content)
             if name == "title" and self.title is None:
@@ -134,7 +142,7 @@ class PageScan:
 
     def _add_text(self, text: str) -> None:
         if self._open:
-            if "template" in self._open:
+            if self._count["template"]:
                 return
             if self._open[-1] == "title" and self.title is None:
                 self.title = unescape(text)
@@ -157,8 +165,8 @@ class PageScan:
             or name in ("option", "optgroup") and self._open[-1] == "option"
         ):
             self._close_down_to(len(self._open) - 1)
-        foreign = "svg" in self._open or "math" in self._open
-        if name == "a" and "template" not in self._open:
+        foreign = self._count["svg"] or self._count["math"]
+        if name == "a" and not self._count["template"]:
             href = _href(attributes, foreign)
             if href is not None:
                 self.hrefs.append(href)
@@ -166,6 +174,7 @@ class PageScan:
             self._break_after(name)
         else:
             self._open.append(name)
+            self._count[name] += 1
 
     def _end(self, name: str) -> None:
         if name == "br":
@@ -181,9 +190,10 @@ class PageScan:
             at = self._nearest({name}, SCOPE_LIMITS)
             if at is not None:
                 del self._open[at]
+                self._count[name] -= 1
         elif name == "li":
-            self._close_nearest({name}, SCOPE_LIMITS | {"ol", "ul"})
-        elif name in ("table", "template", "tr", "td", "th", "tbody", "thead", "tfoot", "caption"):
+            self._close_nearest({name}, LIST_LIMITS)
+        elif name in TABLE_PARTS:
             self._close_nearest({name}, {"table", "template"} - {name})
         elif name in SPECIAL:
             self._close_nearest({name}, SCOPE_LIMITS - {name})
@@ -191,6 +201,11 @@ class PageScan:
             self._close_nearest({name}, SPECIAL - {name})
 
     def _nearest(self, names: set[str], limits: set[str]) -> int | None:
+        for name in names:
+            if self._count[name]:
+                break
+        else:
+            return None
         for at in range(len(self._open) - 1, -1, -1):
             if self._open[at] in names:
                 return at
@@ -205,14 +220,16 @@ class PageScan:
         return at is not None
 
     def _close_paragraph(self) -> bool:
-        return self._close_nearest({"p"}, SCOPE_LIMITS | {"button"})
+        return self._count["p"] > 0 and self._close_nearest({"p"}, PARAGRAPH_LIMITS)
 
     def _close_down_to(self, at: int) -> None:
         while len(self._open) > at:
-            self._break_after(self._open.pop())
+            name = self._open.pop()
+            self._count[name] -= 1
+            self._break_after(name)
 
     def _break_after(self, name: str) -> None:
-        if name in BREAK_AFTER and "template" not in self._open:
+        if name in BREAK_AFTER and not self._count["template"]:
             self._pieces.append("\n")
 
 

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 
-BUCKETS = 4096
+BUCKETS = 4096  # a power of two; sums of three code points stay within 32 bits
 
 
 def trigram_buckets(text: str) -> np.ndarray:
     """Bucket of each trigram of the lower-cased text, blanks runs as one blank."""
     padded = " " + " ".join(text.lower().split()) + " "
-    points = np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
-    return (points[:-2] * 961 + points[1:-1] * 31 + points[2:]) % BUCKETS
+    points = np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    return (points[:-2] * 961 + points[1:-1] * 31 + points[2:]) & (BUCKETS - 1)
 
 
 def best_languages(texts: list[str | None], model) -> list[str | None]:

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from webloom.functions.trigrams import BUCKETS, best_languages, trigram_buckets
 
 WEIGHT_SCALE = 1000
+MAX_LANGUAGES = 256
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """``weights[language, bucket]``: at most a few languages by 4,096 integers."""
+    """``weights[language, bucket]``: whole numbers, as floats for fast products
+    that stay exact."""
 
     languages: list[str]
     weights: np.ndarray
@@ -56,11 +58,13 @@ def language_weights(counts: DataFrame) -> DataFrame:
 
 
 def load_language_model(weights: DataFrame) -> LanguageModel:
-    """Dense matrix on the driver: (languages x 4,096) rows whatever the corpus size."""
+    """Dense matrix on the driver: (languages x 4,096) values whatever the corpus size."""
+    if weights.filter("bucket = -1").limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages in the training labels")
     rows = weights.collect()
     languages = sorted({row["lang"] for row in rows})
     index = {lang: at for at, lang in enumerate(languages)}
-    matrix = np.empty((len(languages), BUCKETS), np.int64)
+    matrix = np.empty((len(languages), BUCKETS))
     for row in rows:
         if row["bucket"] < 0:
             matrix[index[row["lang"]], :] = row["weight"]
