@@ -30,7 +30,7 @@ from webloom.plans.index import (
     recompute_keywords, term_counts, term_frequency, website_rows,
 )
 from webloom.plans.pages import indexable, parse_html, parse_pages
-from webloom.session import scratch_dir
+from webloom.session import scratch_dir, spread
 from webloom.sources.lines import file_number, first_lines, read_lines
 from webloom.sources.pages import pages_as_records
 from webloom.sources.warc import archive_paths, read_warc, record_fields, register_warc_source, scan_archives
@@ -73,7 +73,10 @@ class Inputs:
     # --- derived inputs -------------------------------------------------------
 
     def records(self) -> DataFrame:
-        return pages_as_records(self.table("pages"), archive_of(F.col("url")))
+        return pages_as_records(spread(self.table("pages")), archive_of(F.col("url")))
+
+    def documents(self) -> DataFrame:
+        return spread(self.table("documents").select("doc_id", "text", "lang"))
 
     def varied_records(self) -> DataFrame:
         """Response heads that differ by the language in the URL."""
@@ -84,7 +87,7 @@ class Inputs:
             .when(language == "fr", "HTTP/1.1 301\r\ncontent-type: text/html\r\n\r\n")
             .otherwise("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n")
         )
-        return self.table("pages").select(
+        return spread(self.table("pages")).select(
             F.col("page_id").alias("record_no"),
             F.col("url").alias("target_uri"),
             F.concat(head, "html").cast("binary").alias("body"),
@@ -119,7 +122,7 @@ class Inputs:
 
     @cached_property
     def model(self) -> LanguageModel:
-        weights = language_weights(trigram_counts(self.table("documents")))
+        weights = language_weights(trigram_counts(self.documents()))
         path = self.stored("language", lambda path: weights.write.mode("overwrite").parquet(path))
         return load_language_model(self.spark.read.parquet(path))
 
@@ -152,8 +155,16 @@ class Inputs:
         )
 
     def parsed(self) -> DataFrame:
-        """English pages of listed hosts, tokens and links included."""
-        return parse_pages(filter_hosts(self.records(), self.allowlist(), SITE_LINES), self.model)
+        """English pages of listed hosts with tokens and links, parsed once and stored.
+
+        Every index query reads this table, as an index run does; ``parse_pages``
+        and ``incremental_ingest`` run the parser themselves.
+        """
+        def write(path: str) -> None:
+            pages = parse_pages(filter_hosts(self.records(), self.allowlist(), SITE_LINES), self.model)
+            pages.drop("html_body", "text_body").write.mode("overwrite").parquet(path)
+
+        return self.spark.read.parquet(self.stored("parsed", write))
 
     def marked(self) -> DataFrame:
         return mark_latest(indexable(self.parsed()))
@@ -308,31 +319,31 @@ def page_links(i: Inputs) -> DataFrame:
 
 
 def detect_language_job(i: Inputs) -> DataFrame:
-    return i.table("documents").select("doc_id", detect_language(F.col("text"), i.model).alias("detected"))
+    return i.documents().select("doc_id", detect_language(F.col("text"), i.model).alias("detected"))
 
 
 def language_weights_job(i: Inputs) -> DataFrame:
-    return language_weights(trigram_counts(i.table("documents")))
+    return language_weights(trigram_counts(i.documents()))
 
 
 def tokens_job(i: Inputs) -> DataFrame:
-    return i.table("documents").select("doc_id", F.posexplode(tokens(F.col("text"))).alias("pos", "token"))
+    return i.documents().select("doc_id", F.posexplode(tokens(F.col("text"))).alias("pos", "token"))
 
 
 def lemmatised_tokens(i: Inputs) -> DataFrame:
-    words = i.table("documents").select("doc_id", tokens(F.col("text")).alias("words"))
+    words = i.documents().select("doc_id", tokens(F.col("text")).alias("words"))
     return lemmatise(words, "words", i.dictionary(), ["doc_id"])
 
 
 def keyword_truncate(i: Inputs) -> DataFrame:
-    words = i.table("documents").select(F.explode(tokens(F.col("text"))).alias("word")).distinct()
+    words = i.documents().select(F.explode(tokens(F.col("text"))).alias("word")).distinct()
     return words.select(
         "word", truncate_word(F.col("word")).alias("keyword"), truncate_word(F.col("word"), 8).alias("keyword_8")
     )
 
 
 def word_count_job(i: Inputs) -> DataFrame:
-    return i.table("documents").select("doc_id", word_count(tokens(F.col("text"))).alias("word_count"))
+    return i.documents().select("doc_id", word_count(tokens(F.col("text"))).alias("word_count"))
 
 
 def parse_pages_job(i: Inputs) -> DataFrame:
@@ -398,7 +409,7 @@ def postings_with_ids(i: Inputs) -> DataFrame:
 
 
 def dense_ids_job(i: Inputs) -> DataFrame:
-    words = i.table("documents").select(F.explode(tokens(F.col("text"))).alias("word"))
+    words = i.documents().select(F.explode(tokens(F.col("text"))).alias("word"))
     return dense_ids(words, "word").agg(
         F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"),
         F.count_distinct("id").alias("distinct_ids"), F.count_distinct("word").alias("distinct_words"),
