@@ -16,7 +16,7 @@ def tokens(text: Column) -> Column:
     ``(?U)`` makes ``\\s`` mean Unicode white space; without it a no-break space
     would be deleted and the words on either side would fuse.
     """
-    kept = F.regexp_replace(F.lower(text), r"(?U)[^a-zA-Z0-9\s]", "")
+    kept = F.regexp_replace(F.lower(text), r"(?U)[^a-zA-Z0-9\s]+", "")
     return F.filter(F.split(kept, r"(?U)\s+"), lambda word: word != "")
 
 

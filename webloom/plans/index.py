@@ -196,6 +196,8 @@ class IndexStore:
             table.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(
                 f"{self.root}/version={version}/{name}"
             )
-        commit = self.spark.createDataFrame([(version, note)], "version long, note string").coalesce(1)
-        commit.write.mode("append").parquet(f"{self.root}/commits")
+        commit = self.spark.range(1).select(
+            F.lit(version).cast("long").alias("version"), F.lit(note).alias("note")
+        )
+        commit.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
         return version

@@ -39,11 +39,11 @@ def scratch_dir(spark: SparkSession) -> str:
 def spread(df: DataFrame) -> DataFrame:
     """Give costly per-row work enough tasks when a scan has only a few.
 
-    Meant for plain scans: a table with a partition for half the cores or more,
-    which any large one has, is left as it is and does not shuffle.
+    Meant for plain scans: a table with a partition for every core, which any
+    large one has, is left as it is and does not shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores // 2 else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
