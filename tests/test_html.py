@@ -37,6 +37,8 @@ HEAD = "<!DOCTYPE html><html><head>"
         ("<html><p>a<table>b</table></p>c", "ab\nc"),  # no doctype: the table stays in the paragraph
         (HEAD + "<p>a<table>b</table>c", "a\nbc"),
         ("<html>a<![CDATA[x]]>b<?php x ?>c", "abc"),
+        ("<html><select><option>a<p>b</p><div>c<option>d</select>e", "abcde"),
+        ("<html><p>a<plaintext>b<p>&amp;", "a\nb<p>&amp;"),
         ("<html>", ""),
     ],
 )

@@ -129,10 +129,32 @@ def test_store_versions(spark, tmp_path):
     assert store.publish(first, files, "one") == 1
     merged = merge_index(store.read(), build_index(pages(spark, [r for r in CRAWL if r[0] == "b"]), lemmas(spark)))
     assert store.publish(merged, files, "two") == 2
-    assert store.current() == (2, "two")
+    assert tuple(store.current()) == (2, 2, "two")
     assert as_dict(store.read()) == brute_force([CRAWL])
 
 
+@pytest.mark.parametrize("bound", [1_000_000, 0])
+def test_appended_batches_read_as_merged(spark, tmp_path, monkeypatch, bound):
+    monkeypatch.setattr(index_plan, "REPEATED_URLS_BROADCAST", bound)
+    batches = [
+        [r for r in CRAWL if r[0] == "a"],
+        [("b", 0, "u2", "t3", "t3", ["fresh"], ["l9"]), ("b", 1, "u1", "T", "T", [], None)],
+        [("c", 0, "u1", "back", "back", ["both", "is"], ["l1"]), ("c", 1, "u6", "t", "t", ["both"], None)],
+    ]
+    store = IndexStore(spark, str(tmp_path / "index"))
+    for number, batch in enumerate(batches):
+        files = spark.createDataFrame([(f"f{number}", True)], "file_name string, processed boolean")
+        store.append(build_index(pages(spark, batch), lemmas(spark)), files)
+        assert as_dict(store.read()) == brute_force(batches[: number + 1])
+    assert store.batches_since_base() == 2
+    store.append(build_index(pages(spark, batches[2]), lemmas(spark)), files)  # the same batch again
+    assert as_dict(store.read()) == brute_force(batches)
+    store.compact()
+    assert store.batches_since_base() == 0
+    assert as_dict(store.read()) == brute_force(batches)
+    assert rows(store.files()) == [("f0", True), ("f1", True), ("f2", True)]
+
+
 def test_failed_publish_leaves_the_former_version(spark, tmp_path):
     store = IndexStore(spark, str(tmp_path / "index"))
     files = spark.createDataFrame([("f", True)], "file_name string, processed boolean")
@@ -142,7 +164,7 @@ def test_failed_publish_leaves_the_former_version(spark, tmp_path):
     broken.links = broken.links.withColumn("target_website", F.raise_error(F.lit("disk gone")).cast("string"))
     with pytest.raises(Exception, match="disk gone"):
         store.publish(broken, files)
-    assert store.current()[0] == 1
+    assert store.current()["version"] == 1
     assert store.publish(index, files) == 2
 
 

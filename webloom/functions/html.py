@@ -42,6 +42,9 @@ SCOPE_LIMITS = set("applet caption html marquee object table td template th fore
 PARAGRAPH_LIMITS = SCOPE_LIMITS | {"button"}
 LIST_LIMITS = SCOPE_LIMITS | {"ol", "ul"}
 TABLE_PARTS = set("table template tr td th tbody thead tfoot caption".split())
+# All that a list of choices may hold; other tags in it are ignored.
+SELECT_CONTENT = {"option", "optgroup", "select", "template", "hr"}
+ENDS_SELECT = {"input", "keygen", "textarea"}
 # An opening tag that ends an open element of the named kind, up to a limit.
 IMPLIED_ENDS = {
     "li": ({"li"}, SPECIAL - {"address", "div", "p", "li"}),
@@ -118,14 +121,31 @@ class PageScan:
             if kind == "text" or kind == "stray":
                 self._add_text(found[0])
             elif kind == "end":
-                self._end(found["end"].lower())
+                name = found["end"].lower()
+                if not self._count["select"] or name in SELECT_CONTENT:
+                    self._end(name)
             elif kind == "attrs":
                 name = found["start"].lower()
+                if self._count["select"] and not self._allowed_in_select(name):
+                    continue
+                if name == "plaintext":
+                    self._close_paragraph()
+                    self._pieces.append(html[found.end():])
+                    return None
                 if name in RAW_TEXT or name in RAW_WITH_REFERENCES and not self._count["svg"]:
                     return self._raw(html, found.end(), name)
                 self._start(name, found["attrs"])
         return None
 
+    def _allowed_in_select(self, name: str) -> bool:
+        if name in ENDS_SELECT:
+            self._close_nearest({"select"}, SCOPE_LIMITS)
+            return True
+        if name == "select":  # a second one ends the first
+            self._close_nearest({"select"}, SCOPE_LIMITS)
+            return False
+        return name in SELECT_CONTENT or name == "script"
+
     def _raw(self, html: str, at: int, name: str) -> int:
         """Content up to the matching end tag, in which no other tag counts."""
         end = re.compile(rf"</{name}(?=[\s/>])[^>]*+>?", re.I).search(html, at)

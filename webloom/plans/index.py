@@ -140,11 +140,14 @@ def recompute_keywords(postings: DataFrame) -> DataFrame:
 
 
 class IndexStore:
-    """Versions of the index in a shared folder.
-
-    A version becomes current with one small row appended to ``commits`` after
-    all its tables are written; a failed attempt leaves that row out and its
-    folder is written over. Nothing is overwritten while it is being read.
+    """The index in a shared folder: a merged base and the batches added since.
+
+    Adding a batch writes that batch only, so its cost does not grow with the
+    index. Reading takes the last version of each page; ``compact`` stores the
+    merged result as the new base. A version counts from the moment its small
+    row is appended to ``commits``, after all its tables are written: a failed
+    attempt leaves that row out and its files are written over. Nothing is
+    overwritten while it is current.
     """
 
     # Stored order of each table: range-partitioned, so that file statistics
@@ -161,43 +164,88 @@ class IndexStore:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _commits(self) -> DataFrame | None:
+    def current(self):
+        """Last commit ``(version, base, note)``, None for a new store."""
         try:
-            return self.spark.read.schema("version long, note string").parquet(f"{self.root}/commits")
+            commits = self.spark.read.schema("version long, base long, note string").parquet(f"{self.root}/commits")
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
+        return commits.orderBy(F.desc("version")).first()
 
-    def current(self) -> tuple[int, str] | None:
-        commits = self._commits()
-        row = commits.orderBy(F.desc("version")).first() if commits is not None else None
-        return (row["version"], row["note"]) if row else None
-
-    def _table(self, version: int, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/version={version}/{name}")
+    def _live(self, name: str) -> DataFrame:
+        """Rows of the base and of the batches since, with their ``version``."""
+        head = self.current()
+        return self.spark.read.parquet(f"{self.root}/{name}").filter(
+            F.col("version").between(head["base"], head["version"])
+        )
 
     def read(self) -> Index | None:
-        current = self.current()
-        if current is None:
+        head = self.current()
+        if head is None:
             return None
-        return Index(**{field.name: self._table(current[0], field.name) for field in fields(Index)})
+        tables = {field.name: self._live(field.name) for field in fields(Index)}
+        if head["base"] < head["version"]:
+            pages = _repeated(tables["websites"], "url")
+            archives = _repeated(tables["keyword_parts"].select("file_id", "version").distinct(), "file_id")
+            tables = {
+                "websites": _last_only(tables["websites"], pages, "url"),
+                "keyword_parts": _last_only(tables["keyword_parts"], archives, "file_id"),
+                "postings": _last_only(tables["postings"], pages, "url"),
+                "links": _last_only(tables["links"], pages.withColumnRenamed("url", "source_url"), "source_url"),
+            }
+        return Index(**{name: table.drop("version") for name, table in tables.items()})
 
     def files(self) -> DataFrame | None:
-        current = self.current()
-        return self._table(current[0], "files") if current else None
+        """The ledger; a file stays processed once any batch has marked it."""
+        if self.current() is None:
+            return None
+        return self._live("files").groupBy("file_name").agg(F.bool_or("processed").alias("processed"))
+
+    def append(self, batch: Index, files: DataFrame, note: str = "") -> int:
+        """Add a batch: its pages replace stored ones, its archives' counts too."""
+        head = self.current()
+        version = head["version"] + 1 if head else 1
+        return self._commit(version, head["base"] if head else version, batch, files, note)
 
     def publish(self, index: Index, files: DataFrame, note: str = "") -> int:
-        current = self.current()
-        version = current[0] + 1 if current else 1
+        """Store a whole index as the new base."""
+        head = self.current()
+        version = head["version"] + 1 if head else 1
+        return self._commit(version, version, index, files, note)
+
+    def compact(self) -> int:
+        return self.publish(self.read(), self.files(), self.current()["note"])
+
+    def batches_since_base(self) -> int:
+        head = self.current()
+        return head["version"] - head["base"] if head else 0
+
+    def _commit(self, version: int, base: int, index: Index, files: DataFrame, note: str) -> int:
         tables = {field.name: getattr(index, field.name) for field in fields(Index)} | {"files": files}
         for name, table in tables.items():
             order = self.LAYOUT[name]
             table.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(
-                f"{self.root}/version={version}/{name}"
+                f"{self.root}/{name}/version={version}"
             )
         commit = self.spark.range(1).select(
-            F.lit(version).cast("long").alias("version"), F.lit(note).alias("note")
+            F.lit(version).cast("long").alias("version"), F.lit(base).cast("long").alias("base"), F.lit(note).alias("note")
         )
         commit.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
         return version
+
+
+def _repeated(rows: DataFrame, key: str) -> DataFrame:
+    """Keys stored in several versions, with the last one; broadcast within a checked bound."""
+    versions = rows.groupBy(key).agg(F.max("version").alias("_last"), F.count(F.lit(1)).alias("_n"))
+    return broadcast_if_small(versions.filter("_n > 1").select(key, "_last"), REPEATED_URLS_BROADCAST)
+
+
+def _last_only(rows: DataFrame, repeated: DataFrame, key: str) -> DataFrame:
+    columns = rows.columns
+    return (
+        rows.join(repeated, key, "left")
+        .filter(F.col("_last").isNull() | (F.col("_last") == F.col("version")))
+        .select(columns)
+    )

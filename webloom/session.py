@@ -46,12 +46,13 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only once the row count is known to be within ``max_rows``.
+def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = 256 << 20) -> DataFrame:
+    """Hint a broadcast only once rows and bytes are known to be within bounds.
 
-    Past the bound the frame comes back unhinted and the join shuffles, with
-    adaptive execution splitting whatever keys are hot. The count stops early,
-    as it looks for one row past the bound.
+    Past a bound the frame comes back unhinted and the join shuffles, with
+    adaptive execution splitting whatever keys are hot. The check is one
+    aggregate, so a large frame sends no more than a sum per task.
     """
-    within_bound = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if within_bound else df
+    sizes = [F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) for name in df.columns]
+    rows, data = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(sizes, F.lit(0).cast("long"))), F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and data <= max_bytes else df

@@ -3,18 +3,31 @@
 from __future__ import annotations
 
 import hashlib
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from webloom.operators.hosts import filter_hosts
 from webloom.operators.language import LanguageModel
 from webloom.operators.ledger import mark_processed, seed_ledger
-from webloom.plans.index import IndexStore, build_index, merge_index
+from webloom.plans.index import IndexStore, build_index
 from webloom.plans.pages import parse_pages
 from webloom.sources.warc import record_fields, scan_archives
 
+
+
+@dataclass(frozen=True)
+class IngestReport:
+    """Counters of one batch, taken while its pages are written."""
+
+    version: int
+    records_read: int
+    pages_valid: int
+    pages_added: int
+
+
 _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -25,27 +38,36 @@ def ingest_archives(
     dictionary: DataFrame | None,
     model: LanguageModel,
     note: str = "",
-) -> int:
-    """Index ``(file_id, path)`` archives and publish the merged result.
+    compact_after: int = 16,
+) -> IngestReport:
+    """Index ``(file_id, path)`` archives and add them to the store.
 
     Parsed pages are stored first: four tables read them and the parser, the
-    costly part, runs once. Pages, index and ledger are published together, so a
-    failure leaves the former version and its pending files as they were.
+    costly part, runs once. Index and ledger are committed together, so a failure
+    leaves the former version and its pending files as they were. After
+    ``compact_after`` batches the store is merged into a new base.
     """
     spark = store.spark
-    records = filter_hosts(record_fields(scan_archives(archives, "DROPMALFORMED")), allowlist)
-    parsed = parse_pages(records, model).select(
+    read, valid = Observation(), Observation()
+    scanned = scan_archives(archives, "DROPMALFORMED").observe(read, F.count(F.lit(1)).alias("records"))
+    parsed = parse_pages(filter_hosts(record_fields(scanned), allowlist), model).select(
         "file_id", "record_no", "url", "title", "description", "tokens", "links"
     )
+    has_fields = F.col("title").isNotNull() & F.col("description").isNotNull() & F.col("url").isNotNull()
+    parsed = parsed.observe(valid, F.count(F.lit(1)).alias("pages"), F.count_if(has_fields).alias("added"))
     staged = f"{store.root}/staged/{note or 'batch'}"
     parsed.write.mode("overwrite").parquet(f"{staged}/pages")
+    read, valid = read.get, valid.get
     batch = build_index(spark.read.parquet(f"{staged}/pages"), dictionary, staging=staged)
 
     done = archives.select(F.col("path").alias("file_name"))
-    stored, ledger = store.read(), store.files()
-    ledger = seed_ledger(done, ledger, refresh=True)
-    merged = merge_index(stored, batch) if stored else batch
-    return store.publish(merged, mark_processed(ledger, done), note)
+    store.append(batch, mark_processed(seed_ledger(done), done), note)
+    if store.batches_since_base() >= compact_after:
+        store.compact()
+    return IngestReport(
+        version=store.current()["version"], records_read=read["records"], pages_valid=valid["pages"],
+        pages_added=valid["added"],
+    )
 
 
 def ingest_stream(
@@ -79,7 +101,7 @@ def ingest_stream(
     def run(batch: DataFrame, batch_id: int) -> None:
         note = f"{stream_name}-{batch_id}"
         current = store.current()
-        if current and current[1] == note:
+        if current and current["note"] == note:
             return
         ingest_archives(store, batch, allowlist, dictionary, model, note)
 
