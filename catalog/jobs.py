@@ -23,7 +23,9 @@ from webloom.operators.language import (
 from webloom.operators.ledger import mark_processed, pending_files, seed_ledger
 from webloom.operators.lemmas import lemma_dictionary, lemmatise
 from webloom.operators.lookup import inlink_counts, keywords_by_df, most_frequent_keywords, outlink_counts, postings_of
-from webloom.operators.merge import dense_ids, insert_if_absent, replace_children
+from webloom.operators.merge import (
+    dense_ids, insert_if_absent, postings_by_id, postings_by_key, replace_children,
+)
 from webloom.plans.counters import scan_counters
 from webloom.plans.index import (
     Index, IndexStore, build_index, document_frequency, latest_pages, link_rows, mark_latest, merge_index,
@@ -404,8 +406,7 @@ def postings_with_ids(i: Inputs) -> DataFrame:
     """Postings by surrogate id, then read back by natural key."""
     postings = term_frequency(i.terms())
     words, urls = dense_ids(postings, "word", "keyword_id"), dense_ids(postings, "url", "website_id")
-    by_id = postings.join(words, "word").join(urls, "url").select("keyword_id", "website_id", "keyword_occurrences")
-    return by_id.join(words, "keyword_id").join(urls, "website_id").select("word", "url", "keyword_occurrences")
+    return postings_by_key(postings_by_id(postings, words, urls), words, urls)
 
 
 def dense_ids_job(i: Inputs) -> DataFrame:

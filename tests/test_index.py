@@ -11,6 +11,7 @@ from webloom.operators.ledger import mark_processed, pending_files, seed_ledger
 from webloom.operators.merge import dense_ids, insert_if_absent, replace_children, upsert
 from webloom.plans import index as index_plan
 from webloom.plans.index import latest_pages, recompute_keywords
+from webloom.session import checked_lookup, lookup_join
 
 PAGE = "file_id string, record_no long, url string, title string, description string, tokens array<string>, links array<string>"
 LONG, LONGER = "k" * 40, "k" * 41
@@ -199,6 +200,20 @@ def test_merge_operators(spark):
     assert rows(replace_children(old, new.filter("k = 2"), emptied, ["k"])) == [(2, "n")]
 
 
+@pytest.mark.parametrize("max_rows", [100, 0])
+def test_lookup_join_keeps_every_row_once(spark, max_rows):
+    hot = [("hot", n) for n in range(300)] + [(f"k{n}", n) for n in range(50)] + [(None, 1)]
+    left = spark.createDataFrame(hot, "k string, n int")
+    lookup = checked_lookup(spark.createDataFrame([("hot", 1), ("k3", 2), ("other", 3)], "k string, v int"), max_rows)
+    assert lookup.small == (max_rows > 0)
+    joined = lookup_join(left, lookup, "k")
+    found = sorted((str(r.k), r.n, r.v) for r in joined.collect())
+    assert found == sorted((str(k), n, {"hot": 1, "k3": 2}.get(k)) for k, n in hot)
+    if not lookup.small:
+        spread = joined.groupBy(F.pmod(F.xxhash64("n"), F.lit(8))).count()
+        assert spread.count() == 8
+
+
 @pytest.mark.parametrize("buckets", [1, 7, 256])
 def test_dense_ids_have_no_gaps(spark, buckets):
     words = spark.range(5000).select(F.concat(F.lit("w"), F.col("id") % 1234).alias("word"))

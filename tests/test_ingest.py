@@ -124,7 +124,7 @@ def test_archive_run_twice_counts_once(spark, crawl, model, tmp_path):
 def test_failed_archive_is_not_marked(spark, crawl, model, tmp_path):
     folder, allow = crawl
     store = IndexStore(spark, str(tmp_path / "s"))
-    missing = spark.createDataFrame([("x", str(folder / "gone.warc.gz"))], "file_id string, path string")
+    missing = spark.createDataFrame([("x", str(folder / "gone.warc.gz"), 1)], "file_id string, path string, length long")
     with pytest.raises(Exception):
         ingest_archives(store, missing, allow, None, model)
     assert store.current() is None

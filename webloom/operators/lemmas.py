@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.session import broadcast_if_small
+from webloom.session import checked_lookup, lookup_join
 
 # Fixed value: form of a dictionary line, ``lemma/number -> word,word``.
 LINE_PATTERN = r"^([^/]+)[^->]*->(.+)$"
@@ -33,12 +33,11 @@ def lemma_dictionary(lines: DataFrame) -> DataFrame:
 def lemmatise_rows(rows: DataFrame, dictionary: DataFrame, max_broadcast: int = BROADCAST_ROWS) -> DataFrame:
     """Replace ``word`` by its lemma, or leave it; every row is kept.
 
-    A dictionary of checked size is broadcast. A larger one shuffles: adaptive
-    execution then splits the partitions of frequent words, which a left join
-    allows.
+    A dictionary of checked size is broadcast; with a larger one the frequent
+    words are salted.
     """
-    lookup = broadcast_if_small(dictionary.select("word", "lemma"), max_broadcast)
-    return rows.join(lookup, "word", "left").withColumn("word", F.coalesce("lemma", "word")).drop("lemma")
+    lookup = checked_lookup(dictionary.select("word", "lemma"), max_broadcast)
+    return lookup_join(rows, lookup, "word").withColumn("word", F.coalesce("lemma", "word")).drop("lemma")
 
 
 def lemmatise(

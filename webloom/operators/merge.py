@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from webloom.session import checked_lookup, lookup_join
+
+IDS_BROADCAST = 1_000_000
+
 
 def insert_if_absent(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """``old`` plus the rows of ``new`` whose key it lacks, one per key."""
@@ -52,3 +56,17 @@ def dense_ids(rows: DataFrame, key: str, id_name: str = "id", buckets: int = 256
         .join(F.broadcast(starts), "_bucket")
         .select(key, (F.col("_start") + F.col("_place")).alias(id_name))
     )
+
+
+def postings_by_id(postings: DataFrame, words: DataFrame, urls: DataFrame) -> DataFrame:
+    """``(keyword_id, website_id, keyword_occurrences)`` for postings by natural key."""
+    named = lookup_join(postings, checked_lookup(words, IDS_BROADCAST), "word")
+    both = lookup_join(named, checked_lookup(urls, IDS_BROADCAST), "url")
+    return both.select("keyword_id", "website_id", "keyword_occurrences")
+
+
+def postings_by_key(by_id: DataFrame, words: DataFrame, urls: DataFrame) -> DataFrame:
+    """The reverse: ids back to word and URL."""
+    named = lookup_join(by_id, checked_lookup(words, IDS_BROADCAST), "keyword_id")
+    both = lookup_join(named, checked_lookup(urls, IDS_BROADCAST), "website_id")
+    return both.select("word", "url", "keyword_occurrences")

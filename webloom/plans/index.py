@@ -12,7 +12,7 @@ from webloom.functions.text import MAX_KEYWORD_LENGTH, truncate_word, word_count
 from webloom.operators.lemmas import lemmatise_rows
 from webloom.operators.merge import accumulate, replace_children, upsert
 from webloom.plans.pages import indexable
-from webloom.session import broadcast_if_small
+from webloom.session import Lookup, checked_lookup, lookup_join
 
 REPEATED_URLS_BROADCAST = 1_000_000
 
@@ -48,9 +48,9 @@ def mark_latest(pages: DataFrame, key: str = "url", order: tuple[str, ...] = ("f
         F.max(F.struct(*order)).alias("_last"), F.count(F.lit(1)).alias("_versions")
     )
     repeated = versions.filter(F.col("_versions") > 1).select(key, "_last")
-    lookup = broadcast_if_small(repeated, REPEATED_URLS_BROADCAST)
+    lookup = checked_lookup(repeated, REPEATED_URLS_BROADCAST)
     is_latest = F.col("_last").isNull() | (F.col("_last") == F.struct(*order))
-    return pages.join(lookup, key, "left").withColumn("is_latest", is_latest).drop("_last")
+    return lookup_join(pages, lookup, key).withColumn("is_latest", is_latest).drop("_last")
 
 
 def latest_pages(pages: DataFrame, key: str = "url", order: tuple[str, ...] = ("file_id", "record_no")) -> DataFrame:
@@ -188,12 +188,13 @@ class IndexStore:
         tables = {field.name: self._live(field.name) for field in fields(Index)}
         if head["base"] < head["version"]:
             pages = _repeated(tables["websites"], "url")
+            sources = Lookup(pages.rows.withColumnRenamed("url", "source_url"), pages.small)
             archives = _repeated(tables["keyword_parts"].select("file_id", "version").distinct(), "file_id")
             tables = {
                 "websites": _last_only(tables["websites"], pages, "url"),
                 "keyword_parts": _last_only(tables["keyword_parts"], archives, "file_id"),
                 "postings": _last_only(tables["postings"], pages, "url"),
-                "links": _last_only(tables["links"], pages.withColumnRenamed("url", "source_url"), "source_url"),
+                "links": _last_only(tables["links"], sources, "source_url"),
             }
         return Index(**{name: table.drop("version") for name, table in tables.items()})
 
@@ -236,16 +237,16 @@ class IndexStore:
         return version
 
 
-def _repeated(rows: DataFrame, key: str) -> DataFrame:
-    """Keys stored in several versions, with the last one; broadcast within a checked bound."""
+def _repeated(rows: DataFrame, key: str) -> Lookup:
+    """Keys stored in several versions, with the last one."""
     versions = rows.groupBy(key).agg(F.max("version").alias("_last"), F.count(F.lit(1)).alias("_n"))
-    return broadcast_if_small(versions.filter("_n > 1").select(key, "_last"), REPEATED_URLS_BROADCAST)
+    return checked_lookup(versions.filter("_n > 1").select(key, "_last"), REPEATED_URLS_BROADCAST)
 
 
-def _last_only(rows: DataFrame, repeated: DataFrame, key: str) -> DataFrame:
+def _last_only(rows: DataFrame, repeated: Lookup, key: str) -> DataFrame:
     columns = rows.columns
     return (
-        rows.join(repeated, key, "left")
+        lookup_join(rows, repeated, key)
         .filter(F.col("_last").isNull() | (F.col("_last") == F.col("version")))
         .select(columns)
     )

@@ -1,11 +1,13 @@
-"""Session settings, the shared scratch folder and size-checked broadcasting."""
+"""Session settings, the shared scratch folder and joins with lookup tables."""
 
 from __future__ import annotations
 
 import tempfile
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 # What the jobs here want from a session. Each is a plain Spark setting, so a
 # cluster's own values win when they are set there.
@@ -46,13 +48,34 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = 256 << 20) -> DataFrame:
-    """Hint a broadcast only once rows and bytes are known to be within bounds.
+@dataclass(frozen=True)
+class Lookup:
+    """Rows with a unique key to join from, and whether they were found small."""
 
-    Past a bound the frame comes back unhinted and the join shuffles, with
-    adaptive execution splitting whatever keys are hot. The check is one
-    aggregate, so a large frame sends no more than a sum per task.
+    rows: DataFrame
+    small: bool
+
+
+def checked_lookup(rows: DataFrame, max_rows: int, max_bytes: int = 256 << 20) -> Lookup:
+    """Measure rows and bytes of a lookup table.
+
+    The check is one aggregate, so a large table sends no more than a sum per task.
+    """
+    sizes = [F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) for name in rows.columns]
+    count, data = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(sizes, F.lit(0).cast("long"))), F.lit(0))).first()
+    return Lookup(rows, count <= max_rows and data <= max_bytes)
+
+
+def lookup_join(rows: DataFrame, lookup: Lookup, key: str, copies: int = 8) -> DataFrame:
+    """Left join with a lookup table; every row is kept and none is doubled.
+
+    A table of checked size is broadcast and ``rows`` do not shuffle. A larger
+    one is joined by shuffle with a salt, each of its rows copied per salt value,
+    so that a key with a large share of ``rows`` spreads over several tasks.
     """
-    sizes = [F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) for name in df.columns]
-    rows, data = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(sizes, F.lit(0).cast("long"))), F.lit(0))).first()
-    return F.broadcast(df) if rows <= max_rows and data <= max_bytes else df
+    if lookup.small:
+        return rows.join(F.broadcast(lookup.rows), key, "left")
+    plain = [f.name for f in rows.schema if f.name != key and isinstance(f.dataType, AtomicType)]
+    salt = F.pmod(F.xxhash64(*plain), F.lit(copies)) if plain else F.lit(0).cast("long")
+    copied = lookup.rows.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)).cast("array<bigint>")))
+    return rows.withColumn("_salt", salt).join(copied, [key, "_salt"], "left").drop("_salt")

@@ -111,7 +111,7 @@ def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def archive_paths(spark: SparkSession, path: str, glob: str = "*.gz") -> DataFrame:
-    """``(file_id, path)`` of the archives under a folder; no content is read.
+    """``(file_id, path, length)`` of the archives under a folder; no content is read.
 
     The path is the id: archive numbers repeat between parts of a crawl.
     """
@@ -121,7 +121,7 @@ def archive_paths(spark: SparkSession, path: str, glob: str = "*.gz") -> DataFra
         .option("recursiveFileLookup", "true")
         .load(path)
     )
-    return found.select(F.col("path").alias("file_id"), "path")
+    return found.select(F.col("path").alias("file_id"), "path", "length")
 
 
 def scan_archives(archives: DataFrame, mode: str = "PERMISSIVE", tasks: int | None = None) -> DataFrame:
@@ -142,6 +142,13 @@ def scan_archives(archives: DataFrame, mode: str = "PERMISSIVE", tasks: int | No
     return apply_mode(spread.mapInArrow(scan, RECORD_SCHEMA), mode)
 
 
+def is_uneven(archives: DataFrame, factor: float = 2.0) -> bool:
+    """Whether one archive holds so many of the bytes that its task would lag behind."""
+    largest, total = archives.agg(F.max("length"), F.sum("length")).first()
+    cores = archives.sparkSession.sparkContext.defaultParallelism
+    return bool(total) and largest * cores > factor * total
+
+
 def apply_mode(records: DataFrame, mode: str) -> DataFrame:
     """PERMISSIVE keeps damaged records with the reason, DROPMALFORMED leaves them out."""
     if mode == "PERMISSIVE":

@@ -14,7 +14,7 @@ from webloom.operators.language import LanguageModel
 from webloom.operators.ledger import mark_processed, seed_ledger
 from webloom.plans.index import IndexStore, build_index
 from webloom.plans.pages import parse_pages
-from webloom.sources.warc import record_fields, scan_archives
+from webloom.sources.warc import is_uneven, record_fields, scan_archives
 
 
 
@@ -40,17 +40,22 @@ def ingest_archives(
     note: str = "",
     compact_after: int = 16,
 ) -> IngestReport:
-    """Index ``(file_id, path)`` archives and add them to the store.
+    """Index ``(file_id, path, length)`` archives and add them to the store.
 
     Parsed pages are stored first: four tables read them and the parser, the
     costly part, runs once. Index and ledger are committed together, so a failure
     leaves the former version and its pending files as they were. After
-    ``compact_after`` batches the store is merged into a new base.
+    ``compact_after`` batches the store is merged into a new base. Reading an
+    archive is one task's work, but when one is far larger than the others the
+    records kept of it are spread before they are parsed.
     """
     spark = store.spark
     read, valid = Observation(), Observation()
     scanned = scan_archives(archives, "DROPMALFORMED").observe(read, F.count(F.lit(1)).alias("records"))
-    parsed = parse_pages(filter_hosts(record_fields(scanned), allowlist), model).select(
+    records = filter_hosts(record_fields(scanned), allowlist)
+    if is_uneven(archives):
+        records = records.repartition(spark.sparkContext.defaultParallelism)
+    parsed = parse_pages(records, model).select(
         "file_id", "record_no", "url", "title", "description", "tokens", "links"
     )
     has_fields = F.col("title").isNotNull() & F.col("description").isNotNull() & F.col("url").isNotNull()
@@ -94,7 +99,7 @@ def ingest_stream(
     )
     if max_files:
         source = source.option("maxFilesPerTrigger", str(max_files))
-    paths = source.load(archive_dir).select(file_id(F.col("path")).alias("file_id"), "path")
+    paths = source.load(archive_dir).select(file_id(F.col("path")).alias("file_id"), "path", "length")
 
     stream_name = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
 
