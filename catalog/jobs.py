@@ -32,12 +32,13 @@ from webloom.plans.index import (
     recompute_keywords, term_counts, term_frequency, website_rows,
 )
 from webloom.plans.pages import indexable, parse_html, parse_pages
-from webloom.session import scratch_dir, spread
+from webloom.session import Lookup, checked_lookup, scratch_dir, spread
 from webloom.sources.lines import file_number, first_lines, read_lines
 from webloom.sources.pages import pages_as_records
 from webloom.sources.warc import archive_paths, read_warc, record_fields, register_warc_source, scan_archives
 from webloom.streaming.ingest import ingest_stream
 
+IDS_BROADCAST = 1_000_000
 SITE_LINES = 100  # length of the site list prefix, as the derived list is short
 _stored: set[str] = set()
 
@@ -290,7 +291,7 @@ def status_code_job(i: Inputs) -> DataFrame:
 
 
 def filter_html(i: Inputs) -> DataFrame:
-    return html_responses(i.varied_records()).select("record_no", "content_type")
+    return html_responses(i.varied_records()).filter(F.col("html_body").isNotNull()).select("record_no", "content_type")
 
 
 def html_body(i: Inputs) -> DataFrame:
@@ -403,9 +404,17 @@ def scan_counters_job(i: Inputs) -> DataFrame:
 
 
 def postings_with_ids(i: Inputs) -> DataFrame:
-    """Postings by surrogate id, then read back by natural key."""
-    postings = term_frequency(i.terms())
-    words, urls = dense_ids(postings, "word", "keyword_id"), dense_ids(postings, "url", "website_id")
+    """Postings by surrogate id, then read back by natural key. Ids are given out
+    once and stored, as everything that refers to them must see the same ones."""
+    postings = i.spark.read.parquet(
+        i.stored("postings", lambda path: term_frequency(i.terms()).write.mode("overwrite").parquet(path))
+    )
+
+    def ids(key: str, name: str) -> Lookup:
+        path = i.stored(name, lambda path: dense_ids(postings, key, name).write.mode("overwrite").parquet(path))
+        return checked_lookup(i.spark.read.parquet(path), IDS_BROADCAST)
+
+    words, urls = ids("word", "keyword_id"), ids("url", "website_id")
     return postings_by_key(postings_by_id(postings, words, urls), words, urls)
 
 

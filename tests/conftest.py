@@ -13,7 +13,8 @@ from webloom.session import RECOMMENDED_CONF  # noqa: E402
 def spark():
     builder = (
         SparkSession.builder.master("local[8]").appName("tests")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "3")
+        .config("spark.default.parallelism", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
     )

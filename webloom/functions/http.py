@@ -1,8 +1,8 @@
-r"""HTTP responses as stored in crawl records, taken apart with built-in functions.
+"""HTTP responses as stored in crawl records, taken apart with built-in functions.
 
 Header tests look at every line of the body, also past the blank line, and mind
-case. Flags of the patterns: ``m`` makes ``^`` the start of any line, ``d`` makes
-LF the only line end, ``s`` lets ``.`` cross lines.
+case. The body is split into lines once; what follows are short tests per line,
+which is several times faster than patterns run over whole bodies.
 """
 
 from __future__ import annotations
@@ -12,17 +12,29 @@ from pyspark.sql import functions as F
 
 from webloom.functions.text import UNICODE_BLANKS
 
-_TYPE_LINE = r"(?md)^Content-Type[^\n]*"
-_STATUS_LINE = r"(?md)^HTTP[^\n]*"
-# A type line whose second ``:`` field does not name HTML.
-_OTHER_TYPE = r"(?md)^Content-Type(?![^:\n]*:[^:\n]*text/html)"
-_FROM_FIRST_HEADER = r"(?msd)^(?:Content-Type|HTTP).*"
-_HEADER_LINE = r"(?md)^(?:Content-Type|HTTP)[^\n]*(?:\n|\z)"
-_FROM_PAGE_START = r"(?md)^[^\n]*<html(?s:.*)"
 
+def _is_type(line: Column) -> Column:
+    return line.startswith("Content-Type")
 
-def _last_line(body: Column, pattern: str) -> Column:
-    return F.try_element_at(F.regexp_extract_all(body, F.lit(pattern), F.lit(0)), F.lit(-1))
+
+def _is_status(line: Column) -> Column:
+    return line.startswith("HTTP")
+
+
+def _is_header(line: Column) -> Column:
+    return _is_type(line) | _is_status(line)
+
+
+def _position(lines: str, condition) -> Column:
+    """1-based position of the first line that meets a condition, 0 if none."""
+    return F.array_position(F.transform(lines, condition), True).cast("int")
+
+
+def _from(lines: str, position: str) -> Column:
+    """Lines from a position on; none for position 0."""
+    return F.when(F.col(position) > 0, F.slice(lines, F.greatest(F.col(position), F.lit(1)), F.size(lines))).otherwise(
+        F.array().cast("array<string>")
+    )
 
 
 def content_type(line: Column) -> Column:
@@ -36,16 +48,8 @@ def status_code(line: Column) -> Column:
     return field.try_cast("int")
 
 
-def is_html(body: Column) -> Column:
-    """At least one content type line, and all of them HTML."""
-    return body.rlike(_TYPE_LINE) & ~body.rlike(_OTHER_TYPE)
-
-
-def html_of(body: Column) -> Column:
-    """The lines from the first ``<html`` after a header on, without headers and
-    joined without line ends; empty when there is no page."""
-    lines = F.regexp_replace(F.regexp_extract(body, _FROM_FIRST_HEADER, 0), _HEADER_LINE, "")
-    return F.regexp_replace(F.regexp_extract(lines, _FROM_PAGE_START, 0), r"\r?\n", "")
+def _names_html(line: Column) -> Column:
+    return F.coalesce(content_type(line).contains("text/html"), F.lit(False))
 
 
 def decoded_body(records: DataFrame) -> DataFrame:
@@ -55,18 +59,43 @@ def decoded_body(records: DataFrame) -> DataFrame:
 
 
 def response_parts(decoded: DataFrame) -> DataFrame:
-    """Add ``content_type``, ``status_code`` and ``html_body`` (NULL when empty)."""
-    body = F.col("body_text")
-    return decoded.select(
-        *[name for name in decoded.columns if name not in ("body", "body_text")],
-        content_type(_last_line(body, _TYPE_LINE)).alias("content_type"),
-        status_code(_last_line(body, _STATUS_LINE)).alias("status_code"),
-        F.nullif(html_of(body), F.lit("")).alias("html_body"),
+    """Add ``content_type``, ``status_code`` and ``html_body``.
+
+    The last type line and the last status line give the fields. ``html_body``
+    is every other line from the first ``<html`` after a header on, joined
+    without line ends. It is NULL when there is no such line, no type line, or a
+    type line that is not HTML.
+    """
+    columns = [name for name in decoded.columns if name not in ("body", "body_text")]
+    body = F.replace(F.col("body_text"), F.lit("\r\n"), F.lit("\n"))
+    lines = decoded.select(*columns, F.split(body, "\n").alias("_lines"))
+    typed = lines.select(
+        *columns,
+        F.filter("_lines", _is_type).alias("_types"),
+        F.filter("_lines", _is_status).alias("_statuses"),
+        "_lines",
+        _position("_lines", _is_header).alias("_header_at"),
+    )
+    other = typed.withColumn("_rest", F.filter(_from("_lines", "_header_at"), lambda line: ~_is_header(line)))
+    placed = other.withColumn("_page_at", _position("_rest", lambda line: line.contains("<html")))
+    is_html = (F.size("_types") > 0) & F.forall("_types", _names_html) & (F.col("_page_at") > 0)
+    return placed.select(
+        *columns,
+        content_type(F.try_element_at("_types", F.lit(-1))).alias("content_type"),
+        status_code(F.try_element_at("_statuses", F.lit(-1))).alias("status_code"),
+        F.when(is_html, F.array_join(_from("_rest", "_page_at"), "")).alias("html_body"),
     )
 
 
 def html_responses(records: DataFrame) -> DataFrame:
-    """Records of valid UTF-8 with an HTML type. ``html_body`` may still be NULL:
-    testing it here would push the whole extraction into the filter and run it twice."""
+    """Records that can hold an HTML page; ``html_body`` is NULL if one does not.
+
+    The tests in front are necessary ones that cost next to nothing. The exact
+    answer is left in ``html_body``: as a filter it would be pushed below the
+    extraction and have all of it run twice.
+    """
     decoded = decoded_body(records)
-    return response_parts(decoded.filter(is_html(F.col("body_text"))))
+    body = F.col("body_text")
+    return response_parts(
+        decoded.filter(body.contains("Content-Type") & body.contains("text/html") & body.contains("<html"))
+    )

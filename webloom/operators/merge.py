@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from webloom.session import checked_lookup, lookup_join
-
-IDS_BROADCAST = 1_000_000
+from webloom.session import Lookup, lookup_join
 
 
 def insert_if_absent(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -58,15 +56,13 @@ def dense_ids(rows: DataFrame, key: str, id_name: str = "id", buckets: int = 256
     )
 
 
-def postings_by_id(postings: DataFrame, words: DataFrame, urls: DataFrame) -> DataFrame:
+def postings_by_id(postings: DataFrame, words: Lookup, urls: Lookup) -> DataFrame:
     """``(keyword_id, website_id, keyword_occurrences)`` for postings by natural key."""
-    named = lookup_join(postings, checked_lookup(words, IDS_BROADCAST), "word")
-    both = lookup_join(named, checked_lookup(urls, IDS_BROADCAST), "url")
-    return both.select("keyword_id", "website_id", "keyword_occurrences")
+    named = lookup_join(lookup_join(postings, words, "word"), urls, "url")
+    return named.select("keyword_id", "website_id", "keyword_occurrences")
 
 
-def postings_by_key(by_id: DataFrame, words: DataFrame, urls: DataFrame) -> DataFrame:
+def postings_by_key(by_id: DataFrame, words: Lookup, urls: Lookup) -> DataFrame:
     """The reverse: ids back to word and URL."""
-    named = lookup_join(by_id, checked_lookup(words, IDS_BROADCAST), "keyword_id")
-    both = lookup_join(named, checked_lookup(urls, IDS_BROADCAST), "website_id")
-    return both.select("word", "url", "keyword_occurrences")
+    named = lookup_join(lookup_join(by_id, words, "keyword_id"), urls, "website_id")
+    return named.select("word", "url", "keyword_occurrences")

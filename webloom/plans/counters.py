@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions.html import page_udf
-from webloom.functions.http import is_html, response_parts
+from webloom.functions.http import response_parts
 from webloom.operators.hosts import with_host
 from webloom.operators.language import LanguageModel
 
@@ -25,9 +25,7 @@ def scan_counters(
     text = F.col("body").cast("string")
     matching = F.coalesce(F.col("_listed") & F.is_valid_utf8(text), F.lit(False))
     flagged = with_host(records).join(hosts, "host", "left").withColumn("_matching", matching)
-    page_text = flagged.withColumn(
-        "body_text", F.when(F.col("_matching"), text)
-    ).withColumn("body_text", F.when(is_html(F.col("body_text")), F.col("body_text")))
+    page_text = flagged.withColumn("body_text", F.when(F.col("_matching"), text))
     parsed = response_parts(page_text).withColumn("_page", page_udf(model)("target_uri", "html_body"))
     return parsed.groupBy("file_id").agg(
         F.count(F.lit(1)).alias("read_ok"),
