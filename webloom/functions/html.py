@@ -58,18 +58,22 @@ IMPLIED_ENDS = {
     "tfoot": ({"tbody", "thead", "tfoot"}, {"table", "template"}),
     "button": ({"button"}, SCOPE_LIMITS),
 }
+STRUCTURAL = ENDS_PARAGRAPH | IMPLIED_ENDS.keys() | {"html", "head", "body", "table", "option", "optgroup"}
+# Inline elements that neither end others nor mean anything here.
+WITHOUT_RULES = FORMATTING - {"a", "nobr"} | set("span abbr cite dfn kbd label mark q samp sub sup time var".split())
 
 _INSIDE_TAG = r"""(?:[^>=]++|=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)?+)*+"""
 _MARKUP = re.compile(
-    r"(?P<text>[^<]+)"
-    rf"|<(?P<start>[a-zA-Z][^\s/>]*+)(?P<attrs>{_INSIDE_TAG})>"
-    rf"|</(?P<end>[a-zA-Z][^\s/>]*+){_INSIDE_TAG}>"
+    r"([^<]+)"
+    rf"|<([a-zA-Z][^\s/>]*+)({_INSIDE_TAG})>"
+    rf"|</([a-zA-Z][^\s/>]*+){_INSIDE_TAG}>"
     r"|<!--(?:-?>|.*?(?:--!?>|\Z))"  # comment
     r"|<(?:[!?]|/(?=[^a-zA-Z]))[^>]*+(?:>|\Z)"  # doctype and other declarations
     r"|</?[a-zA-Z].*\Z"  # tag cut off by the end of the page
-    r"|(?P<stray><)",
+    r"|(<)",
     re.S,
 )
+_TEXT, _START, _ATTRS, _END, _STRAY = range(1, 6)  # groups of the pattern above
 _ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 _REFERENCE = re.compile(r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]*;?)(=?)")
 
@@ -108,7 +112,13 @@ class PageScan:
         self._close_down_to(0)
         self.text = "".join(self._pieces).strip(UNICODE_BLANKS)
 
+    @property
+    def _foreign(self) -> int:
+        return self._count["svg"] or self._count["math"]
+
     def _scan(self, html: str) -> None:
+        if "\0" in html or "\r" in html:
+            html = html.replace("\0", "").replace("\r", "\n")
         self._tables_end_paragraphs = html[:200].lstrip().lower().startswith("<!doctype html")
         at = 0
         while at is not None:
@@ -116,25 +126,37 @@ class PageScan:
 
     def _scan_markup(self, html: str, at: int) -> int | None:
         """Handle markup up to the next raw content; its end, None when all is read."""
+        open_, count, pieces = self._open, self._count, self._pieces
         for found in _MARKUP.finditer(html, at):
-            kind = found.lastgroup
-            if kind == "text" or kind == "stray":
-                self._add_text(found[0])
-            elif kind == "end":
-                name = found["end"].lower()
-                if not self._count["select"] or name in SELECT_CONTENT:
+            kind = found.lastindex
+            if kind == _TEXT or kind == _STRAY:
+                if not count["template"]:
+                    text = unescape(found[0]) if "&" in found[0] else found[0]
+                    if self.title is None and open_ and open_[-1] == "title":
+                        self.title = text
+                    pieces.append(text)
+            elif kind == _END:
+                name = found[_END].lower()
+                if open_ and open_[-1] == name:  # most elements end where they should
+                    self._close_down_to(len(open_) - 1)
+                elif not count["select"] or name in SELECT_CONTENT:
                     self._end(name)
-            elif kind == "attrs":
-                name = found["start"].lower()
-                if self._count["select"] and not self._allowed_in_select(name):
+            elif kind == _ATTRS:
+                name = found[_START].lower()
+                if name in WITHOUT_RULES and not self._foreign:
+                    if not count["select"]:
+                        open_.append(name)
+                        count[name] += 1
+                    continue
+                if count["select"] and not self._allowed_in_select(name):
                     continue
                 if name == "plaintext":
                     self._close_paragraph()
-                    self._pieces.append(html[found.end():])
+                    pieces.append(html[found.end():])
                     return None
-                if name in RAW_TEXT or name in RAW_WITH_REFERENCES and not self._count["svg"]:
+                if name in RAW_TEXT or name in RAW_WITH_REFERENCES and not count["svg"]:
                     return self._raw(html, found.end(), name)
-                self._start(name, found["attrs"])
+                self._start(name, found[_ATTRS])
         return None
 
     def _allowed_in_select(self, name: str) -> bool:
@@ -160,20 +182,24 @@ class PageScan:
             self._pieces.append(content)
         return end.end() if end else len(html)
 
-    def _add_text(self, text: str) -> None:
-        if self._open:
-            if self._count["template"]:
+    def _start(self, name: str, attributes: str) -> None:
+        if name in STRUCTURAL:
+            if name in ("html", "head", "body"):
                 return
-            if self._open[-1] == "title" and self.title is None:
-                self.title = unescape(text)
-        text = unescape(text) if "&" in text else text
-        self._pieces.append(text.replace("\0", "").replace("\r", "\n"))
+            self._end_implied(name)
+        foreign = self._foreign
+        if name == "a" and not self._count["template"]:
+            href = _href(attributes, foreign)
+            if href is not None:
+                self.hrefs.append(href)
+        if name in VOID or (foreign or name in ("svg", "math")) and attributes.endswith("/"):
+            self._break_after(name)
+        else:
+            self._open.append(name)
+            self._count[name] += 1
 
-    def _start(self, name: str, attributes: str) -> None:
-        if name in ("html", "head", "body"):
-            return
-        if name == "image":
-            name = "img"
+    def _end_implied(self, name: str) -> None:
+        """Close what an opening tag of this name ends."""
         if name in IMPLIED_ENDS:
             self._close_nearest(*IMPLIED_ENDS[name])
         if name in ENDS_PARAGRAPH or name in ("li", "dd", "dt") or (
@@ -185,16 +211,6 @@ class PageScan:
             or name in ("option", "optgroup") and self._open[-1] == "option"
         ):
             self._close_down_to(len(self._open) - 1)
-        foreign = self._count["svg"] or self._count["math"]
-        if name == "a" and not self._count["template"]:
-            href = _href(attributes, foreign)
-            if href is not None:
-                self.hrefs.append(href)
-        if name in VOID or (foreign or name in ("svg", "math")) and attributes.endswith("/"):
-            self._break_after(name)
-        else:
-            self._open.append(name)
-            self._count[name] += 1
 
     def _end(self, name: str) -> None:
         if name == "br":
@@ -246,7 +262,8 @@ class PageScan:
         while len(self._open) > at:
             name = self._open.pop()
             self._count[name] -= 1
-            self._break_after(name)
+            if name in BREAK_AFTER:
+                self._break_after(name)
 
     def _break_after(self, name: str) -> None:
         if name in BREAK_AFTER and not self._count["template"]:

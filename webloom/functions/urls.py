@@ -89,7 +89,12 @@ def _network_part(scheme: str, authority: str) -> str | None:
     return (f"{name}@" if name else "") + host + (f":{port}" if port and port != DEFAULT_PORTS[scheme] else "")
 
 
+_CLEAN_PATH = re.compile(r"(?:/(?![.]|%2[eE])[A-Za-z0-9_.~!$&'()*+,;=:@%-]*+)+")
+
+
 def _clean_path(path: str) -> str:
+    if _CLEAN_PATH.fullmatch(path):  # most paths have nothing to resolve or encode
+        return path
     kept: list[str] = []
     segments = path.replace("\\", "/").split("/")[1:]
     for position, segment in enumerate(segments):
