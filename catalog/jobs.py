@@ -164,7 +164,7 @@ class Inputs:
         and ``incremental_ingest`` run the parser themselves.
         """
         def write(path: str) -> None:
-            pages = parse_pages(filter_hosts(self.records(), self.allowlist(), SITE_LINES), self.model)
+            pages = parse_pages(filter_hosts(self.records(), self.allowlist()), self.model)
             pages.drop("html_body", "text_body").write.mode("overwrite").parquet(path)
 
         return self.spark.read.parquet(self.stored("parsed", write))
@@ -370,7 +370,7 @@ def indexable_pages(i: Inputs) -> DataFrame:
 
 
 def allowlist_semi_join(i: Inputs) -> DataFrame:
-    return filter_hosts(i.records(), i.allowlist(), SITE_LINES).select("record_no", "target_uri", "host")
+    return filter_hosts(i.records(), i.allowlist()).select("record_no", "target_uri", "host")
 
 
 def document_frequency_job(i: Inputs) -> DataFrame:
@@ -400,7 +400,7 @@ def latest_page(i: Inputs) -> DataFrame:
 
 def scan_counters_job(i: Inputs) -> DataFrame:
     records = i.varied_records().withColumn("file_id", archive_of(F.col("target_uri")))
-    return scan_counters(records, i.allowlist(), i.model, SITE_LINES)
+    return scan_counters(records, i.allowlist(), i.model)
 
 
 def postings_with_ids(i: Inputs) -> DataFrame:

@@ -55,9 +55,15 @@ def crawl(spark, tmp_path):
     return folder, allow
 
 
-def test_scan_counters(spark, crawl, model):
+@pytest.mark.parametrize("bound", [10, 0])
+def test_scan_counters_with_a_short_or_a_long_site_list(spark, crawl, model, bound):
     folder, allow = crawl
-    found = scan_counters(record_fields(read_warc(spark, str(folder))), allow, model, limit=10)
+    records = record_fields(read_warc(spark, str(folder)))
+    kept = filter_hosts(records, allow, bound)
+    assert sorted(r.target_uri for r in kept.select("target_uri").collect()) == sorted(
+        [f"http://a.org/{n}" for n in (1, 1, 2, 3, 4, 5)] + ["http://b.org/1"]
+    )
+    found = scan_counters(records, allow, model, bound)
     assert sorted(tuple(r)[1:] for r in found.collect()) == [(2, 2, 2), (7, 4, 1)]
 
 

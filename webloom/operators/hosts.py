@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions.urls import url_host
+from webloom.session import checked_lookup, lookup_join
 from webloom.sources.lines import first_lines
 
 SITE_LIMIT = 100_000
@@ -21,13 +22,21 @@ def with_host(records: DataFrame, url: str = "target_uri") -> DataFrame:
     return records.withColumn("host", url_host(F.col(url)))
 
 
-def filter_hosts(records: DataFrame, allowlist: DataFrame, limit: int = SITE_LIMIT) -> DataFrame:
+def with_listed(records: DataFrame, allowlist: DataFrame, max_broadcast: int = BROADCAST_LIMIT) -> DataFrame:
+    """Add ``host`` and ``listed``; the list is matched as it is written."""
+    marked = allowlist.select("host", F.lit(True).alias("listed"))
+    joined = lookup_join(with_host(records), checked_lookup(marked, max_broadcast), "host")
+    return joined.withColumn("listed", F.coalesce("listed", F.lit(False)))
+
+
+def filter_hosts(records: DataFrame, allowlist: DataFrame, max_broadcast: int = BROADCAST_LIMIT) -> DataFrame:
     """Records whose host is listed, matched as written on the list.
 
-    ``limit`` is the bound the list was built with. Within ``BROADCAST_LIMIT``
-    the list goes to every task and records do not shuffle; a longer list is
-    left to the optimizer's own size check.
+    A list of checked size goes to every task and records do not shuffle. A
+    longer one is joined by shuffle, with hosts of many records salted.
     """
-    known_small = limit and limit <= BROADCAST_LIMIT
-    hosts = F.broadcast(allowlist) if known_small else allowlist
-    return with_host(records).filter(F.col("host").isNotNull()).join(hosts, "host", "left_semi")
+    lookup = checked_lookup(allowlist.select("host"), max_broadcast)
+    if not lookup.small:
+        return with_listed(records, allowlist, max_broadcast).filter("listed").drop("listed")
+    known = with_host(records).filter(F.col("host").isNotNull())
+    return known.join(F.broadcast(lookup.rows), "host", "left_semi")
