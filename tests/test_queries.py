@@ -7,9 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from catalog.jobs import JOBS
 
 TABLES = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {name: query for name, query in entry.queries().items() if name in JOBS}
+SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in JOBS}
 
 
 @pytest.fixture(scope="module")
