@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from webloom.llm import op2_decontamination as op2
+from webloom.llm import op3_jaccard_join as op3
 from webloom.llm.storage import bounded_batches, spread_scan, table
 
 
@@ -14,10 +15,18 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2.leak_report(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    docs = spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return op3.similar_groups(docs, k=3, num=90, den=100)
+
+
 QUERIES = {
     "op2_decontamination": op2_decontamination,
+    "op3_jaccard_join": op3_jaccard_join,
 }
 
 SQL = {
     "op2_decontamination": op2.SQL,
+    "op3_jaccard_join": op3.SQL,
 }
