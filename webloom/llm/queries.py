@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from webloom.llm import op2_decontamination as op2
 from webloom.llm import op3_jaccard_join as op3
+from webloom.llm import op4_mixing as op4
 from webloom.llm.storage import bounded_batches, spread_scan, table
 
 
@@ -21,12 +22,18 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3.similar_groups(docs, k=3, num=90, den=100)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4.plan_mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_mixing": op4_mixing,
 }
 
 SQL = {
     "op2_decontamination": op2.SQL,
     "op3_jaccard_join": op3.SQL,
+    "op4_mixing": op4.SQL,
 }
