@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from webloom.llm import op10_pii as op10
 from webloom.llm import op2_decontamination as op2
 from webloom.llm import op3_jaccard_join as op3
 from webloom.llm import op4_mixing as op4
@@ -26,10 +27,16 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4.plan_mix(table(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return op10.pii_report(spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_mixing": op4_mixing,
+    "op10_pii": op10_pii,
 }
 
 SQL = {
