@@ -34,6 +34,7 @@ MOST_TOKENS = 20
 SURE = 0.95
 EPOCHS, RATE, DECAY = 4, 0.5, 1e-4
 REMEMBERED = 20_000
+FOUND = "_personal_spans"
 
 # The base patterns. Runs are possessive, which changes no match.
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
@@ -316,7 +317,7 @@ def added_spans(text: str, base: list[tuple[str, int, int]], field: Field, memor
 
 
 def find_spans(docs: DataFrame, field: Field) -> DataFrame:
-    """``docs`` with ``pii``: arrays of base spans and of added ones (kind, start, end in code points)."""
+    """``docs`` with the column ``FOUND``: arrays of base spans and of added ones (kind, start, end in code points)."""
     shared = docs.sparkSession.sparkContext.broadcast(field.weights)
     span = "array<struct<kind:string,start:bigint,end:bigint>>"
 
@@ -332,7 +333,7 @@ def find_spans(docs: DataFrame, field: Field) -> DataFrame:
             rows.append([[dict(zip(keys, s, strict=True)) for s in x] for x in (base, added)])
         return pd.DataFrame(rows, columns=["base", "added"])
 
-    return docs.withColumn("pii", search.asNondeterministic()(F.col("text")))
+    return docs.withColumn(FOUND, search.asNondeterministic()(F.col("text")))
 
 
 def _listed(spans) -> F.Column:
@@ -345,20 +346,27 @@ def _listed(spans) -> F.Column:
     return F.array_join(F.transform(F.array_sort(keyed), lambda s: F.concat_ws(":", s["n"], s["a"], s["e"])), ",")
 
 
+def _number_of(kind: str) -> F.Column:
+    return F.size(F.filter(f"{FOUND}.base", lambda s: s["kind"] == kind))
+
+
 def pii_report(docs: DataFrame) -> DataFrame:
     """Counts of the base kinds, their digest and all spans of each document."""
     found = find_spans(docs.select("doc_id", "text"), train(docs))
     return found.select(
         "doc_id",
-        *[F.size(F.filter("pii.base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in KINDS],
-        F.sha2(_listed(F.col("pii.base")).cast("binary"), 256).alias("base_sha256"),
-        _listed(F.concat("pii.base", "pii.added")).alias("spans"),
-        F.size("pii.added").cast("bigint").alias("n_added"),
+        *[_number_of(k).cast("bigint").alias(f"n_{k}") for k in KINDS],
+        F.sha2(_listed(F.col(f"{FOUND}.base")).cast("binary"), 256).alias("base_sha256"),
+        _listed(F.concat(f"{FOUND}.base", f"{FOUND}.added")).alias("spans"),
+        F.size(f"{FOUND}.added").cast("bigint").alias("n_added"),
     )
 
 
 def mask(docs: DataFrame, field: Field) -> DataFrame:
-    """Every span, base or added, becomes ``<KIND>`` in ``text``; overlapping ones become the first's."""
+    """Every span, base or added, becomes ``<KIND>`` in ``text``; overlapping ones become the first's.
+
+    ``n_chars``, where there is one, follows the text.
+    """
     columns = docs.columns
     found = find_spans(docs, field)
 
@@ -377,4 +385,7 @@ def mask(docs: DataFrame, field: Field) -> DataFrame:
             out.append("".join([*pieces, text[behind:]]))
         return pd.Series(out, dtype=object)
 
-    return found.withColumn("text", masked("text", "pii.base", "pii.added")).select(*[F.col(f"`{c}`") for c in columns])
+    done = found.withColumn("text", masked("text", f"{FOUND}.base", f"{FOUND}.added"))
+    if "n_chars" in columns:
+        done = done.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return done.select(*[F.col(f"`{c}`") for c in columns])

@@ -32,6 +32,7 @@ from webloom.llm.words import ALNUM, Words, gram_hashes, text_slices, within_row
 WINDOW = 10  # words
 GRAM = 5
 BLOCK_BYTES = 64 << 20
+LEAK = "_leak"
 CHECK = 1  # seed of the second half of a window's hash
 
 SPAN = StructType([StructField("first", LongType()), StructField("last", LongType())])
@@ -174,7 +175,7 @@ def find_leaks(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id",
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """``docs`` with ``leak``: hit word spans (first, behind the last), items, number of words.
+    """``docs`` with the column ``LEAK``: hit word spans (first, behind the last), items, number of words.
 
     Spans may overlap. Every column of ``docs`` is kept.
     """
@@ -200,7 +201,7 @@ def find_leaks(
         F.array_distinct(F.flatten(F.array(*[f["items"] for f in found]))).alias("items"),
         found[0]["words"].alias("words"),
     )
-    return probed.select("row.*", leak.alias("leak"))
+    return probed.select("row.*", leak.alias(LEAK))
 
 
 def hit_words(spans) -> F.Column:
@@ -222,17 +223,17 @@ def leak_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = find_leaks(docs.select("doc_id", "text"), benchmark)
     return found.select(
         "doc_id",
-        F.col("leak.words").alias("n_words"),
-        hit_words(F.col("leak.spans")).alias("n_hit"),
-        F.size("leak.items").cast("long").alias("n_items"),
-        F.sha2(F.array_join(F.array_sort("leak.items"), ",").cast("binary"), 256).alias("items_sha256"),
-        (F.size("leak.spans") > 0).alias("contaminated"),
+        F.col(f"{LEAK}.words").alias("n_words"),
+        hit_words(F.col(f"{LEAK}.spans")).alias("n_hit"),
+        F.size(f"{LEAK}.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort(f"{LEAK}.items"), ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size(f"{LEAK}.spans") > 0).alias("contaminated"),
     )
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents without any window of the benchmark, with all their columns."""
-    return find_leaks(docs, benchmark).filter(F.size("leak.spans") == 0).drop("leak")
+    return find_leaks(docs, benchmark).filter(F.size(f"{LEAK}.spans") == 0).drop(LEAK)
 
 
 SQL = """

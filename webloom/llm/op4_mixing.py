@@ -75,7 +75,7 @@ def _boundaries(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     """Per source: the hash at which its budget ends, what is left there, and the words of that hash.
 
     ``rows``: source, size, hash; ``budgets``: source, budget. Sources are keys of
-    null-safe joins through ``key``.
+    joins through ``key``.
     """
     state = budgets.select("key", F.col("budget").alias("left"), F.lit(0).cast("bigint").alias("prefix"))
     shift, current = HASH_BITS, rows
@@ -97,40 +97,70 @@ def _boundaries(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     return state
 
 
-def plan_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` of each row of ``docs``."""
-    return mix(docs.select("doc_id", "source", "text"), weights).select(
-        "doc_id", "size", "source_size", "target", "taken"
-    )
+def source_key(source: Column) -> Column:
+    """A key without nulls, and unlike any other source's for the null source."""
+    return F.concat(F.when(source.isNull(), "0").otherwise("1"), F.coalesce(source, F.lit("")))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """Ids and sources with size, source_size, target and taken words of each row."""
-    rows = stored(
-        docs.select(
-            "doc_id", "source", word_count(F.col("text")).alias("size"), id_hash(F.col("doc_id")).alias("hash"),
-            F.concat(F.when(F.col("source").isNull(), "0").otherwise("1"), F.coalesce("source", F.lit(""))).alias("key"),
-        )
+def _measured(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        "doc_id", "source", word_count(F.col("text")).alias("size"), id_hash(F.col("doc_id")).alias("hash"),
+        source_key(F.col("source")).alias("key"),
     )
-    targets = stored(source_targets(rows))
+
+
+def plan_mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """Per source: size, target, and how its budget ends (rounds, bound, rest, bound_words).
+
+    ``rows``: source, size, hash, key of each document.
+    """
+    targets = stored(source_targets(rows, weights))
     named = targets.select(
-        F.concat(F.when(F.col("source").isNull(), "0").otherwise("1"), F.coalesce("source", F.lit(""))).alias("key"),
-        "source_size", "target", F.round("target").cast("bigint").alias("words"),
+        source_key(F.col("source")).alias("key"), "source_size", "target",
+        F.round("target").cast("bigint").alias("words"),
     )
     named = named.withColumn("rounds", F.expr("words div greatest(source_size, 1)"))
     named = named.withColumn("budget", F.col("words") - F.col("rounds") * F.col("source_size"))
     ends = _boundaries(rows.select("key", "size", "hash"), named)
-    sources = stored(
+    return stored(
         named.join(ends.withColumnsRenamed({"prefix": "bound", "left": "rest", "words": "bound_words"}), "key", "left")
     )
-    return join_checked(rows, sources, ["key"]).withColumn(
-        "taken",
-        F.col("rounds") * F.col("size")
-        + F.when(F.col("bound").isNull(), F.lit(0))
-        .when(F.col("hash") < F.col("bound"), F.col("size"))
-        .when(F.col("hash") == F.col("bound"), F.expr("size * rest div bound_words"))
-        .otherwise(F.lit(0)),
+
+
+def _taken(size: Column, hashed: Column, plan: str = "plan") -> Column:
+    """Words that the mix takes of a row, given its source's plan."""
+    p = {c: F.col(f"{plan}.{c}") for c in ("rounds", "bound", "rest", "bound_words")}
+    part = (size * p["rest"] / p["bound_words"]).cast("bigint")
+    more = F.when(hashed < p["bound"], size).when(hashed == p["bound"], part).otherwise(F.lit(0))
+    return (p["rounds"] * size + more).cast("bigint")
+
+
+def mix_report(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """``doc_id, size, source_size, target, taken`` of each row of ``docs``."""
+    rows = stored(_measured(docs))
+    plan = plan_mix(rows, weights)
+    packed = plan.select("key", F.struct(*[c for c in plan.columns if c != "key"]).alias("plan"))
+    return join_checked(rows, packed, ["key"]).select(
+        "doc_id", "size", "plan.source_size", "plan.target", _taken(F.col("size"), F.col("hash")).alias("taken")
+    )
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """Rows of which the mix takes words, with all their columns, and ``size`` and ``taken``.
+
+    An input column named size or taken gives way to the new one.
+    """
+    plan = plan_mix(stored(_measured(docs)), weights)
+    packed = plan.select("key", F.struct(*[c for c in plan.columns if c != "key"]).alias("plan"))
+    columns = [c for c in docs.columns if c not in ("size", "taken")]
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), word_count(F.col("text")).alias("size"),
+        id_hash(F.col("doc_id")).alias("hash"), source_key(F.col("source")).alias("key"),
+    )
+    taken = join_checked(rows, packed, ["key"]).select(
+        "row.*", "size", _taken(F.col("size"), F.col("hash")).alias("taken")
     )
+    return taken.filter("taken > 0")
 
 
 SQL = """

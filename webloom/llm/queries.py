@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
+from webloom.llm import op1_toxicity as op1
 from webloom.llm import op10_pii as op10
 from webloom.llm import op2_decontamination as op2
 from webloom.llm import op3_jaccard_join as op3
@@ -11,6 +14,12 @@ from webloom.llm import op4_mixing as op4
 from webloom.llm.storage import bounded_batches, spread_scan, table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    docs = spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return op1.toxicity_report(docs, table(spark, sf_dir, "labels"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     docs = spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -24,7 +33,7 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op4.plan_mix(table(spark, sf_dir, "documents"))
+    return op4.mix_report(table(spark, sf_dir, "documents"))
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,10 +42,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_mixing": op4_mixing,
     "op10_pii": op10_pii,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL = {
