@@ -12,6 +12,7 @@ from webloom.llm import op2_decontamination as op2
 from webloom.llm import op3_jaccard_join as op3
 from webloom.llm import op4_mixing as op4
 from webloom.llm import op8_quality as op8
+from webloom.llm import op9_suffix_dedup as op9
 from webloom.llm.storage import bounded_batches, spread_scan, table
 
 
@@ -43,6 +44,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8.quality_report(docs, table(spark, sf_dir, "labels"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return op9.dedup_report(spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     return op10.pii_report(spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
@@ -54,6 +60,7 @@ QUERIES = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_mixing": op4_mixing,
     "op8_quality": op8_quality,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_pii": op10_pii,
     "pipeline": corpus_pipeline.run,
 }
@@ -62,4 +69,5 @@ SQL = {
     "op2_decontamination": op2.SQL,
     "op3_jaccard_join": op3.SQL,
     "op4_mixing": op4.SQL,
+    "op9_suffix_dedup": op9.SQL,
 }
