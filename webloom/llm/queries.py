@@ -11,6 +11,7 @@ from webloom.llm import op10_pii as op10
 from webloom.llm import op2_decontamination as op2
 from webloom.llm import op3_jaccard_join as op3
 from webloom.llm import op4_mixing as op4
+from webloom.llm import op7_fingerprint as op7
 from webloom.llm import op8_quality as op8
 from webloom.llm import op9_suffix_dedup as op9
 from webloom.llm.storage import bounded_batches, spread_scan, table
@@ -38,6 +39,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     docs = spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -59,6 +64,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_mixing": op4_mixing,
+    "op7_fingerprint": op7_fingerprint,
     "op8_quality": op8_quality,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_pii": op10_pii,
