@@ -14,8 +14,8 @@
    order, so that blocks of sets too small or too large are skipped, and the overlap
    counts of a set are derived from those of the preceding, similar set by its differing
    n-grams only. Only links that join components are put out, at most one per set and
-   component. Groups over ``BLOCK_SETS`` sets are cut into blocks that meet pairwise,
-   so no task holds more than two blocks.
+   component. Groups over ``BLOCK_SETS`` sets are cut into blocks by size, of which only
+   those near enough in size meet, so no task holds more than two blocks.
 
 Shuffled are thin rows, index entries and the texts of documents that met another in an
 entry. Nothing is dropped at any size.
@@ -27,6 +27,7 @@ Other columns of the input are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -39,8 +40,11 @@ from webloom.llm.components import components
 from webloom.llm.storage import join_checked, stored
 from webloom.llm.words import NOT_BLANK, SLICE_BYTES, U64, Words, gram_hashes, mix, text_slices, within_rows
 
-BLOCK_SETS = 1024
+COUNTER_BITS = 18
+COUNTERS = 1 << COUNTER_BITS
+BLOCK_SETS = 2048
 BLOCK_BYTES = 16 << 20  # of text, of all sets in a block
+BAND_STEP = 1 << 40
 LIST_BLOCK = 64  # positions in a block of an inverted list
 
 
@@ -93,46 +97,74 @@ class Parts:
         return np.searchsorted(self.low, sizes, "right") - 1
 
 
-def index_entries(grams: np.ndarray, rows: np.ndarray, n: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index entries of the sets, and the number of entries of each row."""
+def _cells(grams, rows, n, used, tag, plan, seed):
+    """Hash of each part of the sets in use, and its set, part number and whether it is filled."""
+    parts = np.where(used, plan.parts[tag], 0)
+    first = np.r_[0, np.cumsum(parts)]
+    salted = mix(grams + mix(tag[rows].astype(U64) + U64(seed)))
+    cell = first[rows] + (salted % np.maximum(parts[rows], 1).astype(U64)).astype(np.int64)
+    sums = np.zeros(first[-1], U64)
+    np.add.at(sums, cell, salted)
+    filled = np.bincount(cell, minlength=first[-1]) > 0
+    owner = np.repeat(np.arange(n), parts)
+    number = np.arange(first[-1]) - first[owner]
+    entry = mix(sums + mix(tag[owner].astype(U64) * U64(1 << 32) + number.astype(U64) + U64(seed)))
+    short = np.bincount(owner, weights=~filled, minlength=n) > plan.spare[tag]
+    return entry, owner, filled, short
+
+
+def index_entries(
+    grams: np.ndarray, rows: np.ndarray, n: int, num: int, den: int, frequent: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Index entries of the sets, and the number of entries of each row. ``frequent``: of the grams."""
     sizes = np.bincount(rows, minlength=n)
     plan = Parts(num, den, int(sizes.max(initial=1)))
     own = plan.of(np.maximum(sizes, 1))
-    all_entries, all_rows = [], []
-    starts = np.r_[0, np.cumsum(sizes)]
+    rare = np.ones(len(grams), bool) if frequent is None else ~frequent
+    entries, owners = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
     for step in (0, 1):
         tag = own + step
         used = (sizes > 0) & (True if step == 0 else sizes * den >= num * plan.low[tag])
-        picked = np.flatnonzero(used)
-        if not len(picked):
-            continue
-        parts = np.where(used, plan.parts[tag], 0)
-        first = np.r_[0, np.cumsum(parts)]
-        mine = used[rows]
-        g, r = grams[mine], rows[mine]
-        salted = mix(g + mix(tag[r].astype(U64) + U64(77)))
-        cell = first[r] + (salted % parts[r].astype(U64)).astype(np.int64)
-        sums = np.zeros(first[-1], U64)
-        np.add.at(sums, cell, salted)
-        filled = np.bincount(cell, minlength=first[-1]) > 0
-        row_of = np.repeat(np.arange(n), parts)
-        empty = np.bincount(row_of, weights=~filled, minlength=n)
-        keep = filled | (empty > plan.spare[tag])[row_of]
-        part = np.arange(first[-1]) - first[row_of]
-        entry = mix(sums + mix(tag[row_of].astype(U64) * U64(1 << 32) + part.astype(U64)))
-        all_entries.append(entry[keep])
-        all_rows.append(row_of[keep])
-    if not all_entries:
-        return np.zeros(0, U64), np.zeros(n, np.int64)
-    entries, owners = np.concatenate(all_entries), np.concatenate(all_rows)
+        mine = used[rows] & rare
+        entry, owner, filled, short = _cells(grams[mine], rows[mine], n, used, tag, plan, 77)
+        entries.append(entry[filled])
+        owners.append(owner[filled])
+        # sets with too many empty parts: by all their n-grams, and by empty parts if still too many
+        poor = used & short
+        mine = poor[rows]
+        entry, owner, filled, short = _cells(grams[mine], rows[mine], n, poor, tag, plan, 99)
+        keep = filled | short[owner]
+        entries.append(entry[keep])
+        owners.append(owner[keep])
+    entries, owners = np.concatenate(entries), np.concatenate(owners)
     order = np.argsort(owners, kind="stable")
     return entries[order], np.bincount(owners, minlength=n)
 
 
+def _count(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(COUNTERS, np.int64)
+    for batch in batches:
+        for _, _, data, offsets in text_slices(batch.column("text")):
+            grams, _ = shingle_sets(data, offsets, k)
+            total += np.bincount((grams >> U64(64 - COUNTER_BITS)).astype(np.int64), minlength=COUNTERS)
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["counter", "n"])
+
+
+def frequent_counters(docs: DataFrame, k: int) -> np.ndarray:
+    """Which counters hold far more n-grams than usual: a fixed number, whatever the data."""
+    counted = docs.select("text").mapInArrow(partial(_count, k=k), "counter bigint, n bigint")
+    total = np.zeros(COUNTERS)
+    known = counted.groupBy("counter").agg(F.sum("n").alias("n")).toPandas()
+    total[known["counter"].to_numpy()] = known["n"].to_numpy()
+    usual = np.median(total)
+    return total > usual + 8 * np.sqrt(usual) + 8
+
+
 SET_SCHEMA = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, entries array<bigint>"
 
 
-def _sets(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first, n, data, offsets in text_slices(batch.column("text")):
             grams, rows = shingle_sets(data, offsets, k)
@@ -140,7 +172,8 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> Iter
             d1, d2 = np.zeros(n, U64), np.zeros(n, U64)
             np.add.at(d1, rows, mix(grams + U64(1)))
             np.add.at(d2, rows, mix(grams ^ U64(0x5851F42D4C957F2D)))
-            entries, counts = index_entries(grams, rows, n, num, den)
+            frequent = hot[(grams >> U64(64 - COUNTER_BITS)).astype(np.int64)]
+            entries, counts = index_entries(grams, rows, n, num, den, frequent)
             lists = pa.ListArray.from_arrays(
                 pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(entries.view(np.int64))
             )
@@ -248,6 +281,58 @@ def _groups(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> It
         yield _group(np.array(ids), texts, np.array(sides), k, num, den)
 
 
+def links_within(
+    docs: DataFrame, sized: DataFrame, k: int, num: int, den: int, block_sets: int = BLOCK_SETS,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """Links ``a, b`` that join the similar documents of each group.
+
+    ``docs``: doc_id, text. ``sized``: doc_id, n_shingles, c (its group).
+    """
+    # linked sets are in the same band of sizes or in neighbouring ones. A doc_id with several
+    # texts has a row for the band of each
+    width = math.log(den / num) * 1.0001
+    sized = stored(sized.withColumn("band", F.floor(F.log(F.greatest("n_shingles", F.lit(1))) / width).cast("bigint")))
+    count, grams = F.count(F.lit(1)), F.sum("n_shingles")
+    bands = sized.groupBy("c", "band").agg(
+        count.alias("n"), grams.alias("w"),
+        F.ceil(F.greatest(count / block_sets, grams * 8 / block_bytes)).cast("bigint").alias("blocks"),
+    )
+    plan = stored(
+        bands.groupBy("c").agg(
+            F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("blocks"),
+            ((F.sum("n") > block_sets) | (F.sum("w") * 8 > block_bytes)).alias("cut"),
+        )
+    )
+    placed = join_checked(sized.select("doc_id", "c", "band").distinct(), plan, ["c"])
+    own = F.col("band") * BAND_STEP + F.pmod(F.xxhash64("doc_id"), F.try_element_at("blocks", F.col("band")))
+    near = F.flatten(
+        F.transform(
+            F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1),
+            lambda b: F.when(
+                F.coalesce(F.try_element_at("blocks", b), F.lit(0)) > 0,
+                F.transform(F.sequence(F.lit(0).cast("bigint"), F.try_element_at("blocks", b) - 1), lambda x: b * BAND_STEP + x),
+            ).otherwise(F.array().cast("array<bigint>")),
+        )
+    )
+    placed = stored(
+        placed.select(
+            "doc_id", "c", F.when(F.col("cut"), own).otherwise(F.lit(0)).alias("mine"),
+            F.when(F.col("cut"), near).otherwise(F.array(F.lit(0).cast("bigint"))).alias("others"),
+        )
+    )
+    texts = join_checked(docs, placed, ["doc_id"])
+    dealt = texts.select("c", "mine", "doc_id", "text", F.explode("others").alias("other")).select(
+        "c", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "doc_id", "text",
+        F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1).alias("side"),
+    )
+    # a block on its own meets itself in (i, i); blocks i < j meet each other in (i, j)
+    return stored(
+        dealt.repartition("c", "i", "j").sortWithinPartitions("c", "i", "j", "doc_id")
+        .mapInArrow(partial(_groups, k=k, num=num, den=den), "a bigint, b bigint")
+    )
+
+
 def similar_groups(
     docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, block_sets: int = BLOCK_SETS,
     block_bytes: int = BLOCK_BYTES,
@@ -258,7 +343,8 @@ def similar_groups(
     similarity must be over 0.5.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    sets = stored(docs.mapInArrow(partial(_sets, k=k, num=num, den=den), SET_SCHEMA))
+    hot = frequent_counters(docs, k)
+    sets = stored(docs.mapInArrow(partial(_sets, k=k, num=num, den=den, hot=hot), SET_SCHEMA))
     usable = sets.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = stored(usable.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")))
 
@@ -273,28 +359,10 @@ def similar_groups(
     met = join_checked(entered, meeting, ["entry"]).filter("doc_id <> leader")
     members = stored(components(met.select(F.col("doc_id").alias("a"), F.col("leader").alias("b")).distinct()))
 
-    # the rep of a class stands for it; other rows of a met doc_id with another text are met in their own right
-    of_group = members.withColumnsRenamed({"node": "doc_id", "component": "c"})
-    texts = join_checked(docs.filter(F.col("doc_id").isNotNull()), of_group, ["doc_id"])
-    size = stored(
-        join_checked(sets.select("doc_id", "n_shingles"), of_group, ["doc_id"]).groupBy("c").agg(
-            F.greatest(
-                F.ceil(F.count(F.lit(1)) / block_sets), F.ceil(F.sum("n_shingles") * 8 / block_bytes)
-            ).cast("int").alias("blocks")
-        )
-    )
-    cut = join_checked(texts, size, ["c"])
-    mine = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    dealt = cut.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select(
-        "c", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "doc_id", "text",
-        F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1).alias("side"),
-    )
-    # a block on its own meets itself in (i, i); blocks i < j meet each other in (i, j)
-    links = stored(
-        dealt.repartition("c", "i", "j").sortWithinPartitions("c", "i", "j", "doc_id")
-        .mapInArrow(partial(_groups, k=k, num=num, den=den), "a bigint, b bigint")
+    sized = join_checked(
+        sets.select("doc_id", "n_shingles"), members.withColumnsRenamed({"node": "doc_id", "component": "c"}), ["doc_id"]
     )
+    links = links_within(docs.filter(F.col("doc_id").isNotNull()), sized, k, num, den, block_sets, block_bytes)
     found = components(links).withColumnsRenamed({"node": "rep", "component": "component_id"})
     named = stored(
         classes.join(found, "rep", "left").select("d1", "d2", F.coalesce("component_id", "rep").alias("component_id"))
