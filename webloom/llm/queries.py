@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
@@ -11,10 +13,12 @@ from webloom.llm import op10_pii as op10
 from webloom.llm import op2_decontamination as op2
 from webloom.llm import op3_jaccard_join as op3
 from webloom.llm import op4_mixing as op4
+from webloom.llm import op5_token_counts as op5
+from webloom.llm import op6_substring_dedup as op6
 from webloom.llm import op7_fingerprint as op7
 from webloom.llm import op8_quality as op8
 from webloom.llm import op9_suffix_dedup as op9
-from webloom.llm.storage import bounded_batches, spread_scan, table
+from webloom.llm.storage import bounded_batches, shared_folder, spread_scan, table
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +43,18 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    docs = spread_scan(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"))
+    folder = f"{shared_folder(spark)}/rollup-{uuid.uuid4().hex}"
+    return op5.rollup_of(docs, table(spark, sf_dir, "labels"), folder, op5.Tokenizer("byte_bpe_50k"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return op6.repeated_passages(spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7.fingerprint_report(table(spark, sf_dir, "documents"))
 
@@ -64,6 +80,8 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_mixing": op4_mixing,
+    "op5_token_counts": op5_token_counts,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_fingerprint": op7_fingerprint,
     "op8_quality": op8_quality,
     "op9_suffix_dedup": op9_suffix_dedup,
