@@ -309,6 +309,25 @@ def _lists(rows: DataFrame, value: str, name: str) -> DataFrame:
     return stored(rows.groupBy("doc", "tie").agg(F.collect_list(value).alias(name)))
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Overlapping and touching spans of each document become one."""
+    for batch in batches:
+        lists = batch.column("spans")
+        row = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
+        packed = lists.flatten().to_numpy()
+        order = np.lexsort((packed, row))
+        row, start, end = row[order], packed[order] >> 32, packed[order] & 0xFFFFFFFF
+        reach = np.maximum.accumulate(end + (row << 33)) - (row << 33)  # furthest end so far in the row
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (start[1:] > reach[:-1])
+        heads = np.flatnonzero(new)
+        tails = np.r_[heads[1:], len(row)] - 1
+        merged = (start[heads] << 32) | reach[tails]
+        counts = np.bincount(row[heads], minlength=len(lists))
+        spans = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(merged))
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("tie"), spans], ["doc", "tie", "spans"])
+
+
 def _with_lists(docs: DataFrame, lists: DataFrame, name: str, how: str) -> DataFrame:
     """Join documents with their lists, broadcast if all their items are few."""
     count = lists.agg(F.count(F.lit(1)) * 4 + F.coalesce(F.sum(F.size(name)), F.lit(0))).first()[0]
@@ -349,7 +368,7 @@ def _place(at: str = "at") -> F.Column:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """``doc_id, text, spans``: spans (start << 32 | end, in bytes, unordered) whose bytes repeat earlier ones."""
+    """``doc_id, text, spans``: disjoint spans (start << 32 | end, in bytes) whose bytes repeat earlier ones."""
     docs = _keyed(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
     tied = _tied(docs)
     runs = docs.select("doc", "repeats", "text").mapInArrow(_runs, _RUN)
@@ -382,7 +401,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         .unionByName(order.filter(F.col("kind") == REPEAT).select("doc", "tie", one.alias("span")))
         .unionByName(crossing.select("doc", "tie", one.alias("span")))
     )
-    return _with_lists(tied, _lists(found, "span", "spans"), "spans", "left").select("doc_id", "text", "spans")
+    spans = found.groupBy("doc", "tie").agg(F.collect_list("span").alias("spans"))
+    spans = stored(spans.mapInArrow(_joined, "doc bigint, tie bigint, spans array<bigint>"))
+    return _with_lists(tied, spans, "spans", "left").select("doc_id", "text", "spans")
 
 
 _REPORT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _STEP = 0x9E3779B97F4A7C15 | 1
 _powers: dict[str, np.ndarray] = {}
 
