@@ -24,7 +24,7 @@ from webloom.operators.ledger import mark_processed, pending_files, seed_ledger
 from webloom.operators.lemmas import lemma_dictionary, lemmatise
 from webloom.operators.lookup import inlink_counts, keywords_by_df, most_frequent_keywords, outlink_counts, postings_of
 from webloom.operators.merge import (
-    dense_ids, insert_if_absent, postings_by_id, postings_by_key, replace_children,
+    accumulate, dense_ids, insert_if_absent, postings_by_id, postings_by_key, replace_children,
 )
 from webloom.plans.counters import scan_counters
 from webloom.plans.index import (
@@ -39,13 +39,14 @@ from webloom.sources.warc import archive_paths, read_warc, record_fields, regist
 from webloom.streaming.ingest import ingest_stream
 
 IDS_BROADCAST = 1_000_000
-SITE_LINES = 100  # length of the site list prefix, as the derived list is short
+SITE_PREFIX = 100  # lines; only of the queries whose feature is a prefix of the list
+PAGES_PER_ARCHIVE = 64
 _stored: set[str] = set()
 
 
-def archive_of(url: Column) -> Column:
-    """Archive a page belongs to: one of sixteen by a hash of its URL."""
-    return F.substring(F.md5(url.cast("binary")), 1, 1)
+def archive_of(page_id: Column) -> Column:
+    """Archive a page belongs to: archives hold so many pages, and a larger table has more of them."""
+    return F.lpad(F.floor(page_id / PAGES_PER_ARCHIVE).cast("string"), 9, "0")
 
 
 def archive_in(path: Column) -> Column:
@@ -60,7 +61,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        self.scratch = f"{scratch_dir(spark)}/{hashlib.md5(self.sf_dir.encode()).hexdigest()[:8]}"
+        self.scratch = f"{scratch_dir(spark)}/{hashlib.md5(self.sf_dir.encode()).hexdigest()}"
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -76,7 +77,7 @@ class Inputs:
     # --- derived inputs -------------------------------------------------------
 
     def records(self) -> DataFrame:
-        return pages_as_records(spread(self.table("pages")), archive_of(F.col("url")))
+        return pages_as_records(spread(self.table("pages")), archive_of(F.col("page_id")))
 
     def documents(self) -> DataFrame:
         return spread(self.table("documents").select("doc_id", "text", "lang"))
@@ -104,8 +105,9 @@ class Inputs:
         hosts = self.table("pages").orderBy("page_id").select(url_host(F.col("url")).alias("host"))
         return read_lines(self.spark, self.stored("sites", lambda path: hosts.write.mode("overwrite").text(path)))
 
-    def allowlist(self) -> DataFrame:
-        return site_allowlist(self.site_list(), SITE_LINES)
+    def allowlist(self, lines: int = 0) -> DataFrame:
+        """Hosts of the whole site list, or of its first ``lines``."""
+        return site_allowlist(self.site_list(), lines)
 
     def lemma_lines(self) -> DataFrame:
         """A line per word of the conversations; those with a digit are malformed."""
@@ -149,7 +151,7 @@ class Inputs:
             F.lit("\r\n\r\n"),
             body,
         )
-        rows = self.table("pages").select(archive_of(F.col("url")).alias("file_id"), record.alias("value"))
+        rows = self.table("pages").select(archive_of(F.col("page_id")).alias("file_id"), record.alias("value"))
         return self.stored(
             "damaged_archives" if damaged else "archives",
             lambda path: rows.repartition("file_id")
@@ -176,7 +178,7 @@ class Inputs:
         return term_counts(self.marked(), self.dictionary())
 
     def keywords(self) -> DataFrame:
-        return Index(None, document_frequency(self.terms()), None, None).keywords
+        return accumulate(document_frequency(self.terms()).drop("file_id"), ["word"], "documents_containing_word")
 
     def site_pages(self, scheme: str) -> DataFrame:
         """Pages of one crawl keyed by host, so that keys repeat within and between crawls."""
@@ -208,11 +210,11 @@ class Inputs:
 
 
 def line_prefix(i: Inputs) -> DataFrame:
-    return first_lines(i.url_lines(), SITE_LINES).select("line")
+    return first_lines(i.url_lines(), SITE_PREFIX).select("line")
 
 
 def allowlist_hosts(i: Inputs) -> DataFrame:
-    return i.allowlist()
+    return i.allowlist(SITE_PREFIX)
 
 
 def lemma_dictionary_job(i: Inputs) -> DataFrame:
@@ -252,7 +254,7 @@ def record_headers(i: Inputs) -> DataFrame:
 
 def file_number_job(i: Inputs) -> DataFrame:
     path = F.concat(
-        F.lit("crawl-data/"), archive_of(F.col("url")), F.lit("/warc/CC-MAIN-2024-"),
+        F.lit("crawl-data/"), archive_of(F.col("page_id")), F.lit("/warc/CC-MAIN-2024-"),
         F.lpad(F.col("page_id").cast("string"), 8, "0"), F.lit(".warc.gz"),
     )
     return i.table("pages").select(path.alias("path"), file_number(path).alias("file_number"))
@@ -370,7 +372,7 @@ def indexable_pages(i: Inputs) -> DataFrame:
 
 
 def allowlist_semi_join(i: Inputs) -> DataFrame:
-    return filter_hosts(i.records(), i.allowlist()).select("record_no", "target_uri", "host")
+    return filter_hosts(i.records(), i.allowlist(SITE_PREFIX)).select("record_no", "target_uri", "host")
 
 
 def document_frequency_job(i: Inputs) -> DataFrame:
@@ -392,15 +394,15 @@ def distinct_links(i: Inputs) -> DataFrame:
 
 def latest_page(i: Inputs) -> DataFrame:
     pages = i.table("pages").select(
-        url_host(F.col("url")).alias("host"), archive_of(F.col("url")).alias("file_id"),
+        url_host(F.col("url")).alias("host"), archive_of(F.col("page_id")).alias("file_id"),
         F.col("page_id").alias("record_no"), "url",
     )
     return latest_pages(pages, "host")
 
 
 def scan_counters_job(i: Inputs) -> DataFrame:
-    records = i.varied_records().withColumn("file_id", archive_of(F.col("target_uri")))
-    return scan_counters(records, i.allowlist(), i.model)
+    records = i.varied_records().withColumn("file_id", archive_of(F.col("record_no")))
+    return scan_counters(records, i.allowlist(SITE_PREFIX), i.model)
 
 
 def postings_with_ids(i: Inputs) -> DataFrame:
@@ -473,7 +475,7 @@ def ledger_mark(i: Inputs) -> DataFrame:
     return i.marked_ledger()
 
 
-def incremental_ingest(i: Inputs) -> DataFrame:
+def ingested(i: Inputs) -> IndexStore:
     """All archives through the stream, a few files per batch, into a new store."""
     def run(path: str) -> None:
         query = ingest_stream(
@@ -482,7 +484,33 @@ def incremental_ingest(i: Inputs) -> DataFrame:
         )
         query.awaitTermination()
 
-    return IndexStore(i.spark, i.stored("ingested", run)).read().keywords
+    return IndexStore(i.spark, i.stored("ingested", run))
+
+
+def incremental_ingest(i: Inputs) -> DataFrame:
+    return ingested(i).read().keywords
+
+
+def ingested_postings(i: Inputs) -> DataFrame:
+    return ingested(i).read().postings
+
+
+def ingested_websites(i: Inputs) -> DataFrame:
+    return ingested(i).read().websites
+
+
+def ingested_links(i: Inputs) -> DataFrame:
+    return ingested(i).read().links
+
+
+def ingest_report(i: Inputs) -> DataFrame:
+    """Counters of all batches of the ingest, and what was left to do after the last."""
+    totals = [F.sum(c).alias(c) for c in ("records_read", "records_matching", "records_damaged", "pages_valid", "pages_added")]
+    return ingested(i).reports().agg(*totals, F.max_by("files_left", "version").alias("files_left"))
+
+
+def ledger_after_ingest(i: Inputs) -> DataFrame:
+    return ingested(i).files().select(archive_in(F.col("file_name")).alias("file_id"), "processed")
 
 
 # --- audits and lookups --------------------------------------------------------------------
@@ -581,6 +609,11 @@ JOBS = {
     "ledger_seed": ledger_seed,
     "ledger_mark": ledger_mark,
     "incremental_ingest": incremental_ingest,
+    "ingested_postings": ingested_postings,
+    "ingested_websites": ingested_websites,
+    "ingested_links": ingested_links,
+    "ingest_report": ingest_report,
+    "ledger_after_ingest": ledger_after_ingest,
     "audit_unique": audit_unique_job,
     "audit_fk": audit_fk_job,
     "audit_not_null": audit_not_null_job,

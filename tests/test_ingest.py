@@ -11,7 +11,7 @@ from test_sources import record
 from webloom import IndexStore, build_index, detect_language, filter_hosts, ingest_stream, parse_pages, train_language_model
 from webloom.plans.counters import scan_counters
 from webloom.sources.warc import archive_paths, read_warc, record_fields
-from webloom.streaming.ingest import ingest_archives
+from webloom.streaming.ingest import ingest_archives, ingest_pending
 
 ENGLISH = "the quick brown fox jumps over the lazy dog while the children were watching them from the window of this house"
 GERMAN = "der schnelle braune fuchs springt über den faulen hund während die kinder ihn aus dem fenster des hauses beobachten"
@@ -127,6 +127,55 @@ def test_archive_run_twice_counts_once(spark, crawl, model, tmp_path):
     assert as_dict(store.read()) == as_dict(once.read())
 
 
+@pytest.mark.parametrize("archives", [1, 8])
+def test_batch_without_listed_records_is_committed(spark, model, tmp_path, archives):
+    folder = tmp_path / "crawl"
+    folder.mkdir()
+    for n in range(archives):
+        write_archive(folder, f"c-{n:05}.warc.gz", [record("http://other.org/", page("Other", "the children"))])
+    store = IndexStore(spark, str(tmp_path / "s"))
+    allow = spark.createDataFrame([("a.org",)], "host string")
+    ingest_stream(spark, str(folder), store, str(tmp_path / "c"), allow, None, model).awaitTermination()
+    assert store.read().websites.count() == 0
+    assert [r.processed for r in store.files().collect()] == [True] * archives
+    assert store.reports().collect()[0].records_read == archives
+
+
+def test_archive_with_damage_only_stays_pending(spark, model, tmp_path):
+    folder = tmp_path / "crawl"
+    folder.mkdir()
+    (folder / "c-00000.warc.gz").write_bytes(gzip.compress(b"x" * 5000)[:-9] + b"rest")
+    store = IndexStore(spark, str(tmp_path / "s"))
+    allow = spark.createDataFrame([("a.org",)], "host string")
+    ingest_stream(spark, str(folder), store, str(tmp_path / "c"), allow, None, model).awaitTermination()
+    assert store.pending().count() == 1 and store.reports().collect()[0].files_left == 1
+
+
+def test_work_list_is_done_in_steps(spark, crawl, model, tmp_path):
+    folder, allow = crawl
+    store = IndexStore(spark, str(tmp_path / "s"))
+    names = archive_paths(spark, str(folder)).select(F.col("path").alias("file_name"))
+    assert store.seed(names) == 2 and store.seed(names) == 0
+    reports = [ingest_pending(store, allow, None, model, most=1, note=f"run-{n}") for n in range(3)]
+    assert [(r.records_read, r.records_matching, r.pages_valid, r.files_left) for r in reports[:2]] == [(7, 4, 1, 1), (2, 2, 2, 0)]
+    assert reports[2] is None
+    once = IndexStore(spark, str(tmp_path / "o"))
+    ingest_archives(once, archive_paths(spark, str(folder)), allow, None, model)
+    assert as_dict(store.read()) == as_dict(once.read())
+
+
+def test_emptied_archive_loses_its_counts(spark, crawl, model, tmp_path):
+    folder, allow = crawl
+    store = IndexStore(spark, str(tmp_path / "s"))
+    for note in ("first", "again"):
+        ingest_archives(store, archive_paths(spark, str(folder)), allow, None, model, note)
+        write_archive(folder, "c-00001.warc.gz", [record("http://other.org/", page("Other", "the children"))])
+    words = {r.word for r in store.read().keywords.collect()}
+    assert "fox" not in words and "dog" in words
+    store.compact()
+    assert {r.word for r in store.read().keywords.collect()} == words
+
+
 def test_failed_archive_is_not_marked(spark, crawl, model, tmp_path):
     folder, allow = crawl
     store = IndexStore(spark, str(tmp_path / "s"))

@@ -2,6 +2,7 @@
 
 import gzip
 import io
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from webloom import lemma_dictionary, lemmatise, read_lines, register_warc_source, scan_archives, site_allowlist
 from webloom.operators.hosts import filter_hosts
 from webloom.sources.lines import file_number, first_lines
-from webloom.sources.warc import archive_paths, iter_records, read_warc, record_fields
+from webloom.sources.warc import archive_paths, iter_records, read_warc, record_fields, split_path
 
 
 def ordered(lines):
@@ -55,12 +56,12 @@ def test_lemma_dictionary(spark, tmp_path):
     path = tmp_path / "lemmas.txt"
     path.write_text(
         "be/12 -> is,are , was\nrun/5 -> runs,ran,\nnoslash -> seen\na->b->c\nx/1-2 -> skipped\n"
-        "late/1 -> is\nMixed/2 -> Upper,lower\nno arrow\n"
+        "late/1 -> is\nMixed/2 -> Upper,lower\nno arrow\nhave/3 ->\u00a0has,\thad\n"
     )
     found = {r.word: r.lemma for r in lemma_dictionary(read_lines(spark, str(path))).collect()}
     assert found == {
         "is": "late", "are": "be", "was": "be", "runs": "run", "ran": "run", "": "run", "seen": "noslash",
-        "c": "a->b", "Upper": "Mixed", "lower": "Mixed",
+        "c": "a->b", "Upper": "Mixed", "lower": "Mixed", "has": "have", "had": "have",
     }
 
 
@@ -114,15 +115,65 @@ def test_damaged_record_is_reported_once_and_skipped(spark, tmp_path, damage):
     assert read_warc(spark, path).count() == 3
 
 
-def test_cut_off_and_damaged_compression(tmp_path):
-    whole = gzip.compress(GOOD[0]) + gzip.compress(GOOD[1])
-    for data in (whole[:-12], whole[: len(gzip.compress(GOOD[0]))] + b"\x1f\x8b\x08garbage"):
-        found = list(iter_records(gzip.GzipFile(fileobj=io.BytesIO(data))))
-        assert [problem is None for _, _, problem in found] == [True, False]
+def scanned(spark, path):
+    rows = scan_archives(archive_paths(spark, str(path))).orderBy("record_no").collect()
+    return [r._corrupt_record or r.headers.get("warc-target-uri", "") for r in rows]
+
+
+def test_damage_costs_only_the_damaged_members(spark, tmp_path):
+    names = [f"http://m.org/{n}" for n in range(24)]
+    members = [gzip.compress(record(n, os.urandom(3000))) for n in names]
+    for bad in (0, 7, 8, 23):
+        member = bytearray(members[bad])
+        member[len(member) // 2 : len(member) // 2 + 40] = b"\xff" * 40
+        members[bad] = bytes(member)
+    (tmp_path / "x-0.warc.gz").write_bytes(b"".join(members))
+    found = scanned(spark, tmp_path)
+    assert [f for f in found if f.startswith("http")] == [n for i, n in enumerate(names) if i not in (0, 7, 8, 23)]
+    assert sum(f.startswith("damaged compression") for f in found) == 4
+
+
+def test_wrong_checksum_and_garbage_between_members(spark, tmp_path):
+    one, two, three = (gzip.compress(r) for r in (record(f"http://{n}.org/", b"x" * 50) for n in "abc"))
+    wrong = two[:-8] + b"\0\0\0\0" + two[-4:]
+    (tmp_path / "x-0.warc.gz").write_bytes(one + wrong + b"\0\0" + three)
+    found = scanned(spark, tmp_path)
+    assert found[0] == "http://a.org/" and "incorrect data check" in found[1] and found[2:] == ["http://c.org/"]
+    (tmp_path / "x-0.warc.gz").write_bytes(one + b"garbage" + three)
+    assert [f for f in scanned(spark, tmp_path) if f.startswith("http")] == ["http://a.org/", "http://c.org/"]
+
+
+def test_cut_off_archive(spark, tmp_path):
+    whole = gzip.compress(GOOD[0]) + gzip.compress(GOOD[2])
+    (tmp_path / "x-0.warc.gz").write_bytes(whole[:-20])
+    assert scanned(spark, tmp_path) == ["http://a.org/", "damaged compression: cut off"]
     short = list(iter_records(io.BytesIO(record("u", b"abc", Content_Length=50))))
     assert short[0][2] == "body cut off"
 
 
+def test_bodies_of_malformed_records_are_passed_over_and_lines_have_no_limit(spark, tmp_path):
+    inside = record("http://phantom.org/", b"no record")
+    bad = b"WARC/1.0\r\nno colon here\r\nContent-Length: %d\r\n\r\n" % len(inside) + inside + b"\r\n\r\n"
+    long = "http://l.org/" + "x" * 70_000
+    archive(tmp_path / "x-0.warc.gz", [GOOD[0], bad, record(long, b"body")])
+    assert scanned(spark, tmp_path) == ["http://a.org/", "malformed header: no colon here", long]
+
+
+def test_paths_of_file_systems():
+    assert split_path("s3a://bucket/a.gz") == ("s3", "s3://bucket/a.gz")
+    assert split_path("hdfs://name:8020/a.gz") == ("hdfs", "hdfs://name:8020/a.gz")
+    assert split_path("file:/tmp/a#b?c.gz") == split_path("file:///tmp/a#b?c.gz") == ("", "/tmp/a#b?c.gz")
+    with pytest.raises(ValueError):
+        split_path("ftp://x/a.gz")
+
+
+def test_each_archive_is_a_task(spark, tmp_path):
+    for n in range(64):
+        archive(tmp_path / f"x-{n:02}.warc.gz", [GOOD[0]])
+    tasks = read_warc(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == 64 and {r["count"] for r in tasks} == {1}
+
+
 def test_missing_archive_fails_the_job(spark):
     missing = spark.createDataFrame([("x", "/nowhere/x.warc.gz")], "file_id string, path string")
     with pytest.raises(Exception):

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from webloom.functions.text import UNICODE_BLANKS
 from webloom.session import checked_lookup, lookup_join
 
 # Fixed value: form of a dictionary line, ``lemma/number -> word,word``.
-LINE_PATTERN = r"^([^/]+)[^->]*->(.+)$"
+LINE_PATTERN = r"(?d)^([^/]+)[^->]*->(.+)$"
 BROADCAST_ROWS = 1_000_000
 
 
+def trimmed(text: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.trim(text, F.lit(UNICODE_BLANKS))
+
+
 def lemma_dictionary(lines: DataFrame) -> DataFrame:
     """``(word, lemma)`` from ``(line, line_pos)``; a later entry for a word wins.
 
@@ -20,11 +26,11 @@ def lemma_dictionary(lines: DataFrame) -> DataFrame:
     """
     entries = lines.filter(F.col("line").rlike(LINE_PATTERN)).select(
         "line_pos",
-        F.trim(F.regexp_extract("line", LINE_PATTERN, 1)).alias("lemma"),
+        trimmed(F.regexp_extract("line", LINE_PATTERN, 1)).alias("lemma"),
         F.posexplode(F.split(F.regexp_extract("line", LINE_PATTERN, 2), ",")).alias("pos", "entry"),
     )
     return (
-        entries.withColumn("word", F.trim("entry"))
+        entries.withColumn("word", trimmed(F.col("entry")))
         .groupBy("word")
         .agg(F.max_by("lemma", F.struct("line_pos", "pos")).alias("lemma"))
     )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webloom.functions.text import MAX_KEYWORD_LENGTH, truncate_word, word_count
+from webloom.operators.ledger import pending_files, seed_ledger
 from webloom.operators.lemmas import lemmatise_rows
 from webloom.operators.merge import accumulate, replace_children, upsert
 from webloom.plans.pages import indexable
@@ -119,13 +120,17 @@ def build_index(
     )
 
 
-def merge_index(old: Index, new: Index) -> Index:
-    """Stored index with a batch merged in; merging the same batch twice changes nothing."""
+def merge_index(old: Index, new: Index, archives: DataFrame | None = None) -> Index:
+    """Stored index with a batch merged in; merging the same batch twice changes nothing.
+
+    ``archives``: the ``file_id`` of all archives in the batch, also of those without a word.
+    """
     batch = new.websites.select("url")
+    archives = new.keyword_parts if archives is None else archives
     return Index(
         websites=upsert(old.websites, new.websites, ["url"]),
         keyword_parts=replace_children(
-            old.keyword_parts, new.keyword_parts, new.keyword_parts.select("file_id"), ["file_id"]
+            old.keyword_parts, new.keyword_parts, archives.select("file_id"), ["file_id"]
         ),
         postings=replace_children(old.postings, new.postings, batch, ["url"]),
         links=replace_children(
@@ -158,7 +163,9 @@ class IndexStore:
         "postings": ["word", "url"],
         "links": ["target_website", "source_url"],
         "files": ["file_name"],
+        "archives": ["file_id"],
     }
+    REPORT = "version long, records_read long, records_matching long, records_damaged long, pages_valid long, pages_added long, files_left long"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -189,7 +196,7 @@ class IndexStore:
         if head["base"] < head["version"]:
             pages = _repeated(tables["websites"], "url")
             sources = Lookup(pages.rows.withColumnRenamed("url", "source_url"), pages.small)
-            archives = _repeated(tables["keyword_parts"].select("file_id", "version").distinct(), "file_id")
+            archives = _repeated(self._live("archives"), "file_id")
             tables = {
                 "websites": _last_only(tables["websites"], pages, "url"),
                 "keyword_parts": _last_only(tables["keyword_parts"], archives, "file_id"),
@@ -204,27 +211,58 @@ class IndexStore:
             return None
         return self._live("files").groupBy("file_name").agg(F.bool_or("processed").alias("processed"))
 
-    def append(self, batch: Index, files: DataFrame, note: str = "") -> int:
-        """Add a batch: its pages replace stored ones, its archives' counts too."""
+    def append(self, batch: Index, files: DataFrame, note: str = "", archives: DataFrame | None = None) -> int:
+        """Add a batch: its pages replace stored ones, its archives' counts too.
+
+        ``archives``: the ``file_id`` of all archives in the batch, also of those without a word.
+        """
         head = self.current()
         version = head["version"] + 1 if head else 1
-        return self._commit(version, head["base"] if head else version, batch, files, note)
+        return self._commit(version, head["base"] if head else version, batch, files, note, archives)
 
-    def publish(self, index: Index, files: DataFrame, note: str = "") -> int:
+    def publish(self, index: Index, files: DataFrame, note: str = "", archives: DataFrame | None = None) -> int:
         """Store a whole index as the new base."""
         head = self.current()
         version = head["version"] + 1 if head else 1
-        return self._commit(version, version, index, files, note)
+        return self._commit(version, version, index, files, note, archives)
 
     def compact(self) -> int:
-        return self.publish(self.read(), self.files(), self.current()["note"])
+        archives = self._live("archives").select("file_id").distinct()
+        return self.publish(self.read(), self.files(), self.current()["note"], archives)
+
+    def seed(self, names: DataFrame) -> int:
+        """Add archives to do: ``file_name`` rows that the ledger does not know yet. Returns how many."""
+        known = self.files()
+        fresh = seed_ledger(names)
+        if known is not None:
+            fresh = fresh.join(known.select("file_name"), "file_name", "left_anti")
+        count = fresh.count()
+        if count:
+            self.append(empty_index(self.spark), fresh, self.current()["note"] if known is not None else "")
+        return count
+
+    def pending(self) -> DataFrame:
+        return pending_files(self.files())
+
+    def add_report(self, **counters: int) -> None:
+        row = [counters.get(name.split()[0]) for name in self.REPORT.split(", ")]
+        self.spark.createDataFrame([row], self.REPORT).coalesce(1).write.mode("append").parquet(f"{self.root}/reports")
+
+    def reports(self) -> DataFrame:
+        """Counters of each version that a run of the ingest has added."""
+        return self.spark.read.schema(self.REPORT).parquet(f"{self.root}/reports")
 
     def batches_since_base(self) -> int:
         head = self.current()
         return head["version"] - head["base"] if head else 0
 
-    def _commit(self, version: int, base: int, index: Index, files: DataFrame, note: str) -> int:
-        tables = {field.name: getattr(index, field.name) for field in fields(Index)} | {"files": files}
+    def _commit(
+        self, version: int, base: int, index: Index, files: DataFrame, note: str, archives: DataFrame | None
+    ) -> int:
+        """There is one writer at a time: two would take the same version number."""
+        archives = (index.keyword_parts if archives is None else archives).select("file_id").distinct()
+        tables = {field.name: getattr(index, field.name) for field in fields(Index)}
+        tables |= {"files": files, "archives": archives}
         for name, table in tables.items():
             order = self.LAYOUT[name]
             table.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(
@@ -237,6 +275,19 @@ class IndexStore:
         return version
 
 
+def empty_index(spark: SparkSession) -> Index:
+    """An index of no pages."""
+    def none(schema: str) -> DataFrame:
+        return spark.createDataFrame([], schema)
+
+    return Index(
+        websites=none("url string, title string, description string, word_count int"),
+        keyword_parts=none("file_id string, word string, documents_containing_word long"),
+        postings=none("word string, url string, keyword_occurrences int"),
+        links=none("source_url string, target_website string"),
+    )
+
+
 def _repeated(rows: DataFrame, key: str) -> Lookup:
     """Keys stored in several versions, with the last one."""
     versions = rows.groupBy(key).agg(F.max("version").alias("_last"), F.count(F.lit(1)).alias("_n"))

@@ -7,18 +7,18 @@ bounded size.
 
 from __future__ import annotations
 
-import gzip
-import io
-import zlib
+import re
 from collections.abc import Iterator
-from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from webloom.sources.members import Members
+
 RECORD_SCHEMA = (
     "file_id string, record_no long, headers map<string,string>, body binary, _corrupt_record string"
 )
@@ -33,67 +33,118 @@ _ARROW_SCHEMA = pa.schema(
 )
 BATCH_BYTES = 16 << 20
 BATCH_ROWS = 1000
-_LINE_LIMIT = 1 << 16
 _LARGEST_BODY = (1 << 31) - 1 - (1 << 20)  # what one Spark binary value can hold
 
 
+# Names that Spark and Arrow have for the same file systems.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "s3": "s3", "hdfs": "hdfs", "viewfs": "viewfs", "gs": "gs", "abfss": "abfss", "abfs": "abfs"}
+
+
+def split_path(path: str) -> tuple[str, str]:
+    """Arrow's name of a file's system ("" for the local one) and the path as Arrow takes it.
+
+    Local names are taken as they are, so ``#``, ``?`` and ``%`` in them mean themselves.
+    """
+    if path.startswith("/"):
+        return "", path
+    if path.startswith("file:"):
+        return "", re.sub(r"^file:/+", "/", path)
+    scheme, colon, rest = path.partition("://")
+    if not colon or scheme not in _SCHEMES:
+        raise ValueError(f"cannot open {path!r}: use a local path or one of {sorted(_SCHEMES)}")
+    return _SCHEMES[scheme], f"{_SCHEMES[scheme]}://{rest}"
+
+
 def open_stream(path: str):
     """Byte stream of a local file or of one on a shared file system."""
-    if path.startswith("/") or path.startswith("file:"):
-        return open(urlsplit(path).path if path.startswith("file:") else path, "rb")
-    system, inner = fs.FileSystem.from_uri(path)
+    scheme, name = split_path(path)
+    if not scheme:
+        return open(name, "rb")
+    system, inner = fs.FileSystem.from_uri(name)
     return system.open_input_stream(inner)
 
 
 def iter_records(stream) -> Iterator[tuple[dict | None, bytes | None, str | None]]:
     """``(headers, body, problem)`` per record; header names in lower case.
 
-    A damaged record comes out once, with a problem and no body; the scan then
-    goes on at the next line that opens a record.
+    A damaged record comes out once, with a problem and no body. Where its length is
+    usable its content is passed over, else the scan goes on at the next line that opens a
+    record. Behind damaged compression it goes on with the next member. A record waits until the
+    bytes behind it are read, as the checksum of a member is known only then.
     """
-    in_damage = False
-    try:
-        line = stream.readline(_LINE_LIMIT)
-        while line:
-            if not line.startswith(b"WARC/"):
-                if line.strip(b"\r\n") and not in_damage:
-                    in_damage = True
-                    yield None, None, "not a record: " + line[:200].decode("utf-8", "replace").rstrip()
-                line = stream.readline(_LINE_LIMIT)
-                continue
-            in_damage = False
-            headers, malformed = {}, None
-            line = stream.readline(_LINE_LIMIT)
-            while line not in (b"\r\n", b"\n", b""):
-                name, colon, value = line.decode("utf-8", "replace").partition(":")
-                if not colon:
-                    malformed = "malformed header: " + name.rstrip()
-                headers[name.strip().lower()] = value.strip()
-                line = stream.readline(_LINE_LIMIT)
-            length = headers.get("content-length", "")
-            if not malformed and not (length.isascii() and length.isdecimal()):
-                malformed = "no usable content length"
-            if not malformed and int(length) > _LARGEST_BODY:
-                malformed = "body larger than one value can hold"
-            if malformed:
+    in_damage, waiting = False, None
+    line = stream.readline()
+    while True:
+        if not line:
+            problem = getattr(stream, "problem", None)
+            if waiting and problem and "incorrect" in problem and stream.in_member:
+                yield waiting[0], None, problem  # the member's checksum does not fit what it held
+            else:
+                if waiting:
+                    yield waiting
+                if problem:
+                    yield None, None, problem
+            if not problem:
+                return
+            stream.resume()
+            in_damage, waiting = False, None
+            line = stream.readline()
+            continue
+        if not line.strip(b"\r\n"):
+            line = stream.readline()
+            continue
+        if waiting:
+            yield waiting
+            waiting = None
+        if not line.startswith(b"WARC/"):
+            if not in_damage:
                 in_damage = True
-                yield headers, None, malformed
+                yield None, None, "not a record: " + line.decode("utf-8", "replace").rstrip()
+            line = stream.readline()
+            continue
+        in_damage = False
+        headers, malformed = {}, None
+        line = stream.readline()
+        while line not in (b"\r\n", b"\n", b""):
+            name, colon, value = line.decode("utf-8", "replace").partition(":")
+            if not colon:
+                malformed = "malformed header: " + name.rstrip()
+            headers[name.strip().lower()] = value.strip()
+            line = stream.readline()
+        if not line and getattr(stream, "problem", None):
+            continue  # told of above
+        length = headers.get("content-length", "")
+        usable = length.isascii() and length.isdecimal()
+        if not malformed and not usable:
+            malformed = "no usable content length"
+        if not malformed and int(length) > _LARGEST_BODY:
+            malformed = "body larger than one value can hold"
+        if malformed:
+            yield headers, None, malformed
+            if usable:
+                _pass_over(stream, int(length))
             else:
-                body = stream.read(int(length))
-                if len(body) < int(length):
-                    yield headers, None, "body cut off"
-                else:
-                    yield headers, body, None
-            line = stream.readline(_LINE_LIMIT)
-    except (zlib.error, gzip.BadGzipFile, EOFError) as problem:
-        yield None, None, f"damaged compression: {problem}"
+                in_damage = True
+        else:
+            body = stream.read(int(length))
+            if len(body) == int(length):
+                waiting = (headers, body, None)
+            elif not getattr(stream, "problem", None):
+                yield headers, None, "body cut off"
+        line = stream.readline()
+
+
+def _pass_over(stream, count: int) -> None:
+    if hasattr(stream, "skip"):
+        stream.skip(count)
+    else:
+        stream.read(count)
 
 
 def archive_batches(file_id: str, path: str) -> Iterator[pa.RecordBatch]:
     rows, size = [], 0
-    with open_stream(path) as raw, gzip.GzipFile(fileobj=raw) as unzipped:
-        stream = io.BufferedReader(unzipped, 1 << 20)
-        for number, (headers, body, problem) in enumerate(iter_records(stream)):
+    with open_stream(path) as raw:
+        for number, (headers, body, problem) in enumerate(iter_records(Members(raw))):
             rows.append((file_id, number, list(headers.items()) if headers is not None else None, body, problem))
             size += len(body or b"")
             if size >= BATCH_BYTES or len(rows) >= BATCH_ROWS:
@@ -138,17 +189,12 @@ def scan_archives(archives: DataFrame, mode: str = "PERMISSIVE", tasks: int | No
                 yield from archive_batches(row["file_id"], row["path"])
 
     named = archives.select("file_id", "path")
-    spread = named.repartition(tasks or max(1, named.count()), "path")
+    number = (F.row_number().over(W.orderBy("path", "file_id")) - 1).cast("int")
+    count = tasks or max(1, named.count())
+    spread = named.withColumn("task", number).repartitionById(count, "task").drop("task")
     return apply_mode(spread.mapInArrow(scan, RECORD_SCHEMA), mode)
 
 
-def is_uneven(archives: DataFrame, factor: float = 2.0) -> bool:
-    """Whether one archive holds so many of the bytes that its task would lag behind."""
-    largest, total = archives.agg(F.max("length"), F.sum("length")).first()
-    cores = archives.sparkSession.sparkContext.defaultParallelism
-    return bool(total) and largest * cores > factor * total
-
-
 def apply_mode(records: DataFrame, mode: str) -> DataFrame:
     """PERMISSIVE keeps damaged records with the reason, DROPMALFORMED leaves them out."""
     if mode == "PERMISSIVE":
@@ -162,8 +208,8 @@ def read_warc(spark: SparkSession, path: str, mode: str = "DROPMALFORMED") -> Da
     return scan_archives(archive_paths(spark, path), mode)
 
 
-def record_fields(records: DataFrame) -> DataFrame:
-    """Named header fields next to the body; a missing target URI is empty text."""
+def record_fields(records: DataFrame, *others: str) -> DataFrame:
+    """Named header fields next to the body and other columns; a missing target URI is empty text."""
 
     def header(name: str):
         return F.try_element_at("headers", F.lit(name))
@@ -177,6 +223,7 @@ def record_fields(records: DataFrame) -> DataFrame:
         header("warc-identified-payload-type").alias("payload_type"),
         header("content-length").try_cast("long").alias("content_length"),
         "body",
+        *others,
     )
 
 
@@ -191,14 +238,14 @@ class _WarcReader(DataSourceReader):
         self.path = options["path"]
 
     def partitions(self):
-        if self.path.startswith("/") or self.path.startswith("file:"):
-            system, root = fs.LocalFileSystem(), urlsplit(self.path).path
-        else:
-            system, root = fs.FileSystem.from_uri(self.path)
-        scheme = "" if isinstance(system, fs.LocalFileSystem) else self.path.split("://")[0] + "://"
+        scheme, name = split_path(self.path)
+        system, root = fs.FileSystem.from_uri(name) if scheme else (fs.LocalFileSystem(), name)
+        # Arrow's paths leave out the scheme, and the host except of object stores
+        host = name.split("://")[1].split("/")[0] if scheme else ""
+        prefix = "" if not scheme else f"{scheme}://" if root.startswith(host) else f"{scheme}://{host}"
         info = system.get_file_info(root)
         files = [info] if info.is_file else system.get_file_info(fs.FileSelector(root, recursive=True))
-        return [_ArchivePartition(scheme + f.path) for f in files if f.is_file and f.path.endswith(".gz")]
+        return [_ArchivePartition(prefix + f.path) for f in files if f.is_file and f.path.endswith(".gz")]
 
     def read(self, partition):
         yield from archive_batches(partition.path, partition.path)

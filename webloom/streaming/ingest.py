@@ -3,34 +3,44 @@
 from __future__ import annotations
 
 import hashlib
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from webloom.operators.hosts import filter_hosts
+from webloom.operators.hosts import with_listed
 from webloom.operators.language import LanguageModel
 from webloom.operators.ledger import mark_processed, seed_ledger
 from webloom.plans.index import IndexStore, build_index
-from webloom.plans.pages import parse_pages
-from webloom.sources.warc import is_uneven, record_fields, scan_archives
-
+from webloom.plans.pages import indexable, parse_pages
+from webloom.sources.warc import record_fields, scan_archives
 
 
 @dataclass(frozen=True)
 class IngestReport:
-    """Counters of one batch, taken while its pages are written."""
+    """Counters of one batch."""
 
     version: int
     records_read: int
+    records_matching: int  # of listed hosts, with a body that decodes
+    records_damaged: int
     pages_valid: int
     pages_added: int
+    files_left: int
 
 
 _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
+def _counted(observation: Observation) -> dict:
+    """What was observed; nothing where the planner left an empty scan out."""
+    try:
+        return observation.get
+    except AssertionError:
+        return {}
+
+
 def ingest_archives(
     store: IndexStore,
     archives: DataFrame,
@@ -40,39 +50,70 @@ def ingest_archives(
     note: str = "",
     compact_after: int = 16,
 ) -> IngestReport:
-    """Index ``(file_id, path, length)`` archives and add them to the store.
-
-    Parsed pages are stored first: four tables read them and the parser, the
-    costly part, runs once. Index and ledger are committed together, so a failure
-    leaves the former version and its pending files as they were. After
-    ``compact_after`` batches the store is merged into a new base. Reading an
-    archive is one task's work, but when one is far larger than the others the
-    records kept of it are spread before they are parsed.
+    """Index ``(file_id, path)`` archives and add them to the store.
+
+    Records of listed hosts are stored first, with those that are damaged: reading an archive is
+    one task's work, but what it held is then spread over all tasks for the parser, and counts
+    come from what was stored. Parsed pages are stored as well, as four tables read them. Index
+    and ledger are committed together, so a failure leaves the former version and its pending
+    files as they were. An archive with damaged compression is indexed as far as it can be
+    read and stays pending. After ``compact_after`` batches the store is merged into a new base.
     """
     spark = store.spark
-    read, valid = Observation(), Observation()
-    scanned = scan_archives(archives, "DROPMALFORMED").observe(read, F.count(F.lit(1)).alias("records"))
-    records = filter_hosts(record_fields(scanned), allowlist)
-    if is_uneven(archives):
-        records = records.repartition(spark.sparkContext.defaultParallelism)
-    parsed = parse_pages(records, model).select(
+    read = Observation()
+    good = F.col("_corrupt_record").isNull()
+    scanned = scan_archives(archives).observe(read, F.count_if(good).alias("good"), F.count_if(~good).alias("damaged"))
+    listed = with_listed(record_fields(scanned, "_corrupt_record"), allowlist)
+    staged = f"{store.root}/staged/{note or 'batch'}"
+    kept = listed.filter((F.col("listed") & good) | ~good).drop("listed")
+    kept.write.mode("overwrite").parquet(f"{staged}/records")
+    records = spark.read.parquet(f"{staged}/records")
+    matching = records.filter(good & F.is_valid_utf8(F.col("body").cast("string"))).count()
+    broken = records.filter(F.col("_corrupt_record").startswith("damaged compression")).select("file_id").distinct()
+
+    parsed = parse_pages(records.filter(good).drop("_corrupt_record"), model).select(
         "file_id", "record_no", "url", "title", "description", "tokens", "links"
     )
-    has_fields = F.col("title").isNotNull() & F.col("description").isNotNull() & F.col("url").isNotNull()
-    parsed = parsed.observe(valid, F.count(F.lit(1)).alias("pages"), F.count_if(has_fields).alias("added"))
-    staged = f"{store.root}/staged/{note or 'batch'}"
     parsed.write.mode("overwrite").parquet(f"{staged}/pages")
-    read, valid = read.get, valid.get
-    batch = build_index(spark.read.parquet(f"{staged}/pages"), dictionary, staging=staged)
-
-    done = archives.select(F.col("path").alias("file_name"))
-    store.append(batch, mark_processed(seed_ledger(done), done), note)
+    pages = spark.read.parquet(f"{staged}/pages")
+    batch = build_index(pages, dictionary, staging=staged)
+
+    whole = archives.join(broken, "file_id", "left_anti").select(F.col("path").alias("file_name"))
+    ledger = mark_processed(seed_ledger(archives.select(F.col("path").alias("file_name"))), whole)
+    version = store.append(batch, ledger, note, archives.select("file_id"))
+    report = IngestReport(
+        version=version, records_read=_counted(read).get("good", 0), records_matching=matching,
+        records_damaged=_counted(read).get("damaged", 0), pages_valid=pages.count(),
+        pages_added=indexable(pages).count(), files_left=store.pending().count(),
+    )
+    store.add_report(**asdict(report))
     if store.batches_since_base() >= compact_after:
         store.compact()
-    return IngestReport(
-        version=store.current()["version"], records_read=read["records"], pages_valid=valid["pages"],
-        pages_added=valid["added"],
-    )
+    return report
+
+
+def ingest_pending(
+    store: IndexStore,
+    allowlist: DataFrame,
+    dictionary: DataFrame | None,
+    model: LanguageModel,
+    most: int | None = None,
+    file_id=lambda path: path,
+    note: str = "",
+) -> IngestReport | None:
+    """Index the archives that the store's ledger has as pending, ``most`` of them at a time.
+
+    ``store.seed(names)`` adds archives to do. None if nothing is pending.
+    """
+    names = store.pending().orderBy("file_name")
+    names = names.limit(most) if most else names
+    archives = names.select(file_id(F.col("file_name")).alias("file_id"), F.col("file_name").alias("path"))
+    # which files a batch has must not change while it runs: their names are few and short
+    rows = [tuple(r) for r in archives.collect()]
+    if not rows:
+        return None
+    archives = store.spark.createDataFrame(rows, "file_id string, path string")
+    return ingest_archives(store, archives, allowlist, dictionary, model, note)
 
 
 def ingest_stream(
@@ -99,9 +140,9 @@ def ingest_stream(
     )
     if max_files:
         source = source.option("maxFilesPerTrigger", str(max_files))
-    paths = source.load(archive_dir).select(file_id(F.col("path")).alias("file_id"), "path", "length")
+    paths = source.load(archive_dir).select(file_id(F.col("path")).alias("file_id"), "path")
 
-    stream_name = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
+    stream_name = hashlib.md5(checkpoint.encode()).hexdigest()
 
     def run(batch: DataFrame, batch_id: int) -> None:
         note = f"{stream_name}-{batch_id}"
