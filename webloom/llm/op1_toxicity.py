@@ -27,6 +27,7 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ KINDS = ("plain", "targeted", "negated", "reported", "threat")
 # Entries that clean texts hold at times are weak: what counts is how dense their clauses are.
 STRONG = 1.0
 FEATURES = (*KINDS, "weak", "dense")
-PRIOR = np.array([6.0, 7.0, 3.0, 3.0, 6.0, 1.0, 4.0])  # weights before labels are seen
+PRIOR = np.array([6.0, 7.0, 2.0, 2.0, 6.0, 1.0, 4.0])  # weights before labels are seen
 DENSE_CHARS = 300
 PRIOR_STRENGTH = 0.5
 START = -3.0
@@ -274,14 +275,16 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     def count(batches):
         pos, neg, seen = Counter(), Counter(), [0, 0]
         for batch in batches:
-            for text, y in zip(batch["text"], batch["label"], strict=True):
-                seen[int(y)] += 1
+            for text, y in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
+                seen[y] += 1
                 (pos if y else neg).update(words_of(text or ""))
         entries = list(pos.keys() | neg.keys())
-        yield pd.DataFrame({"entry": entries, "pos": [pos[e] for e in entries], "neg": [neg[e] for e in entries]})
-        yield pd.DataFrame({"entry": [""], "pos": [seen[1]], "neg": [seen[0]]})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([*entries, ""], pa.string()), pa.array([*(pos[e] for e in entries), seen[1]], pa.int64()),
+             pa.array([*(neg[e] for e in entries), seen[0]], pa.int64())], ["entry", "pos", "neg"],
+        )
 
-    counts = texts.mapInPandas(count, "entry string, pos bigint, neg bigint")
+    counts = texts.mapInArrow(count, "entry string, pos bigint, neg bigint")
     counts = counts.groupBy("entry").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     # entries of fewer positives, or of no more positives than negatives, cannot be chosen
     best = counts.filter("entry = '' or (pos >= 3 and pos > neg)").orderBy(F.col("pos").desc(), "entry").limit(200_000)
