@@ -8,7 +8,8 @@
    parts. Parts depend on a size class; a set is entered for its own class and, if it
    may link with larger sets of the next one, for that too. Parts without an n-gram are
    skipped, as extra parts make up for them (sets with more of them enter them too).
-3. Sets that meet in an entry are linked to the least of them, never pairwise, and the
+3. Of sets that meet in an entry, sizes and parity bitmaps rule out most that are not similar,
+   by a lower bound of the difference. The others are linked, at most one link per set, and the
    components of these links are the groups in which answers are to be sought.
 4. A group is joined locally through inverted lists cut into blocks by position in size
    order, so that blocks of sets too small or too large are skipped, and the overlap
@@ -42,8 +43,9 @@ from webloom.llm.words import NOT_BLANK, SLICE_BYTES, U64, Words, gram_hashes, m
 
 COUNTER_BITS = 18
 COUNTERS = 1 << COUNTER_BITS
-BLOCK_SETS = 2048
-BLOCK_BYTES = 16 << 20  # of text, of all sets in a block
+MAPS = 200_000  # most bitmaps that are broadcast
+BLOCK_SETS = 1024
+BLOCK_BYTES = 6 << 20  # of text, of all sets in a block
 BAND_STEP = 1 << 40
 LIST_BLOCK = 64  # positions in a block of an inverted list
 
@@ -141,49 +143,169 @@ def index_entries(
     return entries[order], np.bincount(owners, minlength=n)
 
 
-def _count(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+_SET = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, counter bigint"
+
+
+def _set_batch(doc_id: pa.Array, sizes: np.ndarray, d1: np.ndarray, d2: np.ndarray, counter: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [doc_id, pa.array(sizes), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), counter],
+        ["doc_id", "n_shingles", "d1", "d2", "counter"],
+    )
+
+
+def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Size and digest of each text's set; at the end, as rows with a counter, n-grams by counter."""
     total = np.zeros(COUNTERS, np.int64)
     for batch in batches:
-        for _, _, data, offsets in text_slices(batch.column("text")):
-            grams, _ = shingle_sets(data, offsets, k)
+        for first, n, data, offsets in text_slices(batch.column("text")):
+            grams, rows = shingle_sets(data, offsets, k)
             total += np.bincount((grams >> U64(64 - COUNTER_BITS)).astype(np.int64), minlength=COUNTERS)
+            d1, d2 = np.zeros(n, U64), np.zeros(n, U64)
+            np.add.at(d1, rows, mix(grams + U64(1)))
+            np.add.at(d2, rows, mix(grams ^ U64(0x5851F42D4C957F2D)))
+            sizes = np.bincount(rows, minlength=n).astype(np.int64)
+            yield _set_batch(batch.column("doc_id").slice(first, n), sizes, d1, d2, pa.nulls(n, pa.int64()))
     at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["counter", "n"])
+    none = np.zeros(len(at), U64)
+    yield _set_batch(pa.nulls(len(at), pa.int64()), total[at], none, none, pa.array(at))
 
 
-def frequent_counters(docs: DataFrame, k: int) -> np.ndarray:
-    """Which counters hold far more n-grams than usual: a fixed number, whatever the data."""
-    counted = docs.select("text").mapInArrow(partial(_count, k=k), "counter bigint, n bigint")
+def frequent_counters(counted: DataFrame) -> np.ndarray:
+    """Which counters hold far more n-grams than usual. Their number is fixed, whatever the data."""
     total = np.zeros(COUNTERS)
-    known = counted.groupBy("counter").agg(F.sum("n").alias("n")).toPandas()
-    total[known["counter"].to_numpy()] = known["n"].to_numpy()
+    known = counted.groupBy("counter").agg(F.sum("n_shingles").alias("n")).toPandas()
+    total[known["counter"].to_numpy(dtype=np.int64)] = known["n"].to_numpy()
     usual = np.median(total)
     return total > usual + 8 * np.sqrt(usual) + 8
 
 
-SET_SCHEMA = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, entries array<bigint>"
+def _entries(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Entries of each set."""
+    for batch in batches:
+        ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+        for first, n, data, offsets in text_slices(batch.column("text")):
+            grams, rows = shingle_sets(data, offsets, k)
+            frequent = hot[(grams >> U64(64 - COUNTER_BITS)).astype(np.int64)]
+            entries, counts = index_entries(grams, rows, n, num, den, frequent)
+            docs = np.repeat(ids[first : first + n], counts)
+            yield pa.RecordBatch.from_arrays([pa.array(entries.view(np.int64)), pa.array(docs)], ["entry", "doc_id"])
+
+
+def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of each entry that several have, from rows sorted by entry and document.
+
+    ``g`` is a hash of all the documents, as the same ones mostly meet in many entries; a group that
+    goes over a batch goes by its entry, and what is kept of it is one row.
+    """
+    held_entry, held_doc, put_out = None, None, True  # the open entry, its document if not put out yet
+    for batch in batches:
+        entry, doc = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("entry", "doc_id"))
+        if not len(entry):
+            continue
+        heads = np.flatnonzero(np.r_[True, entry[1:] != entry[:-1]])
+        sizes = np.diff(np.r_[heads, len(entry)])
+        group = np.repeat(np.arange(len(heads)), sizes)
+        names = mix(np.add.reduceat(mix(doc.view(U64)), heads) + sizes.astype(U64))
+        several = sizes > 1
+        continued = entry[0] == held_entry
+        names[-1] = mix(entry[-1:].view(U64))[0]
+        extra = ([], [])
+        if continued:
+            names[0] = mix(entry[:1].view(U64))[0]
+            several[0] = True
+            if not put_out:
+                extra = ([names[0]], [held_doc])
+        keep = several[group]
+        held_entry, held_doc, put_out = entry[-1], doc[-1], bool(several[-1])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.r_[np.array(extra[0], U64), names[group[keep]]].view(np.int64)),
+             pa.array(np.r_[np.array(extra[1], np.int64), doc[keep]])], ["g", "doc_id"],
+        )
 
 
-def _sets(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _bitmaps(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Parity bitmaps: each n-gram flips a bit, so two sets differ in at least as many n-grams as
+    their bitmaps differ in bits. A bitmap has a power of two of bits, about half the set's size."""
     for batch in batches:
         for first, n, data, offsets in text_slices(batch.column("text")):
             grams, rows = shingle_sets(data, offsets, k)
             sizes = np.bincount(rows, minlength=n)
-            d1, d2 = np.zeros(n, U64), np.zeros(n, U64)
-            np.add.at(d1, rows, mix(grams + U64(1)))
-            np.add.at(d2, rows, mix(grams ^ U64(0x5851F42D4C957F2D)))
-            frequent = hot[(grams >> U64(64 - COUNTER_BITS)).astype(np.int64)]
-            entries, counts = index_entries(grams, rows, n, num, den, frequent)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(entries.view(np.int64))
-            )
+            bits = _bitmap_bits(sizes)
+            starts = np.r_[0, np.cumsum(bits)]
+            flips = np.bincount(starts[rows] + (mix(grams) % bits[rows].astype(U64)).astype(np.int64), minlength=starts[-1])
+            packed = np.packbits((flips & 1).astype(np.uint8), bitorder="little")
+            ends = (starts // 8).astype(np.int32)
+            maps = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(packed)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(first, n), pa.array(sizes.astype(np.int64)),
-                 pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), lists],
-                ["doc_id", "n_shingles", "d1", "d2", "entries"],
+                [batch.column("doc_id").slice(first, n), pa.array(sizes.astype(np.int64)), maps], ["doc_id", "n", "bits"]
             )
 
 
+def _bitmap_bits(sizes: np.ndarray) -> np.ndarray:
+    return 1 << np.ceil(np.log2(np.maximum(sizes / 2, 64))).astype(np.int64)
+
+
+def _folded(bitmap: np.ndarray, words: int) -> np.ndarray:
+    """The bitmap with fewer bits: halves cancel out."""
+    while bitmap.shape[-1] > words:
+        half = bitmap.shape[-1] // 2
+        bitmap = bitmap[..., :half] ^ bitmap[..., half:]
+    return bitmap
+
+
+def possible_links(sizes: np.ndarray, maps: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+    """A forest of the pairs of sets that sizes and bitmaps do not rule out."""
+    order = np.argsort(sizes, kind="stable")
+    size = sizes[order]
+    levels: dict[int, np.ndarray] = {}
+    label, links = np.arange(len(order)), []
+    for i in range(len(order) - 1):
+        high = int(np.searchsorted(size * num, size[i] * den, "right"))
+        if high <= i + 1:
+            continue
+        words = len(maps[order[i]])
+        if words not in levels:
+            levels[words] = np.stack([_folded(maps[o], words) if len(maps[o]) >= words else np.zeros(words, U64) for o in order])
+        table = levels[words]
+        apart = np.bitwise_count(table[i + 1 : high] ^ table[i]).sum(axis=1)
+        near = np.flatnonzero(apart * (den + num) <= (den - num) * (size[i + 1 : high] + size[i])) + i + 1
+        for j in near.tolist():
+            if label[j] != label[i]:
+                links.append((int(order[j]), int(order[i])))
+                label[label == label[j]] = label[i]
+    return links
+
+
+def _possible(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Links within each group, from rows sorted by group."""
+    key, ids, sizes, maps, found = None, [], [], [], set()
+
+    def close() -> None:
+        if len(ids) > 1:
+            found.update((ids[a], ids[b]) for a, b in possible_links(np.array(sizes), maps, num, den))
+
+    for batch in batches:
+        rows = zip(*(batch.column(c).to_pylist() for c in ("g", "doc_id", "n", "bits")), strict=True)
+        for g, doc, n, bits in rows:
+            if g != key:
+                close()
+                key, ids, sizes, maps = g, [], [], []
+            ids.append(doc)
+            sizes.append(n)
+            maps.append(np.frombuffer(bits, U64))
+        if len(found) > 10_000:
+            yield _links(found)
+            found = set()
+    close()
+    yield _links(found)
+
+
+def _links(found: set[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"]
+    )
+
+
 class Lists:
     """Inverted lists of a group of sets in size order, cut into blocks by position."""
 
@@ -343,21 +465,22 @@ def similar_groups(
     similarity must be over 0.5.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    hot = frequent_counters(docs, k)
-    sets = stored(docs.mapInArrow(partial(_sets, k=k, num=num, den=den, hot=hot), SET_SCHEMA))
+    counted = stored(docs.mapInArrow(partial(_sets, k=k), _SET))
+    hot = frequent_counters(counted.filter("counter IS NOT NULL"))
+    sets = counted.filter("counter IS NULL").drop("counter")
     usable = sets.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = stored(usable.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")))
-
-    chosen = usable.join(
-        classes.select("d1", "d2", F.col("rep").alias("doc_id")), ["d1", "d2", "doc_id"], "left_semi"
-    )
-    entered = chosen.select("doc_id", F.explode("entries").alias("entry"))
-    meeting = stored(
-        entered.groupBy("entry").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last"))
-        .filter("leader < last").drop("last")
-    )
-    met = join_checked(entered, meeting, ["entry"]).filter("doc_id <> leader")
-    members = stored(components(met.select(F.col("doc_id").alias("a"), F.col("leader").alias("b")).distinct()))
+    # of equal sets only the least document goes on; a doc_id that has a set of its own does, too
+    reps = classes.select(F.col("rep").alias("doc_id")).distinct()
+    others = stored(usable.select("doc_id").join(reps, "doc_id", "left_anti").distinct())
+    going = join_checked(docs.filter(F.col("doc_id").isNotNull()), others, ["doc_id"], "left_anti")
+    entered = going.mapInArrow(partial(_entries, k=k, num=num, den=den, hot=hot), "entry bigint, doc_id bigint")
+    met = entered.repartition("entry").sortWithinPartitions("entry", "doc_id").mapInArrow(_meetings, "g bigint, doc_id bigint")
+    met = stored(met.distinct())
+    ids = stored(met.select("doc_id").distinct())
+    maps = join_checked(going, ids, ["doc_id"]).mapInArrow(partial(_bitmaps, k=k), "doc_id bigint, n bigint, bits binary")
+    dealt = join_checked(met, stored(maps), ["doc_id"], most=MAPS).repartition("g").sortWithinPartitions("g", "doc_id")
+    members = stored(components(dealt.mapInArrow(partial(_possible, num=num, den=den), "a bigint, b bigint")))
 
     sized = join_checked(
         sets.select("doc_id", "n_shingles"), members.withColumnsRenamed({"node": "doc_id", "component": "c"}), ["doc_id"]

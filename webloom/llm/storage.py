@@ -46,9 +46,11 @@ def small(table: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return table.count() <= rows
 
 
-def join_checked(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+def join_checked(
+    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", most: int = BROADCAST_ROWS
+) -> DataFrame:
     """Join with ``right`` broadcast if its counted rows allow, by shuffle otherwise. The rows are the same."""
-    return left.join(F.broadcast(right) if small(right) else right, on, how)
+    return left.join(F.broadcast(right) if small(right, most) else right, on, how)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
