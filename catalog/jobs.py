@@ -533,7 +533,12 @@ def audit_not_null_job(i: Inputs) -> DataFrame:
 
 def audit_index_job(i: Inputs) -> DataFrame:
     index = build_index(i.parsed(), i.dictionary())
-    return audit_index(index.websites, index.keywords, index.postings, index.links)
+    # stored first: most checks read the same tables
+    tables = [
+        i.spark.read.parquet(i.stored(f"audited_{name}", lambda path, name=name: getattr(index, name).write.mode("overwrite").parquet(path)))
+        for name in ("websites", "keywords", "postings", "links")
+    ]
+    return audit_index(*tables)
 
 
 def postings_lookup(i: Inputs) -> DataFrame:

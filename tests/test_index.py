@@ -211,10 +211,10 @@ def test_lookup_join_keeps_every_row_once(spark, max_rows):
         assert spread.count() == 8
 
 
-@pytest.mark.parametrize("buckets", [1, 7, 256])
-def test_dense_ids_have_no_gaps(spark, buckets):
+@pytest.mark.parametrize("keys_per_bucket", [100_000, 50, 5])
+def test_dense_ids_have_no_gaps(spark, keys_per_bucket):
     words = spark.range(5000).select(F.concat(F.lit("w"), F.col("id") % 1234).alias("word"))
-    ids = rows(dense_ids(words, "word", buckets=buckets).select("id", "word"))
+    ids = rows(dense_ids(words, "word", keys_per_bucket=keys_per_bucket).select("id", "word"))
     assert [i for i, _ in ids] == list(range(1, 1235))
     assert len({w for _, w in ids}) == 1234
 
@@ -231,3 +231,24 @@ def test_ledger(spark):
     assert rows(done) == [("a", False), ("b", True), ("c", False)]
     unknown = spark.createDataFrame([("n", None), ("f", False), ("t", True)], "file_name string, processed boolean")
     assert rows(pending_files(unknown)) == [("f",)]
+
+
+def test_hot_key_is_dealt_over_tasks_and_nulls_stay_put(spark):
+    rows = spark.range(0, 30_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN NULL ELSE 'k' || id END AS k", "id")
+    table = spark.range(0, 30_000).selectExpr("'k' || id AS k", "id AS v").union(spark.createDataFrame([("hot", 7)], "k string, v bigint"))
+    lookup = checked_lookup(table, 10)
+    assert not lookup.small
+    joined = lookup_join(rows, lookup, "k", rows_per_task=500)
+    found = joined.collect()
+    assert len(found) == 30_000 and all((r.v == 7) if r.k == "hot" else r.v is None if r.k is None else r.v == r.id for r in found)
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in zip(names, ("64", "false", "-1")):
+        spark.conf.set(name, value)
+    try:
+        again = lookup_join(rows, lookup, "k", rows_per_task=500)
+        tasks = again.filter("k = 'hot'").groupBy(F.spark_partition_id()).count().count()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert tasks > 8

@@ -9,18 +9,19 @@ import pytest
 import __spark_entry__ as entry
 from catalog.jobs import JOBS
 
-TABLES = "/root/testdata/sf0.001"
+FOLDERS = ["/root/testdata/sf0.001", "/root/testdata/sf0.01"]
 QUERIES = {name: query for name, query in entry.queries().items() if name in JOBS}
 SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in JOBS}
 
 
-@pytest.fixture(scope="module")
-def db():
+@pytest.fixture(scope="module", params=FOLDERS)
+def tables(request):
+    """A folder of tables, and the same as DuckDB views."""
     connection = duckdb.connect()
-    for path in glob.glob(f"{TABLES}/*.parquet"):
+    for path in glob.glob(f"{request.param}/*.parquet"):
         name = os.path.basename(path).removesuffix(".parquet")
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
-    return connection
+    return request.param, connection
 
 
 def values(columns, rows):
@@ -33,8 +34,9 @@ def test_every_query_has_sql():
 
 
 @pytest.mark.parametrize("name", QUERIES)
-def test_query_equals_sql(spark, db, name):
-    found = QUERIES[name](spark, TABLES)
+def test_query_equals_sql(spark, tables, name):
+    folder, db = tables
+    found = QUERIES[name](spark, folder)
     expected = db.execute(SQL[name])
     columns = [c[0] for c in expected.description]
     assert sorted(found.columns) == sorted(columns)

@@ -98,6 +98,13 @@ def _href(attributes: str, foreign: int) -> str | None:
     return None
 
 
+# The first markup, behind blanks and comments: a doctype without a public name (or with a strict one).
+_STANDARDS = re.compile(
+    r"(?:\s|<!--(?:(?!-->).)*-->)*+<!doctype\s+html\s*(?:>|system\b|public\s+[\"']-//w3c//dtd (?:x?html 4\.01|xhtml 1\.[01])//)",
+    re.I | re.S,
+)
+
+
 class PageScan:
     """One pass over a page's markup; results are left in the attributes."""
 
@@ -119,7 +126,7 @@ class PageScan:
     def _scan(self, html: str) -> None:
         if "\0" in html or "\r" in html:
             html = html.replace("\0", "").replace("\r", "\n")
-        self._tables_end_paragraphs = html[:200].lstrip().lower().startswith("<!doctype html")
+        self._tables_end_paragraphs = bool(_STANDARDS.match(html))
         at = 0
         while at is not None:
             at = self._scan_markup(html, at)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MAX_KEYWORD_LENGTH = 40
+MAX_KEYWORD_LENGTH = 40  # fixed value
 # Fixed value: the characters with the Unicode White_Space property.
 UNICODE_BLANKS = "\t\n\v\f\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 

@@ -51,7 +51,7 @@ def language_weights(counts: DataFrame) -> DataFrame:
     integer so that sums are exact. Bucket -1 holds the weight of unseen ones."""
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     floors = totals.select("lang", F.lit(-1).alias("bucket"), F.lit(0).cast("long").alias("n"), "total")
-    seen = counts.join(F.broadcast(totals), "lang").select("lang", "bucket", "n", "total")
+    seen = counts.join(totals, "lang").select("lang", "bucket", "n", "total")
     share = (F.col("n") + 1.0) / (F.col("total") + float(BUCKETS))
     weight = F.round(F.lit(float(WEIGHT_SCALE)) * F.log(share)).cast("long")
     return seen.unionByName(floors).select("lang", "bucket", weight.alias("weight"))

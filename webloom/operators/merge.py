@@ -35,13 +35,15 @@ def accumulate(parts: DataFrame, keys: list[str], value: str) -> DataFrame:
     return parts.groupBy(*keys).agg(F.sum(value).alias(value))
 
 
-def dense_ids(rows: DataFrame, key: str, id_name: str = "id", buckets: int = 256) -> DataFrame:
+def dense_ids(rows: DataFrame, key: str, id_name: str = "id", keys_per_bucket: int = 100_000) -> DataFrame:
     """Ids 1..n without gaps for the distinct values of ``key``.
 
     Keys are numbered inside hash buckets and each bucket starts where the ones
-    before it end. The running sum covers one row per bucket; no window ever
-    sees the whole table. Raise ``buckets`` with the number of keys.
+    before it end. There are as many buckets as the estimated number of keys needs. The running sum
+    covers one row per bucket; no window ever sees the whole table.
     """
+    known = rows.select(F.approx_count_distinct(key)).first()[0]
+    buckets = max(16, -(-known // keys_per_bucket))
     keys = rows.select(key).distinct().withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
     sizes = keys.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     starts = sizes.select(

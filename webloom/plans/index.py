@@ -164,6 +164,7 @@ class IndexStore:
         "links": ["target_website", "source_url"],
         "files": ["file_name"],
         "archives": ["file_id"],
+        "replaced": ["url"],
     }
     REPORT = "version long, records_read long, records_matching long, records_damaged long, pages_valid long, pages_added long, files_left long"
 
@@ -181,12 +182,12 @@ class IndexStore:
             raise
         return commits.orderBy(F.desc("version")).first()
 
-    def _live(self, name: str) -> DataFrame:
+    def _live(self, name: str, base: int | None = None, version: int | None = None) -> DataFrame:
         """Rows of the base and of the batches since, with their ``version``."""
-        head = self.current()
-        return self.spark.read.parquet(f"{self.root}/{name}").filter(
-            F.col("version").between(head["base"], head["version"])
-        )
+        if base is None:
+            head = self.current()
+            base, version = head["base"], head["version"]
+        return self.spark.read.parquet(f"{self.root}/{name}").filter(F.col("version").between(base, version))
 
     def read(self) -> Index | None:
         head = self.current()
@@ -194,7 +195,7 @@ class IndexStore:
             return None
         tables = {field.name: self._live(field.name) for field in fields(Index)}
         if head["base"] < head["version"]:
-            pages = _repeated(tables["websites"], "url")
+            pages = _repeated(self._live("replaced"), "url")
             sources = Lookup(pages.rows.withColumnRenamed("url", "source_url"), pages.small)
             archives = _repeated(self._live("archives"), "file_id")
             tables = {
@@ -262,7 +263,12 @@ class IndexStore:
         """There is one writer at a time: two would take the same version number."""
         archives = (index.keyword_parts if archives is None else archives).select("file_id").distinct()
         tables = {field.name: getattr(index, field.name) for field in fields(Index)}
-        tables |= {"files": files, "archives": archives}
+        # the URLs that this version has of earlier ones: readers need no other list of what is out of date
+        replaced = index.websites.select("url")
+        if version > base:
+            live = self._live("websites", base, version - 1).select("url")
+            replaced = _semi_join(live, replaced, "url").distinct()
+        tables |= {"files": files, "archives": archives, "replaced": replaced.limit(0) if version == base else replaced}
         for name, table in tables.items():
             order = self.LAYOUT[name]
             table.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(
@@ -289,9 +295,14 @@ def empty_index(spark: SparkSession) -> Index:
 
 
 def _repeated(rows: DataFrame, key: str) -> Lookup:
-    """Keys stored in several versions, with the last one."""
-    versions = rows.groupBy(key).agg(F.max("version").alias("_last"), F.count(F.lit(1)).alias("_n"))
-    return checked_lookup(versions.filter("_n > 1").select(key, "_last"), REPEATED_URLS_BROADCAST)
+    """The last version of each key of which there is an earlier one (or no other: it is then the last)."""
+    return checked_lookup(rows.groupBy(key).agg(F.max("version").alias("_last")), REPEATED_URLS_BROADCAST)
+
+
+def _semi_join(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows with one of the keys, which are broadcast if counted to be few."""
+    found = checked_lookup(keys, REPEATED_URLS_BROADCAST)
+    return rows.join(F.broadcast(found.rows) if found.small else found.rows, key, "left_semi")
 
 
 def _last_only(rows: DataFrame, repeated: Lookup, key: str) -> DataFrame:

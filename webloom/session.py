@@ -66,16 +66,30 @@ def checked_lookup(rows: DataFrame, max_rows: int, max_bytes: int = 256 << 20) -
     return Lookup(rows, count <= max_rows and data <= max_bytes)
 
 
-def lookup_join(rows: DataFrame, lookup: Lookup, key: str, copies: int = 8) -> DataFrame:
+def lookup_join(rows: DataFrame, lookup: Lookup, key: str, rows_per_task: int = 1_000_000) -> DataFrame:
     """Left join with a lookup table; every row is kept and none is doubled.
 
-    A table of checked size is broadcast and ``rows`` do not shuffle. A larger
-    one is joined by shuffle with a salt, each of its rows copied per salt value,
-    so that a key with a large share of ``rows`` spreads over several tasks.
+    A table of checked size is broadcast and ``rows`` do not shuffle. For a larger one,
+    rows are counted by key first: a key with more than ``rows_per_task`` of them is dealt over
+    as many tasks as that takes, its row of the table copied for each. There are at most as
+    many such keys as tasks. NULL keys match nothing and do not shuffle.
     """
     if lookup.small:
         return rows.join(F.broadcast(lookup.rows), key, "left")
-    plain = [f.name for f in rows.schema if f.name != key and isinstance(f.dataType, AtomicType)]
-    salt = F.pmod(F.xxhash64(*plain), F.lit(copies)) if plain else F.lit(0).cast("long")
-    copied = lookup.rows.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)).cast("array<bigint>")))
-    return rows.withColumn("_salt", salt).join(copied, [key, "_salt"], "left").drop("_salt")
+    keyed = rows.filter(F.col(key).isNotNull())
+    counts = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_task)
+    hot = {r[0]: -(-r[1] // rows_per_task) for r in counts.collect()}
+    if hot:
+        schema = f"`{key}` {rows.schema[key].dataType.simpleString()}, _copies long"
+        hot = rows.sparkSession.createDataFrame(list(hot.items()), schema)
+        copies = F.coalesce("_copies", F.lit(1).cast("long"))
+        dealt = keyed.join(F.broadcast(hot), key, "left").withColumn(
+            "_salt", F.pmod(F.monotonically_increasing_id(), copies)
+        )
+        copied = lookup.rows.join(F.broadcast(hot), key, "left").withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1))
+        )
+        joined = dealt.drop("_copies").join(copied.drop("_copies"), [key, "_salt"], "left").drop("_salt")
+    else:
+        joined = keyed.join(lookup.rows, key, "left")
+    return joined.unionByName(rows.filter(F.col(key).isNull()), allowMissingColumns=True)
