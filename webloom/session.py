@@ -84,7 +84,7 @@ def lookup_join(rows: DataFrame, lookup: Lookup, key: str, rows_per_task: int =
         hot = rows.sparkSession.createDataFrame(list(hot.items()), schema)
         copies = F.coalesce("_copies", F.lit(1).cast("long"))
         dealt = keyed.join(F.broadcast(hot), key, "left").withColumn(
-            "_salt", F.pmod(F.monotonically_increasing_id(), copies)
+            "_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), copies)
         )
         copied = lookup.rows.join(F.broadcast(hot), key, "left").withColumn(
             "_salt", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1))
