@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webloom.llm.storage import join_checked, stored
+
 KEY = ("source", "lang", "tokenizer")
 TOTALS = ("documents", "tokens")
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -152,7 +154,9 @@ def rollup_of(docs: DataFrame, labels: DataFrame, folder: str, tokenizer: Tokeni
     store = Rollup(docs.sparkSession, folder)
     docs = docs.select("doc_id", "source", "lang", "text")
     marks = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    labelled = docs.join(marks, "doc_id")
+    # only the labels that change something are joined: texts of other documents do not move
+    marks = stored(marks.filter("quality = 0 OR toxic = 1"))
+    labelled = join_checked(docs, marks, ["doc_id"])
     low = labelled.filter("quality = 0 AND coalesce(toxic, 0) <> 1")
     for _ in range(2):
         store.apply("load", inserted(docs, tokenizer))
