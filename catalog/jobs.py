@@ -476,11 +476,12 @@ def ledger_mark(i: Inputs) -> DataFrame:
 
 
 def ingested(i: Inputs) -> IndexStore:
-    """All archives through the stream, a few files per batch, into a new store."""
+    """All archives through the stream, a third of them per batch, into a new store."""
     def run(path: str) -> None:
+        archives = -(-i.table("pages").count() // PAGES_PER_ARCHIVE)
         query = ingest_stream(
             i.spark, i.archives(), IndexStore(i.spark, path), path + "/checkpoint", i.allowlist(), i.dictionary(),
-            i.model, max_files=8, file_id=archive_in,
+            i.model, max_files=max(1, -(-archives // 3)), file_id=archive_in,
         )
         query.awaitTermination()
 

@@ -13,7 +13,7 @@ from webloom.operators.hosts import with_listed
 from webloom.operators.language import LanguageModel
 from webloom.operators.ledger import mark_processed, seed_ledger
 from webloom.plans.index import IndexStore, build_index
-from webloom.plans.pages import indexable, parse_pages
+from webloom.plans.pages import parse_pages
 from webloom.sources.warc import record_fields, scan_archives
 
 
@@ -78,13 +78,16 @@ def ingest_archives(
     pages = spark.read.parquet(f"{staged}/pages")
     batch = build_index(pages, dictionary, staging=staged)
 
+    has_fields = F.col("title").isNotNull() & F.col("description").isNotNull() & F.col("url").isNotNull()
+    valid, added = pages.agg(F.count(F.lit(1)), F.count_if(has_fields)).first()
+
     whole = archives.join(broken, "file_id", "left_anti").select(F.col("path").alias("file_name"))
     ledger = mark_processed(seed_ledger(archives.select(F.col("path").alias("file_name"))), whole)
     version = store.append(batch, ledger, note, archives.select("file_id"))
     report = IngestReport(
         version=version, records_read=_counted(read).get("good", 0), records_matching=matching,
-        records_damaged=_counted(read).get("damaged", 0), pages_valid=pages.count(),
-        pages_added=indexable(pages).count(), files_left=store.pending().count(),
+        records_damaged=_counted(read).get("damaged", 0), pages_valid=valid, pages_added=added,
+        files_left=store.pending().count(),
     )
     store.add_report(**asdict(report))
     if store.batches_since_base() >= compact_after:
