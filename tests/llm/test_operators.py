@@ -302,6 +302,17 @@ def test_linked_sets_share_an_index_entry(seed, size, similarity):
     assert entries[0] & entries[1]
 
 
+@pytest.mark.parametrize("num,den", [(90, 100), (8, 10), (7, 10)])
+def test_pairs_across_class_borders_share_an_index_entry(num, den):
+    grams = np.sort(np.random.default_rng(3).integers(0, 1 << 63, 300_000).astype(np.uint64))
+    for low in op3.Parts(num, den, 280_000).low.tolist():
+        if low > len(grams) or (low - 1) * den < num * low:
+            continue
+        # each set is alone in its slice, so the lower one is the largest there
+        below, above = (set(op3.index_entries(grams[:n], np.zeros(n, np.int64), 1, num, den)[0].tolist()) for n in (low - 1, low))
+        assert below & above, low
+
+
 def test_components(spark):
     rng = random.Random(5)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(n, n + 1) for n in range(1000, 1200)] + [(5000, n) for n in range(6000, 6300)]

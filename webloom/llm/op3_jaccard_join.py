@@ -81,7 +81,7 @@ class Parts:
         low = [1]
         while low[-1] <= largest:
             low.append(max(low[-1] + 1, low[-1] * 6 * den // (5 * num)))
-        low.append(low[-1] * 6 * den // (5 * num) + 1)
+        low.append(max(low[-1] + 1, low[-1] * 6 * den // (5 * num)))  # as in slices with larger sets
         self.low = np.array(low)
         parts, spare = [], []
         for least, top in zip(self.low[:-1], self.low[1:] - 1, strict=True):
