@@ -269,6 +269,33 @@ def test_large_group_of_near_copies(spark):
         assert found == groups_by_hand(texts, 3, 90, 100)
 
 
+def test_no_task_compares_a_whole_large_group(spark, monkeypatch):
+    # two kinds of near copies of one page, far apart, share a long passage of it
+    shared = " ".join(f"common{n}" for n in range(80))
+    texts = [(d, changed(shared + " " + prose(d % 2, 60 + 5 * (d % 3)), d, d % 4)) for d in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(5)
+
+    def bounded(batches, **similarity):
+        from webloom.llm import op3_jaccard_join as module
+
+        links = module.possible_links
+
+        def checked(sizes, *rest):
+            if len(sizes) > 200:  # two blocks of 40 as a hash deals them, and the sets that are in all
+                raise ValueError(f"{len(sizes)} sets in one task")
+            return links(sizes, *rest)
+
+        module.possible_links = checked
+        try:
+            yield from module._possible(batches, **similarity)
+        finally:
+            module.possible_links = links
+
+    monkeypatch.setattr(op3, "_possible", bounded)
+    found = op3.similar_groups(docs, 3, 80, 100, block_sets=40).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == groups_by_hand(texts, 3, 80, 100)
+
+
 def test_one_of_each_group_stays(docs, empty):
     kept = op3.keep_one_of_each(docs, k=3, num=90, den=100)
     assert kept.columns == docs.columns

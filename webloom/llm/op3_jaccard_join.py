@@ -10,7 +10,9 @@
    skipped, as extra parts make up for them (sets with more of them enter them too).
 3. Of sets that meet in an entry, sizes and parity bitmaps rule out most that are not similar,
    by a lower bound of the difference. The others are linked, at most one link per set, and the
-   components of these links are the groups in which answers are to be sought.
+   components of these links are the groups in which answers are to be sought. Over
+   ``BLOCK_SETS`` sets that meet in an entry are compared in blocks dealt by a hash, with some
+   of the sets in all blocks, and then by size bands only where these links leave sets apart.
 4. A group is joined locally through inverted lists cut into blocks by position in size
    order, so that blocks of sets too small or too large are skipped, and the overlap
    counts of a set are derived from those of the preceding, similar set by its differing
@@ -34,7 +36,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webloom.llm.components import components
@@ -46,6 +48,7 @@ COUNTERS = 1 << COUNTER_BITS
 MAPS = 200_000  # most bitmaps that are broadcast
 BLOCK_SETS = 1024
 BLOCK_BYTES = 6 << 20  # of text, of all sets in a block
+HUBS = 16  # sets of a cut group that all its blocks have, about
 BAND_STEP = 1 << 40
 LIST_BLOCK = 64  # positions in a block of an inverted list
 
@@ -253,11 +256,11 @@ def _folded(bitmap: np.ndarray, words: int) -> np.ndarray:
     return bitmap
 
 
-def possible_links(sizes: np.ndarray, maps: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
-    """A forest of the pairs of sets that sizes and bitmaps do not rule out."""
+def possible_links(sizes: np.ndarray, maps: list[np.ndarray], side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """A forest of the pairs of sets that sizes and bitmaps do not rule out; side as in ``group_links``."""
     order = np.argsort(sizes, kind="stable")
-    size = sizes[order]
-    levels: dict[int, np.ndarray] = {}
+    size, sides = sizes[order], side[order]
+    levels: dict[int, tuple[int, np.ndarray]] = {}
     label, links = np.arange(len(order)), []
     for i in range(len(order) - 1):
         high = int(np.searchsorted(size * num, size[i] * den, "right"))
@@ -265,10 +268,12 @@ def possible_links(sizes: np.ndarray, maps: list[np.ndarray], num: int, den: int
             continue
         words = len(maps[order[i]])
         if words not in levels:
-            levels[words] = np.stack([_folded(maps[o], words) if len(maps[o]) >= words else np.zeros(words, U64) for o in order])
-        table = levels[words]
-        apart = np.bitwise_count(table[i + 1 : high] ^ table[i]).sum(axis=1)
+            levels[words] = i, np.stack([_folded(maps[o], words) for o in order[i:]])  # larger sets have no smaller bitmaps
+        first, table = levels[words]
+        apart = np.bitwise_count(table[i + 1 - first : high - first] ^ table[i - first]).sum(axis=1)
         near = np.flatnonzero(apart * (den + num) <= (den - num) * (size[i + 1 : high] + size[i])) + i + 1
+        if sides[i] != 2:
+            near = near[sides[near] != sides[i]]
         for j in near.tolist():
             if label[j] != label[i]:
                 links.append((int(order[j]), int(order[i])))
@@ -277,22 +282,23 @@ def possible_links(sizes: np.ndarray, maps: list[np.ndarray], num: int, den: int
 
 
 def _possible(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Links within each group, from rows sorted by group."""
-    key, ids, sizes, maps, found = None, [], [], [], set()
+    """Links within each group or pair of blocks, from rows sorted by them."""
+    key, ids, sizes, maps, sides, found = None, [], [], [], [], set()
 
     def close() -> None:
         if len(ids) > 1:
-            found.update((ids[a], ids[b]) for a, b in possible_links(np.array(sizes), maps, num, den))
+            found.update((ids[a], ids[b]) for a, b in possible_links(np.array(sizes), maps, np.array(sides), num, den))
 
     for batch in batches:
-        rows = zip(*(batch.column(c).to_pylist() for c in ("g", "doc_id", "n", "bits")), strict=True)
-        for g, doc, n, bits in rows:
-            if g != key:
+        rows = zip(*(batch.column(c).to_pylist() for c in ("g", "i", "j", "doc_id", "n", "bits", "side")), strict=True)
+        for g, i, j, doc, n, bits, side in rows:
+            if (g, i, j) != key:
                 close()
-                key, ids, sizes, maps = g, [], [], []
+                key, ids, sizes, maps, sides = (g, i, j), [], [], [], []
             ids.append(doc)
             sizes.append(n)
             maps.append(np.frombuffer(bits, U64))
+            sides.append(side)
         if len(found) > 10_000:
             yield _links(found)
             found = set()
@@ -403,6 +409,101 @@ def _groups(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> It
         yield _group(np.array(ids), texts, np.array(sides), k, num, den)
 
 
+def _band(size: str, num: int, den: int) -> Column:
+    """Linked sets are in the same band of sizes or in neighbouring ones."""
+    return F.floor(F.log(F.greatest(size, F.lit(1))) / (math.log(den / num) * 1.0001)).cast("bigint")
+
+
+def _own_block(kind: Column) -> Column:
+    """A document's block of its kind, by the map ``blocks`` of the kinds' numbers of blocks."""
+    return kind * BAND_STEP + F.pmod(F.xxhash64("doc_id"), F.try_element_at("blocks", kind))
+
+
+def _all_blocks(kinds: Column) -> Column:
+    return F.flatten(
+        F.transform(
+            kinds,
+            lambda b: F.when(
+                F.coalesce(F.try_element_at("blocks", b), F.lit(0)) > 0,
+                F.transform(F.sequence(F.lit(0).cast("bigint"), F.try_element_at("blocks", b) - 1), lambda x: b * BAND_STEP + x),
+            ).otherwise(F.array().cast("array<bigint>")),
+        )
+    )
+
+
+def _pair(mine: str, other: str) -> list[Column]:
+    """A block on its own meets itself in (i, i); blocks i < j meet each other in (i, j)."""
+    return [
+        F.least(mine, other).alias("i"), F.greatest(mine, other).alias("j"),
+        F.when(F.col(mine) == F.col(other), 2).when(F.col(mine) < F.col(other), 0).otherwise(1).alias("side"),
+    ]
+
+
+def meeting_links(
+    met: DataFrame, maps: DataFrame, num: int, den: int, block_sets: int = BLOCK_SETS, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """Links ``a, b`` that join the sets of each group that sizes and bitmaps do not rule out.
+
+    ``met``: g (the group), doc_id. ``maps``: doc_id, n, bits. A group of more sets or longer bitmaps
+    than a block is dealt into blocks by a hash, with about ``HUBS`` of its sets in all of them.
+    Links found there name a most common component; only sets outside it then meet the group's
+    other sets, in pairs of blocks near in size. So m near copies cost about m rows for each entry, and
+    only sets that are not near, m * m / ``block_sets`` rows.
+    """
+
+    def linked(dealt: DataFrame) -> DataFrame:
+        keys = ("g", "i", "j")
+        rows = dealt.select(*keys, "doc_id", "n", "bits", "side").repartition(*keys).sortWithinPartitions(*keys, "doc_id")
+        return rows.mapInArrow(partial(_possible, num=num, den=den), "a bigint, b bigint")
+
+    none, count = F.lit(0).cast("bigint"), F.count(F.lit(1))
+    blocks = F.ceil(F.greatest(count / block_sets, F.sum("n") / (8 * block_bytes))).cast("bigint")  # at most n bits a set
+    sizes = maps.select("doc_id", "n").distinct()
+    large = stored(
+        join_checked(met, sizes, ["doc_id"]).groupBy("g").agg(
+            blocks.alias("blocks"), count.alias("sets"), F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("same")
+        ).filter("blocks > 1")
+    )
+    some = not large.isEmpty()
+    rest = join_checked(met, large.select("g"), ["g"], "left_anti") if some else met
+    alone = join_checked(rest, maps, ["doc_id"], most=MAPS)
+    links = stored(linked(alone.withColumns({"i": none, "j": none, "side": F.lit(2)})))
+    if not some:
+        return links
+
+    # the same documents may meet in several entries
+    kept = stored(large.groupBy("sets", "same").agg(F.min("g").alias("g"), F.first("blocks").alias("blocks")))
+    cut = stored(join_checked(met, kept.select("g", "sets", "blocks"), ["g"]))
+    hub = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.ceil(F.col("sets") / HUBS)) == 0
+    places = F.when(hub, F.sequence(none, F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("doc_id"), "blocks")))
+    dealt = join_checked(cut.select("g", "doc_id", places.alias("places")), maps, ["doc_id"], most=MAPS)
+    dealt = dealt.withColumn("i", F.explode("places"))
+    first = stored(linked(dealt.withColumns({"j": F.col("i"), "side": F.lit(2)})))
+
+    labels = stored(components(first).withColumnsRenamed({"node": "doc_id", "component": "label"}))
+    named = join_checked(cut.select("g", "doc_id"), labels, ["doc_id"], "left")
+    named = stored(named.select("g", "doc_id", F.coalesce("label", "doc_id").alias("label")))
+    common = named.groupBy("g", "label").agg(count.alias("sets")).groupBy("g").agg(
+        F.max_by("label", F.struct("sets", "label")).alias("most")
+    )
+    apart = join_checked(named, stored(common), ["g"]).select("g", "doc_id", (F.col("label") != F.col("most")).cast("bigint").alias("apart"))
+    # sets of the most common component are of even kinds, the others of odd ones
+    kinds = stored(
+        join_checked(apart, sizes, ["doc_id"]).select("g", "doc_id", "n", (_band("n", num, den) * 2 + F.col("apart")).alias("kind"))
+    )
+    plan = kinds.groupBy("g", "kind").agg(blocks.alias("blocks")).groupBy("g").agg(
+        F.map_from_entries(F.collect_list(F.struct("kind", "blocks"))).alias("blocks"), F.max(F.col("kind") % 2).alias("any")
+    )
+    placed = join_checked(kinds, stored(plan.filter("any = 1").drop("any")), ["g"])
+    odd = F.col("kind") % 2 == 1
+    base = F.col("kind") - F.col("kind") % 2
+    meets = F.when(odd, F.array(*(base + x for x in range(-2, 4)))).otherwise(F.array(*(base + x for x in (-1, 1, 3))))
+    placed = stored(placed.select("g", "doc_id", "n", _own_block(F.col("kind")).alias("mine"), _all_blocks(meets).alias("others")))
+    dealt = join_checked(placed.filter(F.size("others") > 0), maps, ["doc_id", "n"], most=MAPS)
+    dealt = dealt.withColumn("other", F.explode("others")).select("g", "doc_id", "n", "bits", *_pair("mine", "other"))
+    return stored(links.unionByName(first).unionByName(linked(dealt)))
+
+
 def links_within(
     docs: DataFrame, sized: DataFrame, k: int, num: int, den: int, block_sets: int = BLOCK_SETS,
     block_bytes: int = BLOCK_BYTES,
@@ -411,10 +512,8 @@ def links_within(
 
     ``docs``: doc_id, text. ``sized``: doc_id, n_shingles, c (its group).
     """
-    # linked sets are in the same band of sizes or in neighbouring ones. A doc_id with several
-    # texts has a row for the band of each
-    width = math.log(den / num) * 1.0001
-    sized = stored(sized.withColumn("band", F.floor(F.log(F.greatest("n_shingles", F.lit(1))) / width).cast("bigint")))
+    # a doc_id with several texts has a row for the band of each
+    sized = stored(sized.withColumn("band", _band("n_shingles", num, den)))
     count, grams = F.count(F.lit(1)), F.sum("n_shingles")
     bands = sized.groupBy("c", "band").agg(
         count.alias("n"), grams.alias("w"),
@@ -427,16 +526,8 @@ def links_within(
         )
     )
     placed = join_checked(sized.select("doc_id", "c", "band").distinct(), plan, ["c"])
-    own = F.col("band") * BAND_STEP + F.pmod(F.xxhash64("doc_id"), F.try_element_at("blocks", F.col("band")))
-    near = F.flatten(
-        F.transform(
-            F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1),
-            lambda b: F.when(
-                F.coalesce(F.try_element_at("blocks", b), F.lit(0)) > 0,
-                F.transform(F.sequence(F.lit(0).cast("bigint"), F.try_element_at("blocks", b) - 1), lambda x: b * BAND_STEP + x),
-            ).otherwise(F.array().cast("array<bigint>")),
-        )
-    )
+    own = _own_block(F.col("band"))
+    near = _all_blocks(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))
     placed = stored(
         placed.select(
             "doc_id", "c", F.when(F.col("cut"), own).otherwise(F.lit(0)).alias("mine"),
@@ -445,10 +536,8 @@ def links_within(
     )
     texts = join_checked(docs, placed, ["doc_id"])
     dealt = texts.select("c", "mine", "doc_id", "text", F.explode("others").alias("other")).select(
-        "c", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "doc_id", "text",
-        F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1).alias("side"),
+        "c", "doc_id", "text", *_pair("mine", "other")
     )
-    # a block on its own meets itself in (i, i); blocks i < j meet each other in (i, j)
     return stored(
         dealt.repartition("c", "i", "j").sortWithinPartitions("c", "i", "j", "doc_id")
         .mapInArrow(partial(_groups, k=k, num=num, den=den), "a bigint, b bigint")
@@ -479,8 +568,7 @@ def similar_groups(
     met = stored(met.distinct())
     ids = stored(met.select("doc_id").distinct())
     maps = join_checked(going, ids, ["doc_id"]).mapInArrow(partial(_bitmaps, k=k), "doc_id bigint, n bigint, bits binary")
-    dealt = join_checked(met, stored(maps), ["doc_id"], most=MAPS).repartition("g").sortWithinPartitions("g", "doc_id")
-    members = stored(components(dealt.mapInArrow(partial(_possible, num=num, den=den), "a bigint, b bigint")))
+    members = stored(components(meeting_links(met, stored(maps), num, den, block_sets, block_bytes)))
 
     sized = join_checked(
         sets.select("doc_id", "n_shingles"), members.withColumnsRenamed({"node": "doc_id", "component": "c"}), ["doc_id"]
