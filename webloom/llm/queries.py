@@ -10,6 +10,7 @@ import corpus_pipeline
 
 from webloom.llm import op1_toxicity as op1
 from webloom.llm import op10_pii as op10
+from webloom.llm import op12_chat_format as op12
 from webloom.llm import op2_decontamination as op2
 from webloom.llm import op3_jaccard_join as op3
 from webloom.llm import op4_mixing as op4
@@ -75,6 +76,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.pii_report(spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12.chat_report(op12.with_probe(spread_scan(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
@@ -86,6 +91,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_pii": op10_pii,
+    "op12_chat_format": op12_chat_format,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -94,4 +100,5 @@ SQL = {
     "op3_jaccard_join": op3.SQL,
     "op4_mixing": op4.SQL,
     "op9_suffix_dedup": op9.SQL,
+    "op12_chat_format": op12.SQL,
 }
