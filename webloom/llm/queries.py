@@ -10,7 +10,9 @@ import corpus_pipeline
 
 from webloom.llm import op1_toxicity as op1
 from webloom.llm import op10_pii as op10
+from webloom.llm import op11_prefix_trie as op11
 from webloom.llm import op12_chat_format as op12
+from webloom.llm import op13_lexical_search as op13
 from webloom.llm import op2_decontamination as op2
 from webloom.llm import op3_jaccard_join as op3
 from webloom.llm import op4_mixing as op4
@@ -76,10 +78,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.pii_report(spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return op11.trie_report(spread_scan(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")))
+
+
 def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12.chat_report(op12.with_probe(spread_scan(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    docs = spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return op13.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
@@ -91,7 +104,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_pii": op10_pii,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_chat_format": op12_chat_format,
+    "op13_lexical_search": op13_lexical_search,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -100,5 +115,7 @@ SQL = {
     "op3_jaccard_join": op3.SQL,
     "op4_mixing": op4.SQL,
     "op9_suffix_dedup": op9.SQL,
+    "op11_prefix_trie": op11.SQL,
     "op12_chat_format": op12.SQL,
+    "op13_lexical_search": op13.SQL,
 }
