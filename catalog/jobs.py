@@ -7,7 +7,8 @@ from them by Spark, whole, and stored once per session in the shared folder.
 from __future__ import annotations
 
 import hashlib
-from functools import cached_property
+import uuid
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,28 +16,29 @@ from pyspark.sql import functions as F
 from webloom.functions.http import decoded_body, html_responses, response_parts
 from webloom.functions.text import tokens, truncate_word, word_count
 from webloom.functions.urls import url_host
-from webloom.operators.audit import audit_fk, audit_index, audit_not_null, audit_unique
+from webloom.operators.audit import audit_fk, audit_not_null, audit_unique
 from webloom.operators.hosts import filter_hosts, site_allowlist
 from webloom.operators.language import (
     LanguageModel, detect_language, language_weights, load_language_model, trigram_counts,
 )
 from webloom.operators.ledger import mark_processed, pending_files, seed_ledger
 from webloom.operators.lemmas import lemma_dictionary, lemmatise
-from webloom.operators.lookup import inlink_counts, keywords_by_df, most_frequent_keywords, outlink_counts, postings_of
+from webloom.operators.ids import StableIds
 from webloom.operators.merge import (
     accumulate, dense_ids, insert_if_absent, postings_by_id, postings_by_key, replace_children,
 )
 from webloom.plans.counters import scan_counters
 from webloom.plans.index import (
-    Index, IndexStore, build_index, document_frequency, latest_pages, link_rows, mark_latest, merge_index,
+    Index, build_index, document_frequency, latest_pages, link_rows, mark_latest, merge_index,
     recompute_keywords, term_counts, term_frequency, website_rows,
 )
 from webloom.plans.pages import indexable, parse_html, parse_pages
+from webloom.plans.store import IndexStore
 from webloom.session import Lookup, checked_lookup, scratch_dir, spread
 from webloom.sources.lines import file_number, first_lines, read_lines
 from webloom.sources.pages import pages_as_records
 from webloom.sources.warc import archive_paths, read_warc, record_fields, register_warc_source, scan_archives
-from webloom.streaming.ingest import ingest_stream
+from webloom.streaming.ingest import ingest_pending, ingest_stream
 
 IDS_BROADCAST = 1_000_000
 SITE_PREFIX = 100  # lines; only of the queries whose feature is a prefix of the list
@@ -372,7 +374,7 @@ def indexable_pages(i: Inputs) -> DataFrame:
 
 
 def allowlist_semi_join(i: Inputs) -> DataFrame:
-    return filter_hosts(i.records(), i.allowlist(SITE_PREFIX)).select("record_no", "target_uri", "host")
+    return filter_hosts(i.records(), i.allowlist()).select("record_no", "target_uri", "host")
 
 
 def document_frequency_job(i: Inputs) -> DataFrame:
@@ -397,12 +399,12 @@ def latest_page(i: Inputs) -> DataFrame:
         url_host(F.col("url")).alias("host"), archive_of(F.col("page_id")).alias("file_id"),
         F.col("page_id").alias("record_no"), "url",
     )
-    return latest_pages(pages, "host")
+    return latest_pages(pages, "host", filter_from=0)
 
 
 def scan_counters_job(i: Inputs) -> DataFrame:
     records = i.varied_records().withColumn("file_id", archive_of(F.col("record_no")))
-    return scan_counters(records, i.allowlist(SITE_PREFIX), i.model)
+    return scan_counters(records, i.allowlist(), i.model)
 
 
 def postings_with_ids(i: Inputs) -> DataFrame:
@@ -428,6 +430,28 @@ def dense_ids_job(i: Inputs) -> DataFrame:
     )
 
 
+def stable_ids(i: Inputs) -> DataFrame:
+    """Words of the documents numbered in three batches: how many are known after each, how many of them have another
+    id at the end, and how many ids are given twice."""
+    words = i.documents().select(F.col("doc_id") % 3, F.explode(tokens(F.col("text"))).alias("word"))
+    words = words.toDF("batch", "word")
+    ids = StableIds(i.spark, f"{i.scratch}/ids-{uuid.uuid4().hex}", "word")
+    known = []
+    for batch in range(3):
+        ids.extend(words.filter(F.col("batch") == batch))
+        known.append(ids.known())
+    last = known[-1].withColumnRenamed("id", "last_id")
+    rows = [
+        then.join(last, "word", "left").agg(
+            F.lit(batch).alias("batch"), F.count(F.lit(1)).alias("words"),
+            F.count_if(~F.col("id").eqNullSafe(F.col("last_id"))).alias("changed"),
+            (F.count(F.lit(1)) - F.count_distinct("id")).alias("repeated"),
+        )
+        for batch, then in enumerate(known)
+    ]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 # --- merges -----------------------------------------------------------------------------
 
 
@@ -488,6 +512,20 @@ def ingested(i: Inputs) -> IndexStore:
     return IndexStore(i.spark, i.stored("ingested", run))
 
 
+def ingest_after_merge(i: Inputs) -> DataFrame:
+    """Postings after archives were added one by one, merged by size, merged whole and cleaned."""
+    def run(path: str) -> None:
+        store = IndexStore(i.spark, path)
+        store.seed(archive_paths(i.spark, i.archives()).select(F.col("path").alias("file_name")))
+        step = -(-store.pending().count() // 5)
+        while ingest_pending(store, i.allowlist(), i.dictionary(), i.model, step, archive_in):
+            pass
+        store.compact()
+        store.clean(grace=0)
+
+    return IndexStore(i.spark, i.stored("merged", run)).read().postings
+
+
 def incremental_ingest(i: Inputs) -> DataFrame:
     return ingested(i).read().keywords
 
@@ -533,33 +571,34 @@ def audit_not_null_job(i: Inputs) -> DataFrame:
 
 
 def audit_index_job(i: Inputs) -> DataFrame:
-    index = build_index(i.parsed(), i.dictionary())
-    # stored first: most checks read the same tables
-    tables = [
-        i.spark.read.parquet(i.stored(f"audited_{name}", lambda path, name=name: getattr(index, name).write.mode("overwrite").parquet(path)))
-        for name in ("websites", "keywords", "postings", "links")
-    ]
-    return audit_index(*tables)
+    return ingested(i).audit()
+
+
+def audit_delta_job(i: Inputs) -> DataFrame:
+    """What each batch of the ingest has added, summed up: the same as an audit of the whole."""
+    store = ingested(i)
+    found = [store.audit(s["id"]) for s in store.current()["segments"]]
+    return reduce(DataFrame.unionByName, found).groupBy("check").agg(F.sum("violations").alias("violations"))
 
 
 def postings_lookup(i: Inputs) -> DataFrame:
-    return postings_of(term_frequency(i.terms()), ["the", "tion", "es"], min_occurrences=2)
+    return ingested(i).postings_of(["the", "tion", "es"], min_occurrences=2)
 
 
 def keywords_by_df_job(i: Inputs) -> DataFrame:
-    return keywords_by_df(i.keywords(), 2, 20)
+    return ingested(i).keywords_by_df(2, 20)
 
 
 def top_keywords(i: Inputs) -> DataFrame:
-    return most_frequent_keywords(i.keywords(), 50)
+    return ingested(i).top_keywords(50)
 
 
 def inlink_count(i: Inputs) -> DataFrame:
-    return inlink_counts(distinct_links(i))
+    return ingested(i).inlink_counts()
 
 
 def outlinks(i: Inputs) -> DataFrame:
-    return outlink_counts(distinct_links(i))
+    return ingested(i).outlink_counts()
 
 
 def website_table(i: Inputs) -> DataFrame:
@@ -605,6 +644,7 @@ JOBS = {
     "scan_counters": scan_counters_job,
     "postings_with_ids": postings_with_ids,
     "dense_ids": dense_ids_job,
+    "stable_ids": stable_ids,
     "replace_children": replace_children_job,
     "insert_if_absent": insert_if_absent_job,
     "upsert_websites": upsert_websites,
@@ -615,6 +655,7 @@ JOBS = {
     "ledger_seed": ledger_seed,
     "ledger_mark": ledger_mark,
     "incremental_ingest": incremental_ingest,
+    "ingest_after_merge": ingest_after_merge,
     "ingested_postings": ingested_postings,
     "ingested_websites": ingested_websites,
     "ingested_links": ingested_links,
@@ -624,6 +665,7 @@ JOBS = {
     "audit_fk": audit_fk_job,
     "audit_not_null": audit_not_null_job,
     "audit_index": audit_index_job,
+    "audit_delta": audit_delta_job,
     "postings_lookup": postings_lookup,
     "keywords_by_df": keywords_by_df_job,
     "top_keywords": top_keywords,

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from webloom import IndexStore, build_index, merge_index
+from webloom import build_index, merge_index
 from webloom.operators.audit import audit_fk, audit_index, audit_not_null, audit_unique
 from webloom.operators.ledger import mark_processed, pending_files, seed_ledger
 from webloom.operators.merge import dense_ids, insert_if_absent, replace_children, upsert
@@ -122,50 +122,6 @@ def test_latest_pages(spark):
     assert rows(found) == [("u1", "a", 1), ("u2", "b", 0), ("u3", "b", 1), ("u4", "b", 2)]
 
 
-def test_store_versions(spark, tmp_path):
-    store = IndexStore(spark, str(tmp_path / "index"))
-    assert store.current() is None and store.read() is None and store.files() is None
-    files = spark.createDataFrame([("f", True)], "file_name string, processed boolean")
-    first = build_index(pages(spark, [r for r in CRAWL if r[0] == "a"]), lemmas(spark))
-    assert store.publish(first, files, "one") == 1
-    merged = merge_index(store.read(), build_index(pages(spark, [r for r in CRAWL if r[0] == "b"]), lemmas(spark)))
-    assert store.publish(merged, files, "two") == 2
-    assert tuple(store.current()) == (2, 2, "two")
-    assert as_dict(store.read()) == brute_force([CRAWL])
-
-
-def test_appended_batches_read_as_merged(spark, tmp_path):
-    batches = [
-        [r for r in CRAWL if r[0] == "a"],
-        [("b", 0, "u2", "t3", "t3", ["fresh"], ["l9"]), ("b", 1, "u1", "T", "T", [], None)],
-        [("c", 0, "u1", "back", "back", ["both", "is"], ["l1"]), ("c", 1, "u6", "t", "t", ["both"], None)],
-    ]
-    store = IndexStore(spark, str(tmp_path / "index"))
-    for number, batch in enumerate(batches):
-        files = spark.createDataFrame([(f"f{number}", True)], "file_name string, processed boolean")
-        store.append(build_index(pages(spark, batch), lemmas(spark)), files)
-    store.append(build_index(pages(spark, batches[2]), lemmas(spark)), files)  # the same batch again
-    assert store.batches_since_base() == 3
-    assert as_dict(store.read()) == brute_force(batches)
-    store.compact()
-    assert store.batches_since_base() == 0
-    assert as_dict(store.read()) == brute_force(batches)
-    assert rows(store.files()) == [("f0", True), ("f1", True), ("f2", True)]
-
-
-def test_failed_publish_leaves_the_former_version(spark, tmp_path):
-    store = IndexStore(spark, str(tmp_path / "index"))
-    files = spark.createDataFrame([("f", True)], "file_name string, processed boolean")
-    index = build_index(pages(spark), lemmas(spark))
-    store.publish(index, files)
-    broken = build_index(pages(spark), lemmas(spark))
-    broken.links = broken.links.withColumn("target_website", F.raise_error(F.lit("disk gone")).cast("string"))
-    with pytest.raises(Exception, match="disk gone"):
-        store.publish(broken, files)
-    assert store.current()["version"] == 1
-    assert store.publish(index, files) == 2
-
-
 def test_audits_find_what_is_wrong(spark):
     index = build_index(pages(spark), lemmas(spark))
     clean = audit_index(index.websites, index.keywords, index.postings, index.links)

@@ -176,13 +176,38 @@ def test_emptied_archive_loses_its_counts(spark, crawl, model, tmp_path):
     assert {r.word for r in store.read().keywords.collect()} == words
 
 
-def test_failed_archive_is_not_marked(spark, crawl, model, tmp_path):
+def test_archive_that_cannot_be_read_fails_alone(spark, crawl, model, tmp_path):
+    folder, allow = crawl
+    store, whole = IndexStore(spark, str(tmp_path / "s")), IndexStore(spark, str(tmp_path / "w"))
+    names = archive_paths(spark, str(folder)).select(F.col("path").alias("file_name"))
+    gone = "file:" + str(folder / "a-00009.warc.gz")  # first by name
+    store.seed(names.unionByName(spark.createDataFrame([(gone,)], "file_name string")))
+    report = ingest_pending(store, allow, None, model, note="run-1")
+    assert (report.records_read, report.records_damaged, report.files_left) == (9, 0, 1)
+    assert [r.file_name for r in store.pending().collect()] == [gone]
+    (failed,) = store.failures().collect()
+    assert failed.file_name == gone and failed.times == 1 and failed.reason.startswith("unreadable archive: ")
+    ingest_archives(whole, archive_paths(spark, str(folder)), allow, None, model)
+    assert as_dict(store.read()) == as_dict(whole.read())
+    # it comes after archives that have not failed yet, and is done once it can be read
+    write_archive(folder, "c-00002.warc.gz", [record("http://b.org/2", page("Three", "the lazy dog"))])
+    store.seed(archive_paths(spark, str(folder)).select(F.col("path").alias("file_name")))
+    assert ingest_pending(store, allow, None, model, most=1, note="run-2").pages_added == 1
+    write_archive(folder, "a-00009.warc.gz", [record("http://b.org/3", page("Four", "the lazy children"))])
+    assert ingest_pending(store, allow, None, model, most=1, note="run-3").files_left == 0
+    assert store.read().websites.count() == 4
+    assert store.folder.entries("staged") == {}
+
+
+def test_failing_batch_leaves_the_former_version(spark, crawl, model, tmp_path, monkeypatch):
     folder, allow = crawl
     store = IndexStore(spark, str(tmp_path / "s"))
-    missing = spark.createDataFrame([("x", str(folder / "gone.warc.gz"), 1)], "file_id string, path string, length long")
-    with pytest.raises(Exception):
-        ingest_archives(store, missing, allow, None, model)
-    assert store.current() is None
+    store.seed(archive_paths(spark, str(folder)).select(F.col("path").alias("file_name")))
+    before = store.current()
+    broken = allow.withColumn("host", F.raise_error(F.lit("disk gone")).cast("string"))
+    with pytest.raises(Exception, match="disk gone"):
+        ingest_archives(store, archive_paths(spark, str(folder)), broken, None, model)
+    assert store.current() == before and store.pending().count() == 2
 
 
 def test_language_on_unseen_pages(spark):

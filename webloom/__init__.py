@@ -13,7 +13,8 @@ from webloom.operators.audit import audit_fk, audit_not_null, audit_unique  # no
 from webloom.operators.hosts import filter_hosts, site_allowlist  # noqa: E402
 from webloom.operators.language import LanguageModel, detect_language, train_language_model  # noqa: E402
 from webloom.operators.lemmas import lemma_dictionary, lemmatise, lemmatise_rows  # noqa: E402
-from webloom.plans.index import Index, IndexStore, build_index, merge_index  # noqa: E402
+from webloom.plans.index import Index, build_index, merge_index  # noqa: E402
+from webloom.plans.store import IndexStore  # noqa: E402
 from webloom.plans.pages import parse_pages  # noqa: E402
 from webloom.sources.lines import read_lines  # noqa: E402
 from webloom.sources.warc import read_warc, register_warc_source, scan_archives  # noqa: E402

@@ -28,27 +28,66 @@ def audit_not_null(df: DataFrame, columns: list[str]) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
-def audit_index(websites: DataFrame, keywords: DataFrame, postings: DataFrame, links: DataFrame) -> DataFrame:
-    """``(check, violations)`` for every constraint of the four tables."""
-    found = {
-        "websites.url unique": audit_unique(websites, ["url"]),
-        "keywords.word unique": audit_unique(keywords, ["word"]),
-        "postings unique": audit_unique(postings, ["word", "url"]),
-        "links unique": audit_unique(links, ["source_url", "target_website"]),
-        "postings.word known": audit_fk(postings, keywords, "word", "word"),
-        "postings.url known": audit_fk(postings, websites, "url", "url"),
-        "links.source_url known": audit_fk(links, websites, "source_url", "url"),
-    }
-    counted = [
-        rows.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check"), "violations")
-        for name, rows in found.items()
-    ]
-    for name, table in (("websites", websites), ("keywords", keywords), ("postings", postings), ("links", links)):
-        nulls = audit_not_null(table, table.columns)
-        counted.append(
-            nulls.select(
-                F.concat(F.lit(name + "."), "column_name", F.lit(" not null")).alias("check"),
-                F.col("null_rows").alias("violations"),
+UNIQUE = {
+    "websites.url unique": ("websites", ["url"]), "keywords.word unique": ("keywords", ["word"]),
+    "postings unique": ("postings", ["word", "url"]), "links unique": ("links", ["source_url", "target_website"]),
+}
+KNOWN = {
+    "postings.word known": ("postings", "word", "keywords", "word"), "postings.url known": ("postings", "url", "websites", "url"),
+    "links.source_url known": ("links", "source_url", "websites", "url"),
+}
+COLUMNS = {
+    "websites": ["url", "title", "description", "word_count"], "keywords": ["word", "documents_containing_word"],
+    "postings": ["word", "url", "keyword_occurrences"], "links": ["source_url", "target_website"],
+}
+
+
+def unknown_rows(child: DataFrame, parents: list[DataFrame], key: str, parent_key: str) -> DataFrame:
+    """``violations``: rows of a child whose key no parent has. Rows are counted by key before they meet the
+    parents, so a key of very many rows is one row per task; NULL keys pass."""
+    counted = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    for parent in parents:
+        counted = counted.join(parent.select(F.col(parent_key).alias(key)), key, "left_anti")
+    return counted.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("violations"))
+
+
+def _checks(tables: dict[str, DataFrame], earlier: dict[str, DataFrame], parents: dict[str, list[DataFrame]]) -> DataFrame:
+    """Violations in some tables: keys that they repeat or that are ``earlier`` there, rows that no parent knows, and nulls."""
+    counted = []
+    for name, (table, keys) in UNIQUE.items():
+        groups = tables[table].groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        if table in earlier:
+            seen = earlier[table].groupBy(*keys).agg(F.count(F.lit(1)).alias("_seen"))
+            groups = groups.join(seen, keys, "left").withColumn("n", F.col("n") + F.coalesce("_seen", F.lit(0))).filter(
+                F.coalesce("_seen", F.lit(0)) <= 1  # a key that was there twice is counted already
             )
-        )
+        counted.append(groups.agg(F.count_if(F.col("n") > 1).alias("violations")).select(F.lit(name).alias("check"), "violations"))
+    for name, (child, key, parent, parent_key) in KNOWN.items():
+        counted.append(unknown_rows(tables[child], parents[parent], key, parent_key).select(F.lit(name).alias("check"), "violations"))
+    for name, columns in COLUMNS.items():
+        check = F.concat(F.lit(name + "."), "column_name", F.lit(" not null")).alias("check")
+        counted.append(audit_not_null(tables[name], columns).select(check, F.col("null_rows").alias("violations")))
     return reduce(DataFrame.unionByName, counted)
+
+
+def audit_index(websites: DataFrame, keywords: DataFrame, postings: DataFrame, links: DataFrame) -> DataFrame:
+    """``(check, violations)`` for every constraint of the four tables."""
+    tables = {"websites": websites, "keywords": keywords, "postings": postings, "links": links}
+    return _checks(tables, {}, {name: [tables[name]] for name in ("keywords", "websites")})
+
+
+def audit_delta(
+    batch: dict[str, DataFrame], stored: dict[str, DataFrame], pages_repeat: bool, later_words: DataFrame | None = None
+) -> DataFrame:
+    """Violations that a batch adds to what ``audit_index`` finds in the stored tables before it.
+
+    Rows of the batch are compared with each other, and with stored ones only where that can matter: URLs and words
+    with the stored lists of these. As a posting or link is kept with its page, it can repeat a stored one only if a
+    page does, which ``pages_repeat`` says; only then the stored postings and links are read. ``later_words``: keywords that
+    were added since, if the batch is not the last.
+    """
+    earlier = {name: stored[name] for name in (("websites", "keywords", "postings", "links") if pages_repeat else ("websites", "keywords"))}
+    parents = {name: [batch[name], stored[name]] for name in ("keywords", "websites")}
+    if later_words is not None:
+        parents["keywords"].append(later_words)
+    return _checks(batch, earlier, parents)

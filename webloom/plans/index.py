@@ -1,21 +1,21 @@
-"""Parsed pages to the index tables, and their versioned storage."""
+"""Parsed pages to the index tables."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions.text import MAX_KEYWORD_LENGTH, truncate_word, word_count
-from webloom.operators.ledger import pending_files, seed_ledger
 from webloom.operators.lemmas import lemmatise_rows
 from webloom.operators.merge import accumulate, replace_children, upsert
+from webloom.operators.repeats import repeated_keys
 from webloom.plans.pages import indexable
-from webloom.session import Lookup, checked_lookup, lookup_join
+from webloom.session import checked_lookup, lookup_join
 
 REPEATED_URLS_BROADCAST = 1_000_000
+FILTER_FROM = 5_000_000  # pages
 
 
 @dataclass
@@ -30,32 +30,36 @@ class Index:
     keyword_parts: DataFrame
     postings: DataFrame
     links: DataFrame
+    totals: DataFrame | None = None  # document frequencies over all archives, where they are stored
+    rows: int | None = None  # upper bound on the rows of each table, where it is known
 
     @property
     def keywords(self) -> DataFrame:
+        if self.totals is not None:
+            return self.totals
         return accumulate(
             self.keyword_parts.select("word", "documents_containing_word"), ["word"], "documents_containing_word"
         )
 
 
-def mark_latest(pages: DataFrame, key: str = "url", order: tuple[str, ...] = ("file_id", "record_no")) -> DataFrame:
+def mark_latest(
+    pages: DataFrame, key: str = "url", order: tuple[str, ...] = ("file_id", "record_no"), filter_from: int = FILTER_FROM
+) -> DataFrame:
     """Add ``is_latest``: true for the last version of each key.
 
     Only keys seen more than once matter, and a key with very many versions is
     still one row of that list, so the pages themselves do not shuffle while the
-    list is within its checked bound.
+    list is within its checked bound. From ``filter_from`` pages on, keys that occur once do not shuffle either.
     """
-    versions = pages.groupBy(key).agg(
-        F.max(F.struct(*order)).alias("_last"), F.count(F.lit(1)).alias("_versions")
-    )
-    repeated = versions.filter(F.col("_versions") > 1).select(key, "_last")
-    lookup = checked_lookup(repeated, REPEATED_URLS_BROADCAST)
+    lookup = checked_lookup(repeated_keys(pages, key, order, filter_from=filter_from), REPEATED_URLS_BROADCAST)
     is_latest = F.col("_last").isNull() | (F.col("_last") == F.struct(*order))
     return lookup_join(pages, lookup, key).withColumn("is_latest", is_latest).drop("_last")
 
 
-def latest_pages(pages: DataFrame, key: str = "url", order: tuple[str, ...] = ("file_id", "record_no")) -> DataFrame:
-    return mark_latest(pages, key, order).filter("is_latest").drop("is_latest")
+def latest_pages(
+    pages: DataFrame, key: str = "url", order: tuple[str, ...] = ("file_id", "record_no"), filter_from: int = FILTER_FROM
+) -> DataFrame:
+    return mark_latest(pages, key, order, filter_from).filter("is_latest").drop("is_latest")
 
 
 def term_counts(pages: DataFrame, dictionary: DataFrame | None, limit: int = MAX_KEYWORD_LENGTH) -> DataFrame:
@@ -111,12 +115,15 @@ def build_index(
     terms = term_counts(marked, dictionary, limit)
     if staging:
         terms.write.mode("overwrite").parquet(f"{staging}/terms")
-        terms = pages.sparkSession.read.parquet(f"{staging}/terms")
+        terms = pages.sparkSession.read.schema(terms.schema).parquet(f"{staging}/terms")
+        links = F.coalesce(F.sum(F.size(F.coalesce("links", F.array()))), F.lit(0))
+        rows = max(terms.count(), pages.agg(links).first()[0])
     return Index(
         websites=website_rows(latest),
         keyword_parts=document_frequency(terms),
         postings=term_frequency(terms),
         links=link_rows(latest),
+        rows=rows if staging else None,
     )
 
 
@@ -142,173 +149,3 @@ def merge_index(old: Index, new: Index, archives: DataFrame | None = None) -> In
 def recompute_keywords(postings: DataFrame) -> DataFrame:
     """Document frequency as the stored postings have it, without past versions."""
     return postings.groupBy("word").agg(F.count(F.lit(1)).alias("documents_containing_word"))
-
-
-class IndexStore:
-    """The index in a shared folder: a merged base and the batches added since.
-
-    Adding a batch writes that batch only, so its cost does not grow with the
-    index. Reading takes the last version of each page; ``compact`` stores the
-    merged result as the new base. A version counts from the moment its small
-    row is appended to ``commits``, after all its tables are written: a failed
-    attempt leaves that row out and its files are written over. Nothing is
-    overwritten while it is current.
-    """
-
-    # Stored order of each table: range-partitioned, so that file statistics
-    # serve lookups and a very frequent word spreads over several files.
-    LAYOUT = {
-        "websites": ["url"],
-        "keyword_parts": ["word", "file_id"],
-        "postings": ["word", "url"],
-        "links": ["target_website", "source_url"],
-        "files": ["file_name"],
-        "archives": ["file_id"],
-        "replaced": ["url"],
-    }
-    REPORT = "version long, records_read long, records_matching long, records_damaged long, pages_valid long, pages_added long, files_left long"
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    def current(self):
-        """Last commit ``(version, base, note)``, None for a new store."""
-        try:
-            commits = self.spark.read.schema("version long, base long, note string").parquet(f"{self.root}/commits")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-        return commits.orderBy(F.desc("version")).first()
-
-    def _live(self, name: str, base: int | None = None, version: int | None = None) -> DataFrame:
-        """Rows of the base and of the batches since, with their ``version``."""
-        if base is None:
-            head = self.current()
-            base, version = head["base"], head["version"]
-        return self.spark.read.parquet(f"{self.root}/{name}").filter(F.col("version").between(base, version))
-
-    def read(self) -> Index | None:
-        head = self.current()
-        if head is None:
-            return None
-        tables = {field.name: self._live(field.name) for field in fields(Index)}
-        if head["base"] < head["version"]:
-            pages = _repeated(self._live("replaced"), "url")
-            sources = Lookup(pages.rows.withColumnRenamed("url", "source_url"), pages.small)
-            archives = _repeated(self._live("archives"), "file_id")
-            tables = {
-                "websites": _last_only(tables["websites"], pages, "url"),
-                "keyword_parts": _last_only(tables["keyword_parts"], archives, "file_id"),
-                "postings": _last_only(tables["postings"], pages, "url"),
-                "links": _last_only(tables["links"], sources, "source_url"),
-            }
-        return Index(**{name: table.drop("version") for name, table in tables.items()})
-
-    def files(self) -> DataFrame | None:
-        """The ledger; a file stays processed once any batch has marked it."""
-        if self.current() is None:
-            return None
-        return self._live("files").groupBy("file_name").agg(F.bool_or("processed").alias("processed"))
-
-    def append(self, batch: Index, files: DataFrame, note: str = "", archives: DataFrame | None = None) -> int:
-        """Add a batch: its pages replace stored ones, its archives' counts too.
-
-        ``archives``: the ``file_id`` of all archives in the batch, also of those without a word.
-        """
-        head = self.current()
-        version = head["version"] + 1 if head else 1
-        return self._commit(version, head["base"] if head else version, batch, files, note, archives)
-
-    def publish(self, index: Index, files: DataFrame, note: str = "", archives: DataFrame | None = None) -> int:
-        """Store a whole index as the new base."""
-        head = self.current()
-        version = head["version"] + 1 if head else 1
-        return self._commit(version, version, index, files, note, archives)
-
-    def compact(self) -> int:
-        archives = self._live("archives").select("file_id").distinct()
-        return self.publish(self.read(), self.files(), self.current()["note"], archives)
-
-    def seed(self, names: DataFrame) -> int:
-        """Add archives to do: ``file_name`` rows that the ledger does not know yet. Returns how many."""
-        known = self.files()
-        fresh = seed_ledger(names)
-        if known is not None:
-            fresh = fresh.join(known.select("file_name"), "file_name", "left_anti")
-        count = fresh.count()
-        if count:
-            self.append(empty_index(self.spark), fresh, self.current()["note"] if known is not None else "")
-        return count
-
-    def pending(self) -> DataFrame:
-        return pending_files(self.files())
-
-    def add_report(self, **counters: int) -> None:
-        row = [counters.get(name.split()[0]) for name in self.REPORT.split(", ")]
-        self.spark.createDataFrame([row], self.REPORT).coalesce(1).write.mode("append").parquet(f"{self.root}/reports")
-
-    def reports(self) -> DataFrame:
-        """Counters of each version that a run of the ingest has added."""
-        return self.spark.read.schema(self.REPORT).parquet(f"{self.root}/reports")
-
-    def batches_since_base(self) -> int:
-        head = self.current()
-        return head["version"] - head["base"] if head else 0
-
-    def _commit(
-        self, version: int, base: int, index: Index, files: DataFrame, note: str, archives: DataFrame | None
-    ) -> int:
-        """There is one writer at a time: two would take the same version number."""
-        archives = (index.keyword_parts if archives is None else archives).select("file_id").distinct()
-        tables = {field.name: getattr(index, field.name) for field in fields(Index)}
-        # the URLs that this version has of earlier ones: readers need no other list of what is out of date
-        replaced = index.websites.select("url")
-        if version > base:
-            live = self._live("websites", base, version - 1).select("url")
-            replaced = _semi_join(live, replaced, "url").distinct()
-        tables |= {"files": files, "archives": archives, "replaced": replaced.limit(0) if version == base else replaced}
-        for name, table in tables.items():
-            order = self.LAYOUT[name]
-            table.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(
-                f"{self.root}/{name}/version={version}"
-            )
-        commit = self.spark.range(1).select(
-            F.lit(version).cast("long").alias("version"), F.lit(base).cast("long").alias("base"), F.lit(note).alias("note")
-        )
-        commit.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
-        return version
-
-
-def empty_index(spark: SparkSession) -> Index:
-    """An index of no pages."""
-    def none(schema: str) -> DataFrame:
-        return spark.createDataFrame([], schema)
-
-    return Index(
-        websites=none("url string, title string, description string, word_count int"),
-        keyword_parts=none("file_id string, word string, documents_containing_word long"),
-        postings=none("word string, url string, keyword_occurrences int"),
-        links=none("source_url string, target_website string"),
-    )
-
-
-def _repeated(rows: DataFrame, key: str) -> Lookup:
-    """The last version of each key of which there is an earlier one (or no other: it is then the last)."""
-    return checked_lookup(rows.groupBy(key).agg(F.max("version").alias("_last")), REPEATED_URLS_BROADCAST)
-
-
-def _semi_join(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows with one of the keys, which are broadcast if counted to be few."""
-    found = checked_lookup(keys, REPEATED_URLS_BROADCAST)
-    return rows.join(F.broadcast(found.rows) if found.small else found.rows, key, "left_semi")
-
-
-def _last_only(rows: DataFrame, repeated: Lookup, key: str) -> DataFrame:
-    columns = rows.columns
-    return (
-        lookup_join(rows, repeated, key)
-        .filter(F.col("_last").isNull() | (F.col("_last") == F.col("version")))
-        .select(columns)
-    )

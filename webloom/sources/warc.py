@@ -175,18 +175,33 @@ def archive_paths(spark: SparkSession, path: str, glob: str = "*.gz") -> DataFra
     return found.select(F.col("path").alias("file_id"), "path", "length")
 
 
-def scan_archives(archives: DataFrame, mode: str = "PERMISSIVE", tasks: int | None = None) -> DataFrame:
+UNREADABLE = "unreadable archive: "
+
+
+def scan_archives(
+    archives: DataFrame, mode: str = "PERMISSIVE", tasks: int | None = None, report_unreadable: bool = False
+) -> DataFrame:
     """Records of the archives named by ``(file_id, path)`` rows.
 
     ``tasks`` spreads the file list, as one file is one unit of work; by default
-    there is a task for each file. A file that cannot be opened fails the job,
-    so that it is never taken for done.
+    there is a task for each file. A file that cannot be opened or read on fails the job,
+    so that it is never taken for done; with ``report_unreadable`` it gives one damaged record that says so instead.
     """
 
     def scan(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                yield from archive_batches(row["file_id"], row["path"])
+                found = archive_batches(row["file_id"], row["path"])
+                while True:
+                    try:
+                        batch = next(found)
+                    except StopIteration:
+                        break
+                    except OSError as error:
+                        if not report_unreadable:
+                            raise
+                        batch, found = _as_batch([(row["file_id"], None, None, None, f"{UNREADABLE}{error}")]), iter(())
+                    yield batch
 
     named = archives.select("file_id", "path")
     number = (F.row_number().over(W.orderBy("path", "file_id")) - 1).cast("int")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,9 +13,10 @@ from pyspark.sql.streaming import StreamingQuery
 from webloom.operators.hosts import with_listed
 from webloom.operators.language import LanguageModel
 from webloom.operators.ledger import mark_processed, seed_ledger
-from webloom.plans.index import IndexStore, build_index
+from webloom.plans.index import build_index
 from webloom.plans.pages import parse_pages
-from webloom.sources.warc import record_fields, scan_archives
+from webloom.plans.store import IndexStore, observed
+from webloom.sources.warc import UNREADABLE, record_fields, scan_archives
 
 
 @dataclass(frozen=True)
@@ -33,14 +35,6 @@ class IngestReport:
 _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
-def _counted(observation: Observation) -> dict:
-    """What was observed; nothing where the planner left an empty scan out."""
-    try:
-        return observation.get
-    except AssertionError:
-        return {}
-
-
 def ingest_archives(
     store: IndexStore,
     archives: DataFrame,
@@ -48,50 +42,57 @@ def ingest_archives(
     dictionary: DataFrame | None,
     model: LanguageModel,
     note: str = "",
-    compact_after: int = 16,
 ) -> IngestReport:
     """Index ``(file_id, path)`` archives and add them to the store.
 
     Records of listed hosts are stored first, with those that are damaged: reading an archive is
     one task's work, but what it held is then spread over all tasks for the parser, and counts
-    come from what was stored. Parsed pages are stored as well, as four tables read them. Index
+    are taken while they are stored. Parsed pages are stored as well, as four tables read them. Index
     and ledger are committed together, so a failure leaves the former version and its pending
-    files as they were. An archive with damaged compression is indexed as far as it can be
-    read and stays pending. After ``compact_after`` batches the store is merged into a new base.
+    files as they were. An archive that cannot be opened or read to its end, or whose compression is damaged, is indexed as far as
+    it can be read, reported with the reason and stays pending; the others are done. Then segments that are due are merged.
     """
     spark = store.spark
-    read = Observation()
-    good = F.col("_corrupt_record").isNull()
-    scanned = scan_archives(archives).observe(read, F.count_if(good).alias("good"), F.count_if(~good).alias("damaged"))
+    read, kept_counts, parsed_counts = Observation(), Observation(), Observation()
+    good, unread = F.col("_corrupt_record").isNull(), F.col("_corrupt_record").startswith(UNREADABLE)
+    scanned = scan_archives(archives, report_unreadable=True).observe(
+        read, F.count_if(good).alias("good"), F.count_if(~good & ~unread).alias("damaged")
+    )
     listed = with_listed(record_fields(scanned, "_corrupt_record"), allowlist)
-    staged = f"{store.root}/staged/{note or 'batch'}"
-    kept = listed.filter((F.col("listed") & good) | ~good).drop("listed")
-    kept.write.mode("overwrite").parquet(f"{staged}/records")
-    records = spark.read.parquet(f"{staged}/records")
-    matching = records.filter(good & F.is_valid_utf8(F.col("body").cast("string"))).count()
-    broken = records.filter(F.col("_corrupt_record").startswith("damaged compression")).select("file_id").distinct()
+    staged = f"staged/{uuid.uuid4().hex}"
+    kept = listed.filter((F.col("listed") & good) | ~good).drop("listed").observe(
+        kept_counts, F.count_if(good & F.is_valid_utf8(F.col("body").cast("string"))).alias("matching"), F.count_if(~good).alias("bad")
+    )
+    kept.write.parquet(store.folder.path(f"{staged}/records"))
+    records = spark.read.schema(kept.schema).parquet(store.folder.path(f"{staged}/records"))
 
     parsed = parse_pages(records.filter(good).drop("_corrupt_record"), model).select(
         "file_id", "record_no", "url", "title", "description", "tokens", "links"
     )
-    parsed.write.mode("overwrite").parquet(f"{staged}/pages")
-    pages = spark.read.parquet(f"{staged}/pages")
-    batch = build_index(pages, dictionary, staging=staged)
-
     has_fields = F.col("title").isNotNull() & F.col("description").isNotNull() & F.col("url").isNotNull()
-    valid, added = pages.agg(F.count(F.lit(1)), F.count_if(has_fields)).first()
-
-    whole = archives.join(broken, "file_id", "left_anti").select(F.col("path").alias("file_name"))
-    ledger = mark_processed(seed_ledger(archives.select(F.col("path").alias("file_name"))), whole)
-    version = store.append(batch, ledger, note, archives.select("file_id"))
+    parsed = parsed.observe(parsed_counts, F.count(F.lit(1)).alias("valid"), F.count_if(has_fields).alias("added"))
+    parsed.write.parquet(store.folder.path(f"{staged}/pages"))
+    pages = spark.read.schema(parsed.schema).parquet(store.folder.path(f"{staged}/pages"))
+    batch = build_index(pages, dictionary, staging=store.folder.path(staged))
+
+    broken = records.filter(F.col("_corrupt_record").startswith("damaged compression") | unread)
+    broken = broken.groupBy("file_id").agg(F.max("_corrupt_record").alias("reason"))
+    names = archives.select("file_id", F.col("path").alias("file_name"))
+    if observed(kept_counts).get("bad", 0):
+        failed = names.join(broken, "file_id").select("file_name", "reason")
+        whole = names.join(broken, "file_id", "left_anti")
+    else:
+        failed, whole = None, names
+    ledger = mark_processed(seed_ledger(names.select("file_name")), whole.select("file_name"))
+    version = store.append(batch, ledger, note, archives.select("file_id"), failed)
     report = IngestReport(
-        version=version, records_read=_counted(read).get("good", 0), records_matching=matching,
-        records_damaged=_counted(read).get("damaged", 0), pages_valid=valid, pages_added=added,
-        files_left=store.pending().count(),
+        version=version, records_read=observed(read).get("good", 0), records_matching=observed(kept_counts).get("matching", 0),
+        records_damaged=observed(read).get("damaged", 0), pages_valid=observed(parsed_counts).get("valid", 0),
+        pages_added=observed(parsed_counts).get("added", 0), files_left=store.pending().count(),
     )
     store.add_report(**asdict(report))
-    if store.batches_since_base() >= compact_after:
-        store.compact()
+    store.folder.remove(staged)
+    store.merge_due()
     return report
 
 
@@ -106,9 +107,12 @@ def ingest_pending(
 ) -> IngestReport | None:
     """Index the archives that the store's ledger has as pending, ``most`` of them at a time.
 
-    ``store.seed(names)`` adds archives to do. None if nothing is pending.
+    ``store.seed(names)`` adds archives to do. None if nothing is pending. Archives that have failed come after those that
+    have not, so a damaged one does not keep others waiting.
     """
-    names = store.pending().orderBy("file_name")
+    if store.current() is None:
+        return None
+    names = store.pending().join(store.failures(), "file_name", "left").orderBy(F.coalesce("times", F.lit(0)), "file_name")
     names = names.limit(most) if most else names
     archives = names.select(file_id(F.col("file_name")).alias("file_id"), F.col("file_name").alias("path"))
     # which files a batch has must not change while it runs: their names are few and short
@@ -149,8 +153,7 @@ def ingest_stream(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         note = f"{stream_name}-{batch_id}"
-        current = store.current()
-        if current and current["note"] == note:
+        if store.has(note):
             return
         ingest_archives(store, batch, allowlist, dictionary, model, note)
 
