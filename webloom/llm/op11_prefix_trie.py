@@ -26,10 +26,12 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from webloom.llm.storage import stored
 from webloom.session import checked_lookup, lookup_join
@@ -256,9 +258,9 @@ def _forest(rows: pa.Table) -> pa.Table:
     return Forest(*columns, rows["left"][0].as_py(), rows["right"][0].as_py()).table()
 
 
-@F.pandas_udf("int")
-def _shared(a, b):
-    return __import__("pandas").Series([-1 if x is None or y is None else common_turns(x, y) for x, y in zip(a, b)])
+@F.pandas_udf(IntegerType())
+def _shared(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([-1 if x is None or y is None else common_turns(x, y) for x, y in zip(a, b)])
 
 
 def trie(seqs: DataFrame, turns: int = TURNS) -> DataFrame:
