@@ -10,7 +10,7 @@ to the grammar's prior weights.
 
 Learning uses at most ``POSITIVES`` and ``NEGATIVES`` labelled documents, those of least id
 hash: a bounded sample, in which near copies count once. Scoring is one scan of all texts, whole, without a shuffle; the
-broadcast model has at most ``ENTRIES`` entries.
+model has the entries that the sample gives evidence of, and is broadcast.
 
 Null and empty texts have no clauses and get the score of the intercept. A label that
 repeats counts once; null labels are not learned from. Without a positive label nothing is
@@ -31,10 +31,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.storage import stored
+from webloom.llm.storage import join_checked, stored
 
 POSITIVES, NEGATIVES = 4000, 8000
-ENTRIES = 2000
+LEAST = 3  # labelled texts with an entry
+HELD = 50_000  # entries that a task holds while it counts
 BEGINNINGS = (4, 5, 6, 7)  # lengths of word beginnings that may be entries
 THRESHOLD = 0.3
 SCORE = "_toxicity"
@@ -89,9 +90,9 @@ def choose_entries(counts: pd.DataFrame, positives: int, negatives: int) -> dict
         + c.neg * np.log(np.maximum(c.neg, 0.5) / (rate * negatives))
     )
     odds = np.log((c.pos + 0.5) / (positives + 1)) - np.log((c.neg + 0.5) / (negatives + 1))
-    c = c.assign(odds=odds, gain=gain)[(odds > 2) & (c.pos >= 3) & (gain > GAIN)]
+    c = c.assign(odds=odds, gain=gain)[(odds > 2) & (c.pos >= LEAST) & (gain > GAIN)]
     entries: dict[str, float] = {}
-    for e in c.sort_values(["gain", "entry"], ascending=[False, True]).head(ENTRIES).itertuples():
+    for e in c.sort_values(["gain", "entry"], ascending=[False, True]).itertuples():
         plain = e.entry.lstrip("=")
         if not any(plain[:n] in entries for n in BEGINNINGS if n <= len(plain)):
             entries[e.entry] = float(min(1.5, e.odds / 4))
@@ -261,6 +262,32 @@ def labelled_sample(labels: DataFrame, label: str, positives: int, negatives: in
     )
 
 
+def _entry_counts(texts: DataFrame) -> DataFrame:
+    """``entry, pos, neg``: texts of either label that hold an entry, of entries with at least ``LEAST`` of label 1.
+
+    Those are counted first, so only few entries are counted in the other texts. Counters are handed on as
+    soon as they have ``HELD`` entries, however long the texts are.
+    """
+    def count(batches):
+        held = Counter()
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                held.update(words_of(text or ""))
+                if len(held) > HELD:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["entry", "n"])
+                    held = Counter()
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["entry", "n"])
+
+    def of(label: int) -> DataFrame:
+        return texts.filter(F.col("label") == label).select("text").mapInArrow(count, "entry string, n bigint")
+
+    pos = stored(of(1).groupBy("entry").agg(F.sum("n").alias("pos")).filter(F.col("pos") >= LEAST))
+    neg = join_checked(of(0), pos.select("entry"), ["entry"], "left_semi").groupBy("entry").agg(F.sum("n").alias("neg"))
+    both = pos.join(neg, "entry", "left").fillna(0, "neg")
+    # an entry of no more positives than negatives cannot be chosen
+    return both.filter(F.col("pos") > F.col("neg"))
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     """Lexicon and weights from a bounded sample of the labelled documents given."""
     sample = labelled_sample(labels, label, POSITIVES, NEGATIVES)
@@ -272,27 +299,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
         .agg(F.min_by("text", F.struct("doc_id", F.xxhash64("text"))).alias("text"))
     )
 
-    def count(batches):
-        pos, neg, seen = Counter(), Counter(), [0, 0]
-        for batch in batches:
-            for text, y in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                seen[y] += 1
-                (pos if y else neg).update(words_of(text or ""))
-        entries = list(pos.keys() | neg.keys())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([*entries, ""], pa.string()), pa.array([*(pos[e] for e in entries), seen[1]], pa.int64()),
-             pa.array([*(neg[e] for e in entries), seen[0]], pa.int64())], ["entry", "pos", "neg"],
-        )
-
-    counts = texts.mapInArrow(count, "entry string, pos bigint, neg bigint")
-    counts = counts.groupBy("entry").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    # entries of fewer positives, or of no more positives than negatives, cannot be chosen
-    best = counts.filter("entry = '' or (pos >= 3 and pos > neg)").orderBy(F.col("pos").desc(), "entry").limit(200_000)
-    table = best.toPandas()
-    seen = table[table.entry == ""]
-    if seen.empty or not seen.pos.iloc[0] or not seen.neg.iloc[0]:
+    counts = _entry_counts(texts)
+    seen = {r.label: r["count"] for r in texts.groupBy("label").count().collect()}
+    if not seen.get(0) or not seen.get(1):
         return Model({}, PRIOR, START)
-    entries = choose_entries(table[table.entry != ""], int(seen.pos.iloc[0]), int(seen.neg.iloc[0]))
+    entries = choose_entries(counts.toPandas(), seen[1], seen[0])
 
     def read(batches):
         grammar = Grammar(entries)
