@@ -2,9 +2,11 @@
 
 A lexicon of insults (words and word beginnings, with weights) is learned from labels. One
 automaton over characters finds its entries in a text; each clause with a match, and each
-with a threat word, is then read token by token by composed transducers: negation and reported
-speech discount what they cover, a target beside an insult or threat strengthens it. So it
-is clauses that are scored, by what they say, and a document's score is a logistic function
+with a threat word, is then read token by token by one machine, the composition of weighted transducers for negation, reported
+speech and targets. It is built once: its states are the reachable combinations of theirs, an arc's weight is the product
+of theirs and its output the first of theirs in that order. Negation and reported
+speech discount what they cover, a target beside an insult or threat strengthens it. A clause says what its heaviest path
+through an insult or threat puts out. So it is clauses that are scored, by what they say, and a document's score is a logistic function
 of its matched clauses by kind. The weights of the kinds are fitted to labels as well, drawn
 to the grammar's prior weights.
 
@@ -47,9 +49,11 @@ _CLAUSE_END = re.compile(r"[.!?;:,\n]")
 
 # Word classes of the grammar, in the languages served.
 TARGETS = frozenset("you your yours you're he she him her they them du dich dir ihr euch sie tu te toi vous il elle ils usted ustedes él ella ellos".split())
-THREATS = frozenset("kill hurt murder stab shoot strangle töten umbringen tuer frapper matar golpear".split())
+# stems of threats: a word of at most LONGER letters more is one, too
+THREATS = frozenset("kill hurt murder stab shoot strangl töt ermord erschieß umbring umgebracht tuer étrangl frapp assassin matar golpea asesin".split())
 NEGATIONS = frozenset("not never no isn't aren't wasn't don't doesn't didn't nobody nicht kein keine nie jamais pas nunca jamás".split())
-REPORTS = frozenset("said says told called quoted wrote claims sagte sagt nannte dit disait appelé dijo dice llamó".split())
+REPORTS = frozenset("said say told tell call quot wrote writ claim sagt nannt nennt behaupt schrieb disait appel écrit prétend dijo dice llam escrib".split())
+LONGER = 4
 
 KINDS = ("plain", "targeted", "negated", "reported", "threat")
 # Entries that clean texts hold at times are weak: what counts is how dense their clauses are.
@@ -102,54 +106,68 @@ def choose_entries(counts: pd.DataFrame, positives: int, negatives: int) -> dict
 # --- the grammar ------------------------------------------------------------------------
 
 
+CLASSES = "IHYNRQW"  # insult, threat, target, negation, report, quotation mark, other word
+
+
 @dataclass(frozen=True)
 class Transducer:
-    """A machine over word classes. Arcs: (state, class) -> (state, output). A word class without
-    an arc leads to ``otherwise[state]`` and puts out nothing."""
+    """A weighted machine over word classes. Arcs: (state, class) -> (state, output, weight). A word class without
+    an arc leads to ``otherwise[state]``, puts out nothing and weighs 1. The start is state 0."""
 
-    arcs: dict[tuple[int, str], tuple[int, str]]
+    arcs: dict[tuple[int, str], tuple[int, str, float]]
     otherwise: dict[int, int] = field(default_factory=dict)
 
-    def step(self, state: int, kind: str) -> tuple[int, str]:
-        found = self.arcs.get((state, kind))
-        return found if found else (self.otherwise.get(state, state), "")
+    def step(self, state: int, kind: str) -> tuple[int, str, float]:
+        return self.arcs.get((state, kind)) or (self.otherwise.get(state, state), "", 1.0)
+
+    def compose(self, other: Transducer) -> Transducer:
+        """Both at once, over their reachable pairs of states: weights multiply, and this one's output goes first."""
+        names, arcs, waiting = {(0, 0): 0}, {}, [(0, 0)]
+        while waiting:
+            pair = waiting.pop()
+            for kind in CLASSES:
+                (a, said, x), (b, told, y) = self.step(pair[0], kind), other.step(pair[1], kind)
+                if (a, b) not in names:
+                    names[a, b] = len(names)
+                    waiting.append((a, b))
+                arcs[names[pair], kind] = names[a, b], said or told, x * y
+        return Transducer(arcs)
 
 
 # After a negation, an insult or threat within three words is denied.
 NEGATION = Transducer(
-    {**{(s, "N"): (3, "") for s in range(4)}, **{(s, k): (0, "negated") for s in (1, 2, 3) for k in "IH"}},
+    {**{(s, "N"): (3, "", 1.0) for s in range(4)}, **{(s, k): (0, "negated", 1 / 3) for s in (1, 2, 3) for k in "IH"}},
     {3: 2, 2: 1, 1: 0},
 )
 # After a word of saying, or within quotation marks, what follows in the clause is reported.
-REPORT = Transducer(
-    {(0, "R"): (1, ""), (0, "Q"): (2, ""), (2, "Q"): (0, ""), **{(s, k): (s, "reported") for s in (1, 2) for k in "IH"}},
-)
-# A target up to four words before an insult, or two before or after a threat, is addressed.
+REPORT = Transducer({
+    (0, "R"): (1, "", 1.0), (0, "Q"): (2, "", 1.0), (2, "Q"): (0, "", 1.0), **{(s, k): (s, "reported", 1 / 3) for s in (1, 2) for k in "IH"},
+})
+# A target up to four words before an insult or threat is addressed.
 TARGET = Transducer(
-    {**{(s, "Y"): (4, "") for s in range(5)}, **{(s, k): (s, "targeted") for s in (1, 2, 3, 4) for k in "IH"}},
+    {**{(s, "Y"): (4, "", 1.0) for s in range(5)}, **{(s, k): (s, "targeted", 7 / 6) for s in (1, 2, 3, 4) for k in "IH"}},
     {4: 3, 3: 2, 2: 1, 1: 0},
 )
+CLAUSE = NEGATION.compose(REPORT).compose(TARGET)
 
 
-def read_clause(tokens: list[tuple[str, float]]) -> tuple[str, float]:
-    """Kind and weight of a clause of (class, weight): I insult, H threat, Y target, N negation,
-    R report, Q quotation mark, W other. The three machines run side by side."""
-    negation = report = target = 0
-    best, kind = 0.0, ""
+def read_clause(tokens: list[tuple[str, float]], machine: Transducer = CLAUSE) -> tuple[str, float]:
+    """Kind and weight of a clause of (class, weight): what its heaviest insult or threat puts out. A threat counts
+    only in a clause with a target."""
+    state, best, kind, own = 0, 0.0, "", 0.0
     addressed = any(c == "Y" for c, _ in tokens)
     for c, weight in tokens:
-        negation, denied = NEGATION.step(negation, c)
-        report, told = REPORT.step(report, c)
-        target, aimed = TARGET.step(target, c)
-        if c == "I":
-            own = denied or told or aimed or "plain"
-        elif c == "H" and addressed:
-            own = denied or told or "threat"
-        else:
-            continue
-        if weight * PRIOR[KINDS.index(own)] > best:
-            best, kind = weight * PRIOR[KINDS.index(own)], own
-    return kind, best / PRIOR[KINDS.index(kind)] if kind else 0.0
+        state, said, factor = machine.step(state, c)
+        if c == "I" or c == "H" and addressed:
+            if c == "H" and said in ("", "targeted"):
+                said = "threat"
+            if weight * factor > best:
+                best, kind, own = weight * factor, said or "plain", weight
+    return kind, own
+
+
+def _stem_in(word: str, stems: frozenset[str]) -> bool:
+    return any(word[:n] in stems for n in range(max(3, len(word) - LONGER), len(word) + 1))
 
 
 class Grammar:
@@ -163,9 +181,9 @@ class Grammar:
             known = self.automaton.get(plain, (0, 0.0, 0.0))
             whole = entry.startswith("=")
             self.automaton.add_word(plain, (len(plain), weight if whole else known[1], known[2] if whole else weight))
-        for word in THREATS:
+        for word in THREATS:  # stems: where a longer word begins with one, ``token`` decides
             known = self.automaton.get(word, (0, 0.0, 0.0))
-            self.automaton.add_word(word, (len(word), known[1], known[2]))
+            self.automaton.add_word(word, (len(word), known[1], known[2] or 1.0))
         self.automaton.make_automaton()
 
     def places(self, text: str):
@@ -184,9 +202,12 @@ class Grammar:
                 weight = max(weight, self.entries.get(word[:n], 0.0))
         if weight:
             return "I", weight
-        for kind, members in (("H", THREATS), ("Y", TARGETS), ("N", NEGATIONS), ("R", REPORTS)):
+        for kind, members in (("Y", TARGETS), ("N", NEGATIONS)):
             if word in members:
                 return kind, 1.0
+        for kind, stems in (("H", THREATS), ("R", REPORTS)):
+            if _stem_in(word, stems):
+                return kind, 1.0
         return ("Q", 0.0) if word in '"“”«»' else ("W", 0.0)
 
     def kinds(self, text: str | None) -> np.ndarray:
@@ -194,7 +215,7 @@ class Grammar:
         total = np.zeros(len(FEATURES))
         if not text:
             return total
-        lower = text.lower()
+        lower = text.lower().replace("’", "'")
         behind = 0
         for at in self.places(lower):
             if at < behind:

@@ -4,13 +4,14 @@ Both sides keep, of every ``WINDOW - GRAM + 1`` consecutive k-grams of words, th
 with the least hash. Texts that share ``WINDOW`` words therefore share a kept k-gram at
 the same place of that span, so looking up the kept k-grams alone finds every shared
 span. A match is extended: each window of ``WINDOW`` words around it is looked up among
-the windows of the benchmark, by 128 bits. An item with fewer words than a window is a
+the windows of the benchmark, by two hashes made of its words' 64-bit hashes. An item with fewer words than a window is a
 window of its own length n; every n-gram of the documents is looked up for it, which is
 winnowing with a guarantee of n.
 
-Scale: the corpus is scanned once and is not shuffled. The benchmark is read in blocks of
-at most ``BLOCK_BYTES`` of text; each block is broadcast and probed inside the scan, and
-a larger benchmark adds further probes to the same scan.
+Scale: a benchmark of at most ``MOST_BYTES`` of text, as counted, is broadcast and its fingerprints are probed inside one scan of the
+corpus, which is not shuffled; a worker builds the index once. With a larger benchmark the kept k-grams of both sides are
+tables and are joined: documents that share one with the benchmark, and no others, then give their windows, which are joined with
+its windows. K-grams of very many places are dealt over several tasks. Both ways give the same rows.
 
 Null or empty documents have no words and get zeros; items without words match nothing,
 items without an id are left out, repeated ids count as one item. Rows that repeat each
@@ -23,15 +24,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from webloom.llm.storage import BROADCAST_ROWS, stored
 from webloom.llm.words import ALNUM, Words, gram_hashes, text_slices, within_rows
+from webloom.session import checked_lookup, lookup_join
 
 WINDOW = 10  # words
 GRAM = 5
-BLOCK_BYTES = 64 << 20
+MOST_BYTES = 64 << 20
 LEAK = "_leak"
 CHECK = 1  # seed of the second half of a window's hash
 
@@ -157,51 +161,93 @@ def _probe(index: Index, column: pa.Array) -> list[pa.Array]:
     ]
 
 
-def _blocks(benchmark: DataFrame, text: str, item_id: str, most: int) -> Iterator[tuple[list[str], list[str]]]:
-    """Items in blocks of at most ``most`` bytes of text (or one item)."""
-    usable = benchmark.filter(F.col(item_id).isNotNull() & (F.length(text) > 0))
-    ids, texts, size = [], [], 0
-    for row in usable.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")).toLocalIterator():
-        if ids and size + len(row.t) > most:
-            yield ids, texts
-            ids, texts, size = [], [], 0
-        ids.append(row.i)
-        texts.append(row.t)
-        size += len(row.t)
-    yield ids, texts
+def _by_probes(docs: DataFrame, items: DataFrame, text: str) -> DataFrame:
+    """The benchmark, counted to be small, probed inside the scan of the documents."""
+    rows = items.collect()
+    shared = docs.sparkSession.sparkContext.broadcast({"ids": [r.id for r in rows], "texts": [r.text for r in rows]})
+    probed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("probed"))
+
+    def scan(batches):
+        own = shared.value  # one per worker, so the index stays for its next tasks
+        index = own.get("index") or own.setdefault("index", Index(own["ids"], own["texts"]))
+        for batch in batches:
+            found = pa.StructArray.from_arrays(_probe(index, batch.column("probed")), ["spans", "items", "words"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "found"])
+
+    schema = StructType([*probed.schema.fields, StructField("found", FOUND)])
+    return probed.mapInArrow(scan, schema).select("row.*", F.col("found").alias(LEAK))
+
+
+def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``id, gram`` of the k-grams that winnowing keeps."""
+    for batch in batches:
+        ids = batch["id"]
+        for first, _, data, offsets in text_slices(batch["text"]):
+            words = Words(data, offsets, ALNUM)
+            grams, at = kept_grams(words.hashes(), words.rows)
+            yield pa.record_batch([pc.take(ids, pa.array(words.rows[at] + first)), pa.array(grams.view(np.int64))], ["id", "gram"])
+
+
+def _windows(batches: Iterator[pa.RecordBatch], lengths: list[int] | None) -> Iterator[pa.RecordBatch]:
+    """``id, n, w, c, first`` of windows: those of the lengths, or of an item its own."""
+    for batch in batches:
+        ids = batch["id"]
+        for row, _, data, offsets in text_slices(batch["text"]):
+            words = Words(data, offsets, ALNUM)
+            hashes = words.hashes()
+            for n in np.unique(np.minimum(words.counts, WINDOW)) if lengths is None else lengths:
+                starts = within_rows(words.rows, n) if n else np.zeros(0, bool)
+                if lengths is None and n < WINDOW:
+                    starts &= (words.counts == n)[words.rows[: len(starts)]]
+                at = np.flatnonzero(starts)
+                of = words.rows[at]
+                yield pa.record_batch(
+                    [pc.take(ids, pa.array(of + row)), pa.array(np.full(len(at), n, np.int32)),
+                     pa.array(gram_hashes(hashes, int(n))[at].view(np.int64)) if n else pa.array([], pa.int64()),
+                     pa.array(gram_hashes(hashes, int(n), CHECK)[at].view(np.int64)) if n else pa.array([], pa.int64()),
+                     pa.array(at - words.firsts[of])],
+                    ["id", "n", "w", "c", "first"],
+                )
+
+
+def _by_joins(docs: DataFrame, items: DataFrame, text: str) -> DataFrame:
+    """Fingerprints and windows of both sides as tables, joined."""
+    schema = "n int, w bigint, c bigint, first bigint"
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    rows = stored(docs.select(F.struct(*own).alias("row"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("id")))
+    kept = stored(items.mapInArrow(_kept, "id string, gram bigint").select("gram").distinct().withColumn("known", F.lit(True)))
+    windows = stored(items.mapInArrow(lambda b: _windows(b, None), f"id string, {schema}").select("n", "w", "c", F.col("id").alias("item")).distinct())
+    short = sorted(r.n for r in windows.filter(F.col("n") < WINDOW).select("n").distinct().collect())  # at most WINDOW - 1
+    texts = rows.select("id", "text")
+    grams = texts.mapInArrow(_kept, "id bigint, gram bigint")
+    sharing = lookup_join(grams, checked_lookup(kept, BROADCAST_ROWS), "gram").filter("known").select("id").distinct()
+    near = texts.join(stored(sharing), "id", "left_semi")
+    found = near.mapInArrow(lambda b: _windows(b, [WINDOW]), f"id bigint, {schema}")
+    if short:
+        found = found.unionByName(texts.mapInArrow(lambda b: _windows(b, short), f"id bigint, {schema}"))
+    hits = stored(found.join(windows, ["n", "w", "c"]).select("id", "first", (F.col("first") + F.col("n")).alias("last"), "item"))
+    spans = hits.select("id", "first", "last").distinct().groupBy("id").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    named = hits.select("id", "item").distinct().groupBy("id").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    words = F.coalesce(F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")), F.lit(0)).cast("bigint")
+    joined = rows.withColumn("words", words).join(spans.join(named, "id"), "id", "left")
+    none = [F.array().cast(FOUND[name].dataType) for name in ("spans", "items")]
+    leak = F.struct(F.coalesce("spans", none[0]).alias("spans"), F.coalesce("items", none[1]).alias("items"), "words")
+    return joined.select("row.*", leak.alias(LEAK))
 
 
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id",
-    block_bytes: int = BLOCK_BYTES,
+    most_bytes: int = MOST_BYTES,
 ) -> DataFrame:
     """``docs`` with the column ``LEAK``: hit word spans (first, behind the last), items, number of words.
 
     Spans may overlap. Every column of ``docs`` is kept.
     """
-    context = docs.sparkSession.sparkContext
-    keep = docs.schema.names
-    probed = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(text).alias("probed"))
-    blocks = 0
-    for ids, texts in _blocks(benchmark, item_text, item_id, block_bytes):
-        shared = context.broadcast((ids, texts))
-
-        def scan(batches, shared=shared):
-            index = Index(*shared.value)
-            for batch in batches:
-                found = pa.StructArray.from_arrays(_probe(index, batch.column("probed")), ["spans", "items", "words"])
-                yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "found"])
-
-        schema = StructType([*probed.schema.fields, StructField("found", FOUND)])
-        blocks += 1
-        probed = probed.mapInArrow(scan, schema).withColumnRenamed("found", f"found{blocks}")
-    found = [F.col(f"found{b}") for b in range(1, blocks + 1)]
-    leak = F.struct(
-        F.flatten(F.array(*[f["spans"] for f in found])).alias("spans"),
-        F.array_distinct(F.flatten(F.array(*[f["items"] for f in found]))).alias("items"),
-        found[0]["words"].alias("words"),
-    )
-    return probed.select("row.*", leak.alias(LEAK))
+    usable = benchmark.filter(F.col(item_id).isNotNull() & (F.length(item_text) > 0))
+    items = usable.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text")).distinct()
+    size = F.sum(F.octet_length("text") + F.octet_length("id"))
+    small = (items.agg(F.coalesce(size, F.lit(0))).first()[0]) <= most_bytes
+    return _by_probes(docs, items, text) if small else _by_joins(docs, items, text)
 
 
 def hit_words(spans) -> F.Column:

@@ -1,6 +1,8 @@
 """Repeated passages: paragraphs that equal or resemble others, by MinHash bands.
 
-Paragraphs are lines of at least ``LEAST_WORDS`` words. Each gets MinHash values over its
+Paragraphs are lines of at least ``LEAST_WORDS`` words. A shorter line, of verse or a list, begins a paragraph with the lines that
+follow until there are as many words; at the end of a text the last lines that have as many are one, and a text of fewer words is one as a
+whole. So every line is in a paragraph. Each gets MinHash values over its
 five-word shingles, in bands whose number and width are tuned for a stated recall at the
 similarity. Paragraphs that collide in a band are linked to the least of them, and within the components of
 these links exact Jaccard similarity decides, by the blockwise local join of sets. What is
@@ -8,8 +10,9 @@ similar enough is clustered by connected components. Sentences of longer lines t
 equality alone, so that a passage is found where another line has more around it.
 
 In a cluster the first place (least document, then start) stays and all others are to be
-removed. Equal paragraphs are one node before anything is joined, so a line that a third of all
-documents hold costs one row per occurrence and no pair.
+removed. Equal paragraphs are one node: bands are grouped with partial sums, and joined once per node where the join
+shuffles, so a line that a third of all documents hold costs one row per occurrence and no pair. ``whole_line`` tells whole
+lines from sentences and from paragraphs of several lines.
 
 Null and empty texts have no paragraphs. Rows that repeat a doc_id and start are the same
 place. Rows without a doc_id take part and come last. Columns other than doc_id and text are not read.
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 
 from webloom.llm.components import components
 from webloom.llm.op3_jaccard_join import links_within, shingle_sets
-from webloom.llm.storage import join_checked, stored
+from webloom.llm.storage import join_checked, small, stored
 from webloom.llm.words import NOT_BLANK, U64, Words, mix, text_slices
 
 LEAST_WORDS = 8
@@ -63,7 +66,7 @@ def bands_of(grams: np.ndarray, rows: np.ndarray, n: int, bands: int, width: int
     return out
 
 
-_UNIT = "doc bigint, first bigint, behind bigint, n_words bigint, line boolean, node bigint, n_shingles bigint, bands array<bigint>"
+_UNIT = "doc bigint, first bigint, behind bigint, n_words bigint, line boolean, banded boolean, node bigint, n_shingles bigint, bands array<bigint>"
 
 
 def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -82,6 +85,21 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1, np.r_[np.ones(len(first), bool), np.zeros(several.sum(), bool)]
 
 
+def short_line_runs(texts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last line of the paragraphs that short lines make with others, from the text and the words of each line."""
+    short = np.flatnonzero((words > 0) & (words < LEAST_WORDS))
+    if not len(short):
+        return short, short
+    up = np.r_[0, np.cumsum(words)]
+    text_first = np.searchsorted(texts, texts[short], "left")
+    text_last = np.searchsorted(texts, texts[short], "right") - 1
+    last = np.searchsorted(up, up[short] + LEAST_WORDS, "left") - 1
+    # at the end of a text: the last lines with as many words, or all of it
+    back = np.searchsorted(up, up[text_last + 1] - LEAST_WORDS, "right") - 1
+    first = np.where(last > text_last, np.maximum(back, text_first), short)
+    return np.unique(np.c_[first, np.minimum(last, text_last)], axis=0).T
+
+
 def _gathered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ends_at = np.r_[0, np.cumsum(ends - starts)]
     at = np.repeat(starts - ends_at[:-1], ends - starts) + np.arange(ends_at[-1])
@@ -96,6 +114,12 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(data):
                 continue
             starts, ends, texts, line = units(data, offsets)
+            n_lines = int(line.sum())
+            counts = Words(*_gathered(data, starts[:n_lines], ends[:n_lines]), NOT_BLANK).counts
+            first, last = short_line_runs(texts[:n_lines], counts)
+            starts, ends, texts = np.r_[starts, starts[first]], np.r_[ends, ends[last]], np.r_[texts, texts[first]]
+            run = np.arange(len(starts)) >= len(line)
+            line = np.r_[line, np.zeros(len(first), bool)]
             words = Words(*_gathered(data, starts, ends), NOT_BLANK)
             hashes = words.hashes()
             # a digest of all words of a unit: their hashes, each with its place
@@ -103,8 +127,9 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             node = np.zeros(len(starts), U64)
             np.add.at(node, words.rows, mix(hashes + mix(place.astype(U64))))
             node = mix(node + words.counts.astype(U64))
-            used = np.flatnonzero(words.counts >= LEAST_WORDS)
-            lines = used[line[used]]
+            used = np.flatnonzero((words.counts >= LEAST_WORDS) | run)
+            banded = line | run
+            lines = used[banded[used]]
             grams, of = shingle_sets(*_gathered(data, starts[lines], ends[lines]), SHINGLE)
             values = bands_of(grams, of, len(lines), bands, width).view(np.int64)
             sizes, has = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
@@ -113,9 +138,9 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base = chars[offsets[texts]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(docs[row + texts[used]]), pa.array((chars[starts] - base)[used]), pa.array((chars[ends] - base)[used]),
-                 pa.array(words.counts[used]), pa.array(line[used]), pa.array(node[used].view(np.int64)), pa.array(sizes[used]),
+                 pa.array(words.counts[used]), pa.array(line[used]), pa.array(banded[used]), pa.array(node[used].view(np.int64)), pa.array(sizes[used]),
                  pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(has[used])].astype(np.int32)), pa.array(values.ravel()))],
-                ["doc", "first", "behind", "n_words", "line", "node", "n_shingles", "bands"],
+                ["doc", "first", "behind", "n_words", "line", "banded", "node", "n_shingles", "bands"],
             )
 
 
@@ -137,19 +162,20 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     found = stored(docs.mapInArrow(_units, _UNIT))
     nodes = stored(
         found.groupBy("node").agg(
-            F.count(F.lit(1)).alias("n"), F.min("doc").alias("doc"), F.max("line").alias("line"), F.max("n_shingles").alias("n_shingles")
-        ).filter("n > 1 or line")
+            F.count(F.lit(1)).alias("n"), F.min("doc").alias("doc"), F.max("banded").alias("banded"), F.max("n_shingles").alias("n_shingles")
+        ).filter("n > 1 or banded")
     )
     # near ones: lines that collide in a band, all collisions of a band linked to the least
-    banded = found.filter("line").select("node", F.explode("bands").alias("band"))
+    banded = found.filter("banded").select("node", F.explode("bands").alias("band"))
     meeting = stored(
         banded.groupBy("band").agg(F.min("node").alias("lead"), F.max("node").alias("last")).filter("lead < last").drop("last")
     )
-    met = join_checked(banded, meeting, ["band"]).filter("node <> lead")
+    few = small(meeting)
+    met = (banded.join(F.broadcast(meeting), "band") if few else banded.distinct().join(meeting, "band")).filter("node <> lead")
     groups = stored(components(met.select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()))
     sized = join_checked(nodes.select("node", "n_shingles", "doc"), groups, ["node"]).withColumnRenamed("component", "c")
     # the text of each, from its first document
-    places = join_checked(found.filter("line").select("node", "doc", "first", "behind"), sized.select("node", "doc"), ["node", "doc"])
+    places = join_checked(found.filter("banded").select("node", "doc", "first", "behind"), sized.select("node", "doc"), ["node", "doc"])
     places = places.groupBy("doc", "node").agg(F.min(F.struct("first", "behind")).alias("p"))
     wanted = stored(places.groupBy("doc").agg(F.collect_list(F.struct("node", "p.first", "p.behind")).alias("wanted")))
     items = wanted.agg(F.coalesce(F.sum(F.size("wanted")), F.lit(0))).first()[0]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 2_000_000  # most rows of a table that is broadcast; larger ones are joined by shuffle
-ARROW_BATCH_BYTES = 8 << 20
+ARROW_BATCH_BYTES = 4 << 20
 
 _local: dict[str, str] = {}
 

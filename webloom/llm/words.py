@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 _STEP = 0x9E3779B97F4A7C15 | 1
 _powers: dict[str, np.ndarray] = {}
 
@@ -72,6 +72,7 @@ def text_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
         yield at, to - at, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to
+    pa.default_memory_pool().release_unused()
 
 
 class Words:
