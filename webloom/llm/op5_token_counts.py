@@ -15,13 +15,14 @@ are sources times languages times versions, so a source with a third of all rows
 task. ``compact`` folds committed deltas into one. One writer per store at a time.
 
 Null texts have no tokens but count as documents; null sources and languages are keys of their
-own. Rows that repeat count each. An empty batch is committed and changes nothing. Columns
+own. Rows that repeat count each. Documents are not remembered: whoever deletes one under two batch names subtracts it twice. An empty batch is committed and changes nothing. Columns
 other than those named are not read.
 """
 
 from __future__ import annotations
 
 import base64
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -100,15 +101,20 @@ class Rollup:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    def _committed(self) -> dict[str, str]:
-        """Folder of deltas of each committed batch still in use: one short row per batch."""
+    def _commits(self) -> list:
+        """Rows ``(batch, folder, number)`` in their order: one short row per batch, and again for each time it was folded."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/commits")
         if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
-            return {}
+            return []
         rows = self.spark.read.schema("batch string, folder string, number bigint").parquet(f"{self.folder}/commits").collect()
-        return {r.batch: r.folder for r in sorted(rows, key=lambda r: r.number)}
+        return sorted(rows, key=lambda r: r.number)
+
+    def _committed(self) -> dict[str, str]:
+        """Folder of deltas of each committed batch: the last that it was written or folded to."""
+        return {r.batch: r.folder for r in self._commits()}
 
-    def _commit(self, names: dict[str, str], start: int) -> None:
+    def _commit(self, names: dict[str, str]) -> None:
+        start = max((r.number for r in self._commits()), default=-1) + 1
         rows = [(batch, folder, start + i) for i, (batch, folder) in enumerate(names.items())]
         self.spark.createDataFrame(rows, "batch string, folder string, number bigint").coalesce(1).write.mode(
             "append"
@@ -116,13 +122,12 @@ class Rollup:
 
     def apply(self, batch: str, *deltas: DataFrame) -> bool:
         """Apply a batch once; False if it was committed before."""
-        known = self._committed()
-        if batch in known:
+        if batch in self._committed():
             return False
         folder = f"deltas/{batch}"
         changes = reduce(DataFrame.unionByName, deltas) if deltas else self.spark.createDataFrame([], _DELTA)
         _summed(changes).write.mode("overwrite").parquet(f"{self.folder}/{folder}")
-        self._commit({batch: folder}, len(known))
+        self._commit({batch: folder})
         return True
 
     def totals(self) -> DataFrame:
@@ -138,9 +143,10 @@ class Rollup:
         known = self._committed()
         if not known:
             return
-        self.totals().write.mode("overwrite").parquet(f"{self.folder}/base/{name}")
+        folder = f"base/{name}-{uuid.uuid4().hex}"  # never one that totals are read from
+        self.totals().write.parquet(f"{self.folder}/{folder}")
         # one append moves all batches to the folded totals
-        self._commit({batch: f"base/{name}" for batch in known}, 1 << 40 | len(known))
+        self._commit({batch: folder for batch in known})
 
 
 def strip_marks(docs: DataFrame) -> DataFrame:
