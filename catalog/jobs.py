@@ -32,7 +32,7 @@ from webloom.plans.index import (
     Index, build_index, document_frequency, latest_pages, link_rows, mark_latest, merge_index,
     recompute_keywords, term_counts, term_frequency, website_rows,
 )
-from webloom.plans.pages import indexable, parse_html, parse_pages
+from webloom.plans.pages import indexable, page_parts, page_text, parse_pages
 from webloom.plans.store import IndexStore
 from webloom.session import Lookup, checked_lookup, scratch_dir, spread
 from webloom.sources.lines import file_number, first_lines, read_lines
@@ -302,27 +302,25 @@ def html_body(i: Inputs) -> DataFrame:
     return html_responses(i.records()).select("record_no", "html_body").filter(F.col("html_body").isNotNull())
 
 
-def _page(i: Inputs, with_model: bool = False) -> DataFrame:
-    """Whole pages table through the parser, as responses come from archives."""
-    return parse_html(
-        html_responses(i.records()), i.model if with_model else None, url="target_uri", html="html_body"
-    ).withColumnsRenamed({"record_no": "page_id", "target_uri": "url"})
+def _pages(i: Inputs) -> DataFrame:
+    """HTML of the whole pages table, as responses come from archives."""
+    return html_responses(i.records()).withColumnsRenamed({"record_no": "page_id", "target_uri": "url"})
 
 
 def page_title(i: Inputs) -> DataFrame:
-    return _page(i).select("page_id", "title")
+    return page_parts(_pages(i), html="html_body").select("page_id", "title")
 
 
 def page_description(i: Inputs) -> DataFrame:
-    return _page(i).select("page_id", "description")
+    return page_parts(_pages(i), html="html_body").select("page_id", "description")
 
 
 def visible_text_tokens(i: Inputs) -> DataFrame:
-    return _page(i).select("page_id", F.posexplode(tokens(F.col("text_body"))).alias("pos", "token"))
+    return page_text(_pages(i), html="html_body").select("page_id", F.posexplode(tokens(F.col("text_body"))).alias("pos", "token"))
 
 
 def page_links(i: Inputs) -> DataFrame:
-    return _page(i).select("page_id", F.posexplode("links").alias("pos", "link"))
+    return page_parts(_pages(i), html="html_body").select("page_id", F.posexplode("links").alias("pos", "link"))
 
 
 def detect_language_job(i: Inputs) -> DataFrame:
@@ -363,7 +361,7 @@ def parse_pages_job(i: Inputs) -> DataFrame:
 
 
 def filter_english(i: Inputs) -> DataFrame:
-    return _page(i, with_model=True).filter(F.col("lang") == "en").select("page_id", "lang")
+    return page_text(_pages(i), i.model, "html_body").filter(F.col("lang") == "en").select("page_id", "lang")
 
 
 def indexable_pages(i: Inputs) -> DataFrame:

@@ -1,11 +1,14 @@
-"""Page parsing, one probe per rule. No Spark needed for these."""
+"""Page parsing, one probe per rule."""
 
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
-from webloom.functions.html import PageScan, page_links
-from webloom.functions.urls import BaseUrl
+from webloom.functions.html import PageScan
+from webloom.functions.markup import hrefs_of, page_tags, title_of
+from webloom.functions.urls import page_links
+from webloom.plans.pages import page_parts
 
 HEAD = "<!DOCTYPE html><html><head>"
 
@@ -46,9 +49,7 @@ def test_visible_text(html, text):
     assert PageScan(html).text == text
 
 
-@pytest.mark.parametrize(
-    "html, title",
-    [
+TITLES = [
         ("<html><title>A &amp; B</title><title>C</title>", "A & B"),
         ("<html><title></title><title>second</title>", "second"),
         ("<html><title> kept </title>", " kept "),
@@ -57,15 +58,9 @@ def test_visible_text(html, text):
         ("<html><title>a<b>c</title>", "a<b>c"),
         ("<html><template><title>no</title></template>", None),
         ("<html><title>open", "open"),
-    ],
-)
-def test_title(html, title):
-    assert PageScan(html).title == title
-
+    ]
 
-@pytest.mark.parametrize(
-    "href, link",
-    [
+LINKS = [
         ("", "http://h.org/a/b?q=1"),
         ("#f", "http://h.org/a/b?q=1#f"),
         ("?x=y z", "http://h.org/a/b?x=y%20z"),
@@ -89,34 +84,71 @@ def test_title(html, title):
         ("/a/./b//c/%2E%2e/d", "http://h.org/a/b//d"),
         ("http://u:p@h.org/", "http://u:p@h.org/"),
         ("x#a b`", "http://h.org/a/x#a%20b%60"),
-    ],
-)
-def test_link_resolution(href, link):
-    assert BaseUrl("http://h.org/a/b?q=1#top").resolve(href) == link
+    ]
 
 
-def test_links_keep_order_and_repeats():
-    page = PageScan('<html><a href=/1>x</a><A HREF="/2?a=1&amp;b=2">y</a><a name=n><a href=/1><svg><a xlink:href=/3></svg>')
-    assert page_links(page, "https://h.org/") == [
-        "https://h.org/1", "https://h.org/2?a=1&b=2", "https://h.org/1", "https://h.org/3",
+def test_titles(spark):
+    more = [
+        ("<html><!-- <title>no</title> --><script>'<title>no</title>'</script><title>yes</title>", "yes"),
+        ("<html><a title='<title>no</title>'><TITLE lang=x>Yes</TITLE >", "Yes"),
+        ("<html><template><template></template><title>no</title></template><title>&#65;&#x42;&eacute&notit;&#128;&#0;</title>", "ABé¬it;€\ufffd"),
+        ("<html><select><title>no</title></select><title>a\0b\rc</title>", "ab\nc"), (None, None), ("<html><title/>x", "x"),
     ]
+    pages = spark.createDataFrame([(n, h, t) for n, (h, t) in enumerate([*TITLES, *more])], "n int, html string, title string")
+    found = pages.withColumn("found", title_of(page_tags(F.col("html")))).collect()
+    assert [(r.html, r.found) for r in found] == [(r.html, r.title) for r in found]
+
+
+def test_link_resolution(spark):
+    links = spark.createDataFrame([(h, x) for h, x in LINKS], "href string, link string")
+    found = links.withColumn("found", page_links(F.lit("http://h.org/a/b?q=1#top"), F.array("href"))).collect()
+    assert [(r.href, r.found) for r in found] == [(r.href, [r.link]) for r in found]
+
+
+def links_of(spark, html, url):
+    page = spark.createDataFrame([(html, url)], "html string, url string")
+    return page.select(page_links(F.col("url"), hrefs_of(page_tags(F.col("html"))))).first()[0]
+
+
+def test_links_keep_order_and_repeats(spark):
+    html = '<html><a href=/1>x</a><A HREF="/2?a=1&amp;b=2">y</a><a name=n><a href=/1><svg><a xlink:href=/3></svg><a xlink:href=/4>'
+    assert links_of(spark, html, "https://h.org/") == ["https://h.org/1", "https://h.org/2?a=1&b=2", "https://h.org/1", "https://h.org/3"]
+    hidden = "<html><!--<a href=/1>--><template><a href=/2></template><textarea><a href=/3></textarea><select><a href=/4></select><b title='<a href=/5>'>"
+    assert links_of(spark, hidden, "https://h.org/") is None
+    assert links_of(spark, "<html><a title='x>y' href=z>t</a><a href='", "https://h.org/") == ["https://h.org/z"]
 
 
 @pytest.mark.parametrize("url", ["", "dns:h.org", "not a url", "http:///", None])
-def test_no_links_without_a_base(url):
-    assert page_links(PageScan("<html><a href=/1>"), url) is None
+def test_no_links_without_a_base(spark, url):
+    assert links_of(spark, "<html><a href=/1>", url) is None
 
 
-def test_attribute_references():
-    page = PageScan('<html><a href="/?a&copy=1&copy2&copy;&ampx&#65;&amp">')
-    assert page.hrefs == ["/?a&copy=1&copy2©&ampxA&"]
+def test_attribute_references(spark):
+    page = spark.createDataFrame([('<html><a href="/?a&copy=1&copy2&copy;&ampx&#65;&amp">',)], "html string")
+    assert page.select(hrefs_of(page_tags(F.col("html")))).first()[0] == ["/?a&copy=1&copy2©&ampxA&"]
 
 
-@pytest.mark.parametrize(
-    "html",
-    ["<html>" + "<div><span>" * 100_000, "<html>" + "<p " * 100_000, "<html>" + "<!-- " * 100_000, "<html>" + "<" * 300_000],
-)
+HOSTILE = [
+    "<html>" + "<div><span>" * 100_000, "<html>" + "<p " * 100_000, "<html>" + "<!-- " * 100_000, "<html>" + "<" * 300_000,
+    "<html><p " + "a='b' " * 100_000 + "><title>t</title>", "<html>" + "<template>" * 20_000, "<html><title>" + "&amp" * 20_000,
+]
+
+
+@pytest.mark.parametrize("html", HOSTILE[:5])
 def test_hostile_pages_stay_linear(html):
     start = time.time()
     PageScan(html)
     assert time.time() - start < 10
+
+
+def test_parts_of_hostile_pages_stay_linear(spark):
+    pages = spark.createDataFrame([(h,) for h in HOSTILE], "html string").repartition(4)
+    start = time.time()
+    titles = {r[0] for r in pages.select(title_of(page_tags(F.col("html")))).collect()}
+    assert time.time() - start < 60 and titles == {None, "t", "&" * 20_000}
+
+
+def test_no_python_for_titles_and_links(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    plan = page_parts(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and "InArrow" not in plan

@@ -1,4 +1,4 @@
-"""Title, visible text, language and links of a page in one vectorised pass.
+"""Visible text and language of a page in one vectorised pass.
 
 The scan keeps only a stack of open element names, enough to know where an
 element ends when the page leaves that implied. It does not move misplaced
@@ -11,16 +11,14 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from html import unescape
-from html.entities import html5
 
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from webloom.functions.text import UNICODE_BLANKS
 from webloom.functions.trigrams import best_languages
-from webloom.functions.urls import BaseUrl
 
-PAGE_TYPE = "struct<title:string,text:string,lang:string,links:array<string>>"
+PAGE_TYPE = "struct<text:string,lang:string>"
 
 # Element groups of the HTML standard.
 BREAK_AFTER = {"br", "p", "div", "li"}
@@ -74,28 +72,6 @@ _MARKUP = re.compile(
     re.S,
 )
 _TEXT, _START, _ATTRS, _END, _STRAY = range(1, 6)  # groups of the pattern above
-_ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
-_REFERENCE = re.compile(r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]*;?)(=?)")
-
-
-def _attribute_text(value: str) -> str:
-    """Decode references as attributes do: ``&copy=1`` and ``&copyx`` stay as typed."""
-
-    def decode(found: re.Match) -> str:
-        name, equals = found.groups()
-        if name.startswith("#") or name.endswith(";") or (not equals and name in html5):
-            return unescape("&" + name) + equals
-        return found[0]
-
-    return _REFERENCE.sub(decode, value) if "&" in value else value
-
-
-def _href(attributes: str, foreign: int) -> str | None:
-    for found in _ATTRIBUTE.finditer(attributes):
-        name = found[1].lower()
-        if name == "href" or (foreign and name == "xlink:href"):
-            return _attribute_text(found[2] or found[3] or found[4] or "")
-    return None
 
 
 # The first markup, behind blanks and comments: a doctype without a public name (or with a strict one).
@@ -109,8 +85,6 @@ class PageScan:
     """One pass over a page's markup; results are left in the attributes."""
 
     def __init__(self, html: str):
-        self.title: str | None = None
-        self.hrefs: list[str] = []
         self._pieces: list[str] = []
         self._open: list[str] = []
         self._count: dict[str, int] = defaultdict(int)  # open elements by name, as pages may nest deeply
@@ -139,8 +113,6 @@ class PageScan:
             if kind == _TEXT or kind == _STRAY:
                 if not count["template"]:
                     text = unescape(found[0]) if "&" in found[0] else found[0]
-                    if self.title is None and open_ and open_[-1] == "title":
-                        self.title = text
                     pieces.append(text)
             elif kind == _END:
                 name = found[_END].lower()
@@ -184,8 +156,6 @@ class PageScan:
         if name not in NOT_VISIBLE and content and not self._count["template"]:
             if name in RAW_WITH_REFERENCES:
                 content = unescape(content)
-            if name == "title" and self.title is None:
-                self.title = content
             self._pieces.append(content)
         return end.end() if end else len(html)
 
@@ -195,10 +165,6 @@ class PageScan:
                 return
             self._end_implied(name)
         foreign = self._foreign
-        if name == "a" and not self._count["template"]:
-            href = _href(attributes, foreign)
-            if href is not None:
-                self.hrefs.append(href)
         if name in VOID or (foreign or name in ("svg", "math")) and attributes.endswith("/"):
             self._break_after(name)
         else:
@@ -277,41 +243,20 @@ class PageScan:
             self._pieces.append("\n")
 
 
-def page_links(scan: PageScan, url: str | None) -> list[str] | None:
-    """Links in page order, repeats kept; NULL when there are none."""
-    if not scan.hrefs:
-        return None
-    try:
-        base = BaseUrl(url or "")
-    except ValueError:
-        return None
-    return [base.resolve(href) for href in scan.hrefs]
-
-
 def page_udf(model=None):
-    """Arrow UDF ``(url, html) -> PAGE_TYPE``.
+    """Arrow UDF ``html -> PAGE_TYPE``; with a language model it also labels the text.
 
-    With a language model it also labels the text; links are then resolved for
-    every page all the same, as the gate on language is the caller's. Marked
-    non-deterministic so that the optimizer never runs it a second time for a
+    Marked non-deterministic so that the optimizer never runs it a second time for a
     filter on one of its fields.
     """
 
     @F.arrow_udf(PAGE_TYPE)
-    def parse(url: pa.Array, html: pa.Array) -> pa.Array:
+    def parse(html: pa.Array) -> pa.Array:
         pages = [PageScan(page) if page else None for page in html.to_pylist()]
         texts = [page.text or None if page else None for page in pages]
-        links = [page and page_links(page, one) for page, one in zip(pages, url.to_pylist())]
         langs = best_languages(texts, model) if model else [None] * len(texts)
         return pa.StructArray.from_arrays(
-            [
-                pa.array([page and page.title for page in pages], pa.string()),
-                pa.array(texts, pa.string()),
-                pa.array(langs, pa.string()),
-                pa.array(links, pa.list_(pa.string())),
-            ],
-            ["title", "text", "lang", "links"],
-            mask=pa.array([page is None for page in pages]),
+            [pa.array(texts, pa.string()), pa.array(langs, pa.string())], ["text", "lang"], mask=pa.array([page is None for page in pages])
         )
 
     return parse.asNondeterministic()

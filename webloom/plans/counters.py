@@ -28,7 +28,7 @@ def scan_counters(
     matching = F.coalesce(F.col("listed") & F.is_valid_utf8(text), F.lit(False))
     flagged = with_listed(records, allowlist, max_broadcast).withColumn("_matching", matching)
     page_text = flagged.withColumn("body_text", F.when(F.col("_matching"), text))
-    parsed = response_parts(page_text).withColumn("_page", page_udf(model)("target_uri", "html_body"))
+    parsed = response_parts(page_text).withColumn("_page", page_udf(model)("html_body"))
     return parsed.groupBy("file_id").agg(
         F.count(F.lit(1)).alias("read_ok"),
         F.count_if("_matching").alias("matching"),
