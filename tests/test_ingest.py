@@ -11,6 +11,7 @@ from test_sources import record
 from webloom import IndexStore, build_index, detect_language, filter_hosts, ingest_stream, parse_pages, train_language_model
 from webloom.plans.counters import scan_counters
 from webloom.sources.warc import archive_paths, read_warc, record_fields
+from webloom.streaming import ingest
 from webloom.streaming.ingest import ingest_archives, ingest_pending
 
 ENGLISH = "the quick brown fox jumps over the lazy dog while the children were watching them from the window of this house"
@@ -117,6 +118,32 @@ def test_stream_equals_batch_and_does_not_repeat(spark, crawl, model, tmp_path):
     assert as_dict(streamed.read()) == as_dict(everything)
 
 
+def test_stream_by_bytes_goes_on_where_it_was_stopped(spark, crawl, model, tmp_path, monkeypatch):
+    folder, allow = crawl
+    write_archive(folder, "c-00002.warc.gz", [record("http://b.org/2", page("Three", "the lazy dog"))])
+    store, batch = IndexStore(spark, str(tmp_path / "s")), IndexStore(spark, str(tmp_path / "b"))
+    whole, batches = ingest.ingest_archives, []
+
+    def stopped(store, archives, *others):
+        batches.append(archives.count())
+        if len(batches) == 2:
+            raise RuntimeError("driver lost")
+        return whole(store, archives, *others)
+
+    def run():
+        stream = ingest.ingest_stream(spark, str(folder), store, str(tmp_path / "c"), allow, None, model, max_bytes=10)
+        stream.awaitTermination()
+
+    monkeypatch.setattr(ingest, "ingest_archives", stopped)
+    with pytest.raises(Exception, match="driver lost"):
+        run()
+    assert store.files().count() == 1
+    run()
+    assert batches == [1, 1, 1, 1]  # the second batch ran again
+    whole(batch, archive_paths(spark, str(folder)), allow, None, model)
+    assert as_dict(store.read()) == as_dict(batch.read()) and store.pending().count() == 0
+
+
 def test_archive_run_twice_counts_once(spark, crawl, model, tmp_path):
     folder, allow = crawl
     store = IndexStore(spark, str(tmp_path / "s"))

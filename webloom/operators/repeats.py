@@ -86,7 +86,7 @@ def repeated_keys(rows: DataFrame, key: str, order: tuple[str, ...], count: int
     with the rows. A filter that all rows would fill is not built.
     """
     count = rows.count() if count is None else count
-    rows = rows.select(key, *order)
+    rows = rows.select(key, *order).filter(F.col(key).isNotNull())
     if filter_from <= count <= MOST_BITS:
         rows = may_repeat(rows, key, min(MOST_BITS, max(FEWEST_BITS, 1 << (count * BITS_A_ROW - 1).bit_length())))
     versions = rows.groupBy(key).agg(F.max(F.struct(*order)).alias("_last"), F.count(F.lit(1)).alias("_versions"))

@@ -119,10 +119,11 @@ class IndexStore:
         frames = []
         for dead in (False, True):
             chosen = [s for s in segments if table in s["paths"] and bool(s["dead"].get(table)) == dead]
-            paths = [self._path(s, table) for s in chosen]
-            if files is not None:
-                paths = sorted(f for f in files if f.rpartition("/")[0] in {p.removeprefix(f"{self.root}/") for p in paths})
-                paths = [f"{self.root}/{f}" for f in paths]
+            folders = {s["paths"][table] for s in chosen}
+            if files is None:
+                paths = [self._path(s, table) for s in chosen]
+            else:
+                paths = [f"{self.root}/{f}" for f in sorted(files) if f.rpartition("/")[0] in folders]
             if paths and dead:
                 marked = self._without_replaced(self._scan(table, paths, True), head, table, chosen)
                 frames.append(marked if positions else marked.drop(*PLACE))
@@ -460,13 +461,22 @@ class IndexStore:
         rows = max(sum(s["rows"].get(t, 0) - s["dead"].get(t, 0) for s in chosen) for t in TABLES)
         self._write(merged, {t: self._live(base, t, chosen) for t in TABLES if any(t in s["paths"] for s in chosen)}, rows)
 
+        # the bitmaps of the segments that stay, as one table
+        left = [s["id"] for s in base["segments"] if s["id"] not in ids and s["dead"]]
+        folded = []
+        if left and base["deletes"]:
+            path = f"segments/{merged['id']}/deletes"
+            marks = self.spark.read.schema(DELETES).parquet(*[f"{self.root}/{d['path']}" for d in base["deletes"]])
+            marks = marks.filter(F.col("segment").isin(left)).groupBy("table", "segment", "file", "block").agg(F.bitmap_or_agg("bits").alias("bits"))
+            marks.withColumn("n", F.bitmap_count("bits")).write.parquet(f"{self.root}/{path}")
+            folded = [{"path": path, "segments": left}]
+
         def change(head: dict) -> dict:
             now = {s["id"]: s for s in head["segments"]}
             if any(s["id"] not in now or now[s["id"]]["dead"] != s["dead"] for s in chosen):
                 raise Conflict("rows were replaced during a merge")
             segments = [s for s in head["segments"] if s["id"] not in ids] + [merged]
-            left = {s["id"] for s in segments}
-            return head | {"segments": segments, "deletes": [d for d in head["deletes"] if left & {*d["segments"]}]}
+            return head | {"segments": segments, "deletes": folded + [d for d in head["deletes"] if d not in base["deletes"]]}
 
         return self._commit(change)
 

@@ -83,8 +83,10 @@ def lookup_join(rows: DataFrame, lookup: Lookup, key: str, rows_per_task: int =
         schema = f"`{key}` {rows.schema[key].dataType.simpleString()}, _copies long"
         hot = rows.sparkSession.createDataFrame(list(hot.items()), schema)
         copies = F.coalesce("_copies", F.lit(1).cast("long"))
+        # by what is in the row, so a task that runs again after a lost executor deals its rows alike
+        own = [name for name, kind in rows.dtypes if not kind.startswith("map")]
         dealt = keyed.join(F.broadcast(hot), key, "left").withColumn(
-            "_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), copies)
+            "_salt", F.pmod(F.xxhash64(F.spark_partition_id(), *own), copies)
         )
         copied = lookup.rows.join(F.broadcast(hot), key, "left").withColumn(
             "_salt", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1))

@@ -133,9 +133,12 @@ def ingest_stream(
     model: LanguageModel,
     max_files: int | None = None,
     file_id=lambda path: path,
+    max_bytes: int | None = None,
 ) -> StreamingQuery:
     """Structured Streaming over the archives of a folder; ends when none are left.
 
+    A batch takes at most ``max_files`` archives, or as many as fit into ``max_bytes``.
+
     The stream carries paths only and the checkpoint remembers them. A batch that
     is run again after a failure finds its own note in the store and stops.
     """
@@ -147,6 +150,8 @@ def ingest_stream(
     )
     if max_files:
         source = source.option("maxFilesPerTrigger", str(max_files))
+    if max_bytes:
+        source = source.option("maxBytesPerTrigger", str(max_bytes))
     paths = source.load(archive_dir).select(file_id(F.col("path")).alias("file_id"), "path")
 
     stream_name = hashlib.md5(checkpoint.encode()).hexdigest()
