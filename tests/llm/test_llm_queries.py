@@ -31,7 +31,7 @@ def db():
 
 def test_all_queries_are_registered():
     assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
-    assert {q.split("_")[0] for q in QUERIES} == {"pipeline", *(f"op{n}" for n in range(1, 11))}
+    assert {q.split("_")[0] for q in QUERIES} == {"pipeline", *(f"op{n}" for n in range(1, 14))}
 
 
 @pytest.mark.parametrize("name", SQL)
