@@ -1,11 +1,13 @@
 """Page parsing, one probe per rule."""
 
 import time
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from webloom.functions.html import PageScan
+from webloom.functions.html import PageScan, page_udf
 from webloom.functions.markup import hrefs_of, page_tags, title_of
 from webloom.functions.urls import page_links
 from webloom.plans.pages import page_parts
@@ -152,3 +154,15 @@ def test_no_python_for_titles_and_links(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     plan = page_parts(pages)._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan and "InArrow" not in plan
+
+
+def test_a_large_batch_of_pages_is_not_held_as_python_objects(spark):
+    pages = [f"<html><title>{n}</title><p>some <b>bold</b> text &amp; more" * 20 for n in range(1500)] + ["", None, "<p>"]
+    parse = page_udf().func
+    tracemalloc.start()
+    found = parse(pa.array(pages, pa.string()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1 << 20
+    assert found.to_pylist() == [{"text": PageScan(p).text or None, "lang": None} if p else None for p in pages]
+    assert len(parse(pa.array([], pa.string()))) == 0

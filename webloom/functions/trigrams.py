@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 
 BUCKETS = 4096  # a power of two; sums of three code points stay within 32 bits
+SLICE = 64  # texts of an Arrow batch that are Python objects at once
+
+
+def slices(*columns: pa.Array) -> Iterator[list]:
+    """Columns of an Arrow batch as lists, a few rows at a time; of several columns, tuples of a row each."""
+    for at in range(0, len(columns[0]), SLICE):
+        lists = [column.slice(at, SLICE).to_pylist() for column in columns]
+        yield lists[0] if len(lists) == 1 else list(zip(*lists))
 
 
 def trigram_buckets(text: str) -> np.ndarray:

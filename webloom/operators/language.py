@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webloom.functions.trigrams import BUCKETS, best_languages, trigram_buckets
+from webloom.functions.trigrams import BUCKETS, best_languages, slices, trigram_buckets
 
 WEIGHT_SCALE = 1000
 MAX_LANGUAGES = 256
@@ -31,7 +32,7 @@ def trigram_counts(labelled: DataFrame, text: str = "text", lang: str = "lang")
     def count(batches):
         for batch in batches:
             totals: dict[str, np.ndarray] = {}
-            for label, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for label, value in chain.from_iterable(slices(batch.column(0), batch.column(1))):
                 if label is not None and value:
                     sums = totals.setdefault(label, np.zeros(BUCKETS, np.int64))
                     sums += np.bincount(trigram_buckets(value), minlength=BUCKETS)
@@ -83,6 +84,7 @@ def detect_language(text: Column, model: LanguageModel) -> Column:
 
     @F.arrow_udf("string")
     def label(texts: pa.Array) -> pa.Array:
-        return pa.array(best_languages(texts.to_pylist(), model), pa.string())
+        labels = chain.from_iterable(best_languages(some, model) for some in slices(texts))
+        return pa.array(list(labels), pa.string())
 
     return label(text)
