@@ -5,10 +5,12 @@ import io
 import os
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from webloom import lemma_dictionary, lemmatise, read_lines, register_warc_source, scan_archives, site_allowlist
 from webloom.operators.hosts import filter_hosts
+from webloom.operators.lemmas import counted_words, frequent_from, lemmatise_rows
 from webloom.sources.lines import file_number, first_lines
 from webloom.sources.warc import archive_paths, iter_records, read_warc, record_fields, split_path
 
@@ -75,6 +77,37 @@ def test_lemmatise_keeps_order_and_repeats_on_either_path(spark, bound):
     ]
 
 
+def test_frequent_words_do_not_shuffle_with_a_large_dictionary(spark):
+    """Rare words, frequent ones with and without a lemma, and none: all rows once, and frequent ones not moved."""
+    dictionary = spark.createDataFrame([(f"w{n}", f"l{n}") for n in range(40)] + [("was", "be")], "word string, lemma string")
+    words = ["was", "the", None] * 100 + [f"w{n}" for n in range(60)] + ["w1", "w59"]
+    rows = spark.createDataFrame(list(enumerate(words)), "n int, word string")
+    joined = lemmatise_rows(rows, dictionary, 3)
+    lemmas = {f"w{n}": f"l{n}" for n in range(40)} | {"was": "be"}
+    assert sorted(map(str, joined.select("n", "word").collect())) == sorted(
+        str(Row(n=n, word=lemmas.get(w, w))) for n, w in enumerate(words)
+    )
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "LeftOuter, BuildRight" in plan and "LeftAnti, BuildRight" in plan
+    counts, present = counted_words(rows, dictionary)
+    assert counts.count() == 62 and present.count() == 41
+    assert [frequent_from(counts, most) for most in (1, 3, 4, 62)] == [None, 64, 2, 1]
+
+
+def test_only_the_needed_part_of_a_large_dictionary_is_broadcast(spark):
+    dictionary = spark.range(1000).selectExpr("'w' || id AS word", "'l' || id AS lemma")
+    rows = spark.createDataFrame([(n, f"w{n % 3 * 600}") for n in range(90)] + [(90, None)], "n int, word string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lemmatise_rows(rows, dictionary, 10)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert {(r.n, r.word) for r in joined.collect()} == {(n, ["l0", "l600", "w1200"][n % 3]) for n in range(90)} | {(90, None)}
+
+
 def record(uri, body, **headers):
     lines = [b"WARC/1.0", b"WARC-Type: response"]
     lines += [f"WARC-Target-URI: {uri}".encode()] if uri else []
