@@ -32,9 +32,17 @@ class IngestReport:
     files_left: int
 
 
+ROUNDS = 4  # tasks of a scan for each core
+
 _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
+def scan_tasks(archives: DataFrame) -> int:
+    """Tasks that read a batch: one for each archive, or ``ROUNDS`` for each core if that is fewer. A task has a fixed
+    cost and leaves a file, which would add up to more than the reading of many small archives."""
+    return max(1, min(archives.count(), ROUNDS * archives.sparkSession.sparkContext.defaultParallelism))
+
+
 def ingest_archives(
     store: IndexStore,
     archives: DataFrame,
@@ -55,7 +63,7 @@ def ingest_archives(
     spark = store.spark
     read, kept_counts, parsed_counts = Observation(), Observation(), Observation()
     good, unread = F.col("_corrupt_record").isNull(), F.col("_corrupt_record").startswith(UNREADABLE)
-    scanned = scan_archives(archives, report_unreadable=True).observe(
+    scanned = scan_archives(archives, tasks=scan_tasks(archives), report_unreadable=True).observe(
         read, F.count_if(good).alias("good"), F.count_if(~good & ~unread).alias("damaged")
     )
     listed = with_listed(record_fields(scanned, "_corrupt_record"), allowlist)
