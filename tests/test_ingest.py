@@ -1,6 +1,7 @@
 """Archives to a stored index: parsing plan, language gate, stream against batch."""
 
 import gzip
+import math
 import os
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from test_index import as_dict, rows
 from test_sources import record
 from webloom import IndexStore, build_index, detect_language, filter_hosts, ingest_stream, parse_pages, train_language_model
+from webloom.operators.language import language_weights, trigram_counts
 from webloom.plans.counters import scan_counters
 from webloom.sources.warc import archive_paths, read_warc, record_fields
 from webloom.streaming import ingest
@@ -247,3 +249,32 @@ def test_language_on_unseen_pages(spark):
     assert sum(expected == lang for expected, lang in found) >= 0.95 * len(found)
     empty = spark.createDataFrame([("",), (None,), ("x",)], "t string")
     assert [r[0] is None for r in empty.select(detect_language(F.col("t"), trained)).collect()] == [True, True, False]
+
+
+def test_model_is_trained_in_one_pass_over_the_text(spark):
+    texts = spark.createDataFrame([(ENGLISH, "en"), (GERMAN, "de"), (ENGLISH, None)], "text string, lang string")
+    counts = trigram_counts(texts)
+    weights = language_weights(counts)
+    assert weights._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    found = {(r.lang, r.bucket): r.weight for r in weights.collect()}
+    n = {(r.lang, r.bucket): r.n for r in counts.collect()}
+    total = {lang: sum(v for (k, _), v in n.items() if k == lang) for lang in ("en", "de")}
+    expected = {(k, b): v for (k, b), v in n.items()} | {(k, -1): 0 for k in total}
+    assert found == {(k, b): round(1000 * math.log((v + 1) / (total[k] + 4096))) for (k, b), v in expected.items()}
+
+
+def test_small_archives_share_tasks(spark, crawl, model, tmp_path):
+    folder, allow = crawl
+    for n in range(2, 30):
+        write_archive(folder, f"c-{n:05}.warc.gz", [record(f"http://a.org/x{n}", page("More", "the dog of the children"))])
+    archives = archive_paths(spark, str(folder))
+    most = ingest.ROUNDS * spark.sparkContext.defaultParallelism
+    assert archives.count() == 30 > most == ingest.scan_tasks(archives)
+    assert ingest.scan_tasks(archives.limit(1)) == ingest.scan_tasks(archives.limit(0)) == 1
+    scanned = ingest.scan_archives(archives, tasks=most)
+    found = scanned.groupBy(F.spark_partition_id()).agg(F.count_distinct("file_id").alias("n")).collect()
+    assert len(found) == most and {r["n"] for r in found} <= {30 // most, 30 // most + 1}
+    store = IndexStore(spark, str(tmp_path / "packed"))
+    report = ingest_archives(store, archives, allow, None, model)
+    assert (report.records_read, report.files_left) == (9 + 28, 0)
+    assert {"http://a.org/x2", "http://a.org/x29"} <= {r.url for r in store.read().websites.collect()}

@@ -49,13 +49,15 @@ def trigram_counts(labelled: DataFrame, text: str = "text", lang: str = "lang")
 
 def language_weights(counts: DataFrame) -> DataFrame:
     """``(lang, bucket, weight)``: smoothed log share of each bucket, scaled to an
-    integer so that sums are exact. Bucket -1 holds the weight of unseen ones."""
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    floors = totals.select("lang", F.lit(-1).alias("bucket"), F.lit(0).cast("long").alias("n"), "total")
-    seen = counts.join(totals, "lang").select("lang", "bucket", "n", "total")
+    integer so that sums are exact. Bucket -1 holds the weight of unseen ones. The counts are worked out once: a language
+    is one row of at most ``BUCKETS`` of them."""
+    unseen = F.array(F.struct(F.lit(-1).alias("bucket"), F.lit(0).cast("long").alias("n")))
+    found = F.collect_list(F.struct(F.col("bucket").cast("int").alias("bucket"), F.col("n").cast("long").alias("n")))
+    languages = counts.groupBy("lang").agg(F.sum("n").alias("total"), found.alias("found"))
+    known = F.when(F.col("lang").isNotNull(), F.concat(unseen, "found")).otherwise(unseen)
     share = (F.col("n") + 1.0) / (F.col("total") + float(BUCKETS))
     weight = F.round(F.lit(float(WEIGHT_SCALE)) * F.log(share)).cast("long")
-    return seen.unionByName(floors).select("lang", "bucket", weight.alias("weight"))
+    return languages.select("lang", "total", F.inline(known)).select("lang", "bucket", weight.alias("weight"))
 
 
 def load_language_model(weights: DataFrame) -> LanguageModel:
