@@ -571,6 +571,57 @@ def test_repeated_lines_equal_brute_force(docs, empty):
     assert op6.repeated_passages(empty).count() == 0
 
 
+def test_loose_components_are_cut_by_the_index(spark, monkeypatch):
+    """Lines that share a passage collide in bands all together, though few of them are similar."""
+    passage = prose(60, 24).replace(".", "")
+    lines = [passage + " " + " ".join(f"x{n}y{m}" for m in range(16)) for n in range(1400)]
+    near = {n: lines[n].replace(f"x{n}y15", f"other{n}") for n in range(0, 1400, 200)}
+    texts = [*enumerate(lines), *((5000 + n, t) for n, t in near.items())]
+    groups = []
+    within = op6.links_within
+    monkeypatch.setattr(op6, "links_within", lambda t, sized, *rest: groups.append(sized) or within(t, sized, *rest))
+    found = op6.repeated_passages(spark.createDataFrame(texts, "doc_id bigint, text string")).filter("whole_line").collect()
+    assert {(r.doc_id, r.removed) for r in found} == {(n, False) for n in near} | {(5000 + n, True) for n in near}
+    assert len({r.cluster_id for r in found}) == len(near)
+    assert groups[0].groupBy("c").count().agg(F.max("count")).first()[0] < 100
+
+
+def test_finer_groups_lose_no_link(spark):
+    texts = [(n, prose(n // 3, 14) + f" one{n} " + prose(500 + n // 3, 8)) for n in range(60)] + [(100 + n, prose(900, 10 + n % 4)) for n in range(40)] + [(200, "a")]
+    links = {(a, b) for (a, s), (b, t) in combinations(texts, 2) if 10 * len(shingles(s, 3) & shingles(t, 3)) >= 6 * len(shingles(s, 3) | shingles(t, 3))}
+    assert len(links) > 50
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+    sized = spark.createDataFrame([(d, len(shingles(t, 3)), 1 if d < 200 else 2) for d, t in texts], "doc_id bigint, n_shingles bigint, c bigint")
+    sizes = {}
+    for block_sets in (16, 1000):
+        finer = op3.finer_groups(frame, sized, 3, 6, 10, block_sets)
+        of = {r.doc_id: r.c for r in finer.collect()}
+        assert all(of[a] == of[b] for a, b in links) and of[200] == 2
+        sizes[block_sets] = max(Counter(of.values()).values())
+        comp = {r.node: r.component for r in op6.components(op3.links_within(frame, finer, 3, 6, 10)).collect()}
+        expected = components_by_hand([d for d, _ in texts], links)
+        assert all((comp.get(a, a) == comp.get(b, b)) == (expected[a] == expected[b]) for (a, _), (b, _) in combinations(texts, 2))
+    assert sizes[1000] == 100 and sizes[16] < 100
+
+
+def test_rows_without_a_doc_id_keep_their_own_lines(spark, monkeypatch):
+    """The lines of many rows that share a null doc_id are cut out of the row that has them, once."""
+    cut = []
+    texts = [(None, prose(n, 12) + "\n" + prose(1000 + n, 12)) for n in range(40)] + [(n, prose(n, 12)) for n in range(40)] + [(3, prose(3, 12))]
+
+    def stored(df, keep=op6.stored):
+        out = keep(df)
+        if out.columns == ["doc_id", "text"]:
+            cut.append((out.count(), out.select("doc_id").distinct().count()))
+        return out
+
+    monkeypatch.setattr(op6, "stored", stored)
+    near = [(None if d is None else d + 100, "\n".join(x.replace(" w", " zz w", 1) for x in t.split("\n"))) for d, t in texts]
+    found = op6.repeated_passages(spark.createDataFrame(texts + near, "doc_id bigint, text string")).collect()
+    assert len(cut) == 1 and cut[0][0] == cut[0][1] > 0
+    assert {r.doc_id for r in found if r.whole_line and not r.removed} >= set(range(40))
+
+
 def test_passage_within_longer_lines_is_found(spark):
     passage = ". ".join(prose(n, 12).replace(".", "") for n in range(50, 55)) + "."
     texts = [(1, prose(1, 40) + ". " + passage + " " + prose(2, 40)), (2, prose(3, 70) + ". " + passage), (3, prose(4, 80))]

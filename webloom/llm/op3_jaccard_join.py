@@ -56,13 +56,19 @@ LIST_BLOCK = 64  # positions in a block of an inverted list
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct k-gram hashes of each text, sorted, with their rows. A text of fewer words is one gram."""
     words = Words(data, offsets, NOT_BLANK)
-    hashes = words.hashes()
-    at = np.flatnonzero(within_rows(words.rows, k))
-    grams, rows = [gram_hashes(hashes, k)[at]], [words.rows[at]]
+    return gram_sets(words.hashes(), words.firsts, k)
+
+
+def gram_sets(hashes: np.ndarray, firsts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """``shingle_sets`` of texts whose words' hashes are ``hashes[firsts[r] : firsts[r + 1]]``."""
+    counts = np.diff(firsts)
+    of = np.repeat(np.arange(len(counts)), counts)
+    at = np.flatnonzero(within_rows(of, k))
+    grams, rows = [gram_hashes(hashes, k)[at]], [of[at]]
     for few in range(1, k):
-        short = np.flatnonzero(words.counts == few)
+        short = np.flatnonzero(counts == few)
         if len(short):
-            grams.append(gram_hashes(hashes[words.firsts[short][:, None] + np.arange(few)].T, few)[0])
+            grams.append(gram_hashes(hashes[firsts[short][:, None] + np.arange(few)].T, few)[0])
             rows.append(short)
     grams, rows = np.concatenate(grams), np.concatenate(rows)
     order = np.lexsort((grams, rows))
@@ -382,31 +388,53 @@ def group_links(sets: list[np.ndarray], side: np.ndarray, num: int, den: int) ->
     return links
 
 
-def _group(ids: np.ndarray, texts: list[str], sides: np.ndarray, k: int, num: int, den: int) -> pa.RecordBatch:
+def _pair_links(one: np.ndarray, other: np.ndarray, side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """``group_links`` of two sets, which most groups are."""
+    if side[0] == side[1] != 2:
+        return []
+    both = np.concatenate((one, other))
+    both.sort()
+    overlap = np.count_nonzero(both[1:] == both[:-1])
+    return [(1, 0)] if overlap * (num + den) >= num * len(both) else []
+
+
+def _group(groups: list[tuple[list, list, list]], k: int, num: int, den: int) -> pa.RecordBatch:
+    """Links of groups (ids, texts, sides), whose sets are made at once."""
     sets: list[np.ndarray] = []
-    for _, n, data, offsets in text_slices(pa.array(texts, pa.large_string()), SLICE_BYTES):
+    for _, n, data, offsets in text_slices(pa.array([t for _, texts, _ in groups for t in texts], pa.large_string()), SLICE_BYTES):
         grams, rows = shingle_sets(data, offsets, k)
         sets += np.split(grams, np.cumsum(np.bincount(rows, minlength=n))[:-1])
-    links = group_links(sets, sides, num, den)
-    a = pa.array([int(ids[x]) for x, _ in links], pa.int64())
-    return pa.RecordBatch.from_arrays([a, pa.array([int(ids[y]) for _, y in links], pa.int64())], ["a", "b"])
+    a, b, at = [], [], 0
+    for ids, _, sides in groups:
+        own, side = sets[at : at + len(ids)], np.array(sides)
+        at += len(ids)
+        for x, y in _pair_links(*own, side, num, den) if len(ids) == 2 else group_links(own, side, num, den):
+            a.append(ids[x])
+            b.append(ids[y])
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def _groups(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by group; a group may span batches."""
-    key, ids, texts, sides = None, [], [], []
+    """Rows come sorted by group; a group may span batches. Small groups are taken many at a time."""
+    key, group, size, ready, held = None, ([], [], []), 0, [], 0
     for batch in batches:
         rows = batch.to_pydict()
         for c, i, j, doc, text, side in zip(*(rows[x] for x in ("c", "i", "j", "doc_id", "text", "side")), strict=True):
             if (c, i, j) != key:
-                if len(ids) > 1:
-                    yield _group(np.array(ids), texts, np.array(sides), k, num, den)
-                key, ids, texts, sides = (c, i, j), [], [], []
-            ids.append(doc)
-            texts.append(text)
-            sides.append(side)
-    if len(ids) > 1:
-        yield _group(np.array(ids), texts, np.array(sides), k, num, den)
+                if len(group[0]) > 1:
+                    if ready and held + size > SLICE_BYTES:
+                        yield _group(ready, k, num, den)
+                        ready, held = [], 0
+                    ready.append(group)
+                    held += size
+                key, group, size = (c, i, j), ([], [], []), 0
+            for values, value in zip(group, (doc, text, side), strict=True):
+                values.append(value)
+            size += len(text or "")
+    if len(group[0]) > 1:
+        ready.append(group)
+    if ready:
+        yield _group(ready, k, num, den)
 
 
 def _band(size: str, num: int, den: int) -> Column:
@@ -544,6 +572,40 @@ def links_within(
     )
 
 
+def possible_groups(
+    docs: DataFrame, k: int, num: int, den: int, hot: np.ndarray, block_sets: int = BLOCK_SETS, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """``doc_id, c``: groups in which all links of the documents are, by index entries and bitmaps. Others have no link."""
+    entered = docs.mapInArrow(partial(_entries, k=k, num=num, den=den, hot=hot), "entry bigint, doc_id bigint")
+    met = entered.repartition("entry").sortWithinPartitions("entry", "doc_id").mapInArrow(_meetings, "g bigint, doc_id bigint")
+    met = stored(met.distinct())
+    ids = stored(met.select("doc_id").distinct())
+    maps = join_checked(docs, ids, ["doc_id"]).mapInArrow(partial(_bitmaps, k=k), "doc_id bigint, n bigint, bits binary")
+    members = components(meeting_links(met, stored(maps), num, den, block_sets, block_bytes))
+    return stored(members.withColumnsRenamed({"node": "doc_id", "component": "c"}))
+
+
+def finer_groups(
+    docs: DataFrame, sized: DataFrame, k: int, num: int, den: int, block_sets: int = BLOCK_SETS, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """``sized`` (as in ``links_within``) with groups of more than a block replaced by their ``possible_groups``.
+
+    For groups made of loose links, which grow together with the data though few of their sets are similar:
+    all their blocks would meet. No link within a group is lost; sets that have none go.
+    """
+    large = stored(
+        sized.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("w"))
+        .filter((F.col("n") > block_sets) | (F.col("w") * 8 > block_bytes)).select("c")
+    )
+    if large.isEmpty():
+        return sized
+    loose = stored(join_checked(sized, large, ["c"]).select("doc_id", "n_shingles"))
+    texts = stored(join_checked(docs, loose.select("doc_id").distinct(), ["doc_id"]))
+    hot = frequent_counters(texts.mapInArrow(partial(_sets, k=k), _SET).filter("counter IS NOT NULL"))
+    finer = join_checked(loose, possible_groups(texts, k, num, den, hot, block_sets, block_bytes), ["doc_id"])
+    return join_checked(sized, large, ["c"], "left_anti").select("doc_id", "n_shingles", "c").unionByName(finer)
+
+
 def similar_groups(
     docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, block_sets: int = BLOCK_SETS,
     block_bytes: int = BLOCK_BYTES,
@@ -563,16 +625,9 @@ def similar_groups(
     reps = classes.select(F.col("rep").alias("doc_id")).distinct()
     others = stored(usable.select("doc_id").join(reps, "doc_id", "left_anti").distinct())
     going = join_checked(docs.filter(F.col("doc_id").isNotNull()), others, ["doc_id"], "left_anti")
-    entered = going.mapInArrow(partial(_entries, k=k, num=num, den=den, hot=hot), "entry bigint, doc_id bigint")
-    met = entered.repartition("entry").sortWithinPartitions("entry", "doc_id").mapInArrow(_meetings, "g bigint, doc_id bigint")
-    met = stored(met.distinct())
-    ids = stored(met.select("doc_id").distinct())
-    maps = join_checked(going, ids, ["doc_id"]).mapInArrow(partial(_bitmaps, k=k), "doc_id bigint, n bigint, bits binary")
-    members = stored(components(meeting_links(met, stored(maps), num, den, block_sets, block_bytes)))
+    members = possible_groups(going, k, num, den, hot, block_sets, block_bytes)
 
-    sized = join_checked(
-        sets.select("doc_id", "n_shingles"), members.withColumnsRenamed({"node": "doc_id", "component": "c"}), ["doc_id"]
-    )
+    sized = join_checked(sets.select("doc_id", "n_shingles"), members, ["doc_id"])
     links = links_within(docs.filter(F.col("doc_id").isNotNull()), sized, k, num, den, block_sets, block_bytes)
     found = components(links).withColumnsRenamed({"node": "rep", "component": "component_id"})
     named = stored(

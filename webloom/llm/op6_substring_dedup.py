@@ -5,8 +5,9 @@ follow until there are as many words; at the end of a text the last lines that h
 whole. So every line is in a paragraph. Each gets MinHash values over its
 five-word shingles, in bands whose number and width are tuned for a stated recall at the
 similarity. Paragraphs that collide in a band are linked to the least of them, and within the components of
-these links exact Jaccard similarity decides, by the blockwise local join of sets. What is
-similar enough is clustered by connected components. Sentences of longer lines take part by
+these links exact Jaccard similarity decides, by the blockwise local join of sets. Bands let pairs of little
+similarity pass, so components grow together with the data; one of more than a block of sets is first cut into the groups
+that the exact index of ``op3`` leaves of it. What is similar enough is clustered by connected components. Sentences of longer lines take part by
 equality alone, so that a passage is found where another line has more around it.
 
 In a cluster the first place (least document, then start) stays and all others are to be
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webloom.llm.components import components
-from webloom.llm.op3_jaccard_join import links_within, shingle_sets
+from webloom.llm.op3_jaccard_join import finer_groups, gram_sets, links_within
 from webloom.llm.storage import join_checked, small, stored
 from webloom.llm.words import NOT_BLANK, U64, Words, mix, text_slices
 
@@ -38,6 +40,7 @@ SHINGLE = 5
 NUM, DEN = 8, 10  # similarity
 RECALL, CHANCE_AT, CHANCE = 0.999, 0.3, 0.5
 LAST = (1 << 63) - 1
+_PLACES = Decimal(1 << 50)  # more than a text has places
 
 
 def tune_bands(similarity: float = NUM / DEN, recall: float = RECALL) -> tuple[int, int]:
@@ -66,7 +69,7 @@ def bands_of(grams: np.ndarray, rows: np.ndarray, n: int, bands: int, width: int
     return out
 
 
-_UNIT = "doc bigint, first bigint, behind bigint, n_words bigint, line boolean, banded boolean, node bigint, n_shingles bigint, bands array<bigint>"
+_UNIT = "doc bigint, key bigint, first bigint, behind bigint, n_words bigint, line boolean, banded boolean, node bigint, n_shingles bigint, bands array<bigint>"
 
 
 def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -109,38 +112,42 @@ def _gathered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[n
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bands, width = tune_bands()
     for batch in batches:
-        docs = batch.column("doc").to_numpy(zero_copy_only=False).astype(np.int64)
+        docs, keys = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("doc", "key"))
         for row, n, data, offsets in text_slices(batch.column("text")):
             if not len(data):
                 continue
             starts, ends, texts, line = units(data, offsets)
+            # a unit is a run of words, as its ends are at blanks or ends of texts
+            words = Words(data, offsets, NOT_BLANK)
+            hashes = words.hashes()
+            w_first, w_end = np.searchsorted(words.starts, starts), np.searchsorted(words.starts, ends)
             n_lines = int(line.sum())
-            counts = Words(*_gathered(data, starts[:n_lines], ends[:n_lines]), NOT_BLANK).counts
-            first, last = short_line_runs(texts[:n_lines], counts)
+            first, last = short_line_runs(texts[:n_lines], (w_end - w_first)[:n_lines])
             starts, ends, texts = np.r_[starts, starts[first]], np.r_[ends, ends[last]], np.r_[texts, texts[first]]
+            w_first, w_end = np.r_[w_first, w_first[first]], np.r_[w_end, w_end[last]]
+            counts = w_end - w_first
             run = np.arange(len(starts)) >= len(line)
             line = np.r_[line, np.zeros(len(first), bool)]
-            words = Words(*_gathered(data, starts, ends), NOT_BLANK)
-            hashes = words.hashes()
             # a digest of all words of a unit: their hashes, each with its place
-            place = np.arange(len(hashes)) - words.firsts[words.rows]
+            own, firsts = _gathered(hashes, w_first, w_end)
+            place = np.arange(len(own)) - np.repeat(firsts[:-1], counts)
             node = np.zeros(len(starts), U64)
-            np.add.at(node, words.rows, mix(hashes + mix(place.astype(U64))))
-            node = mix(node + words.counts.astype(U64))
-            used = np.flatnonzero((words.counts >= LEAST_WORDS) | run)
+            np.add.at(node, np.repeat(np.arange(len(starts)), counts), mix(own + mix(place.astype(U64))))
+            node = mix(node + counts.astype(U64))
+            used = np.flatnonzero((counts >= LEAST_WORDS) | run)
             banded = line | run
             lines = used[banded[used]]
-            grams, of = shingle_sets(*_gathered(data, starts[lines], ends[lines]), SHINGLE)
+            grams, of = gram_sets(*_gathered(hashes, w_first[lines], w_end[lines]), SHINGLE)
             values = bands_of(grams, of, len(lines), bands, width).view(np.int64)
             sizes, has = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
             sizes[lines], has[lines] = np.bincount(of, minlength=len(lines)), bands
             chars = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
             base = chars[offsets[texts]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(docs[row + texts[used]]), pa.array((chars[starts] - base)[used]), pa.array((chars[ends] - base)[used]),
-                 pa.array(words.counts[used]), pa.array(line[used]), pa.array(banded[used]), pa.array(node[used].view(np.int64)), pa.array(sizes[used]),
+                [pa.array(docs[row + texts[used]]), pa.array(keys[row + texts[used]]), pa.array((chars[starts] - base)[used]), pa.array((chars[ends] - base)[used]),
+                 pa.array(counts[used]), pa.array(line[used]), pa.array(banded[used]), pa.array(node[used].view(np.int64)), pa.array(sizes[used]),
                  pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(has[used])].astype(np.int32)), pa.array(values.ravel()))],
-                ["doc", "first", "behind", "n_words", "line", "banded", "node", "n_shingles", "bands"],
+                ["doc", "key", "first", "behind", "n_words", "line", "banded", "node", "n_shingles", "bands"],
             )
 
 
@@ -158,7 +165,10 @@ def _line_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """One row per place of each cluster of two or more: ``doc_id, start, end`` (code points),
     ``n_words, whole_line, cluster_id, removed``."""
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"), "text")
+    # key tells rows without a doc_id, or that repeat one, apart by their text
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"), "text", F.xxhash64("text").alias("key"))
+    again = stored(docs.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc"))
+    repeat = not again.isEmpty()
     found = stored(docs.mapInArrow(_units, _UNIT))
     nodes = stored(
         found.groupBy("node").agg(
@@ -175,16 +185,15 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     groups = stored(components(met.select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()))
     sized = join_checked(nodes.select("node", "n_shingles", "doc"), groups, ["node"]).withColumnRenamed("component", "c")
     # the text of each, from its first document
-    places = join_checked(found.filter("banded").select("node", "doc", "first", "behind"), sized.select("node", "doc"), ["node", "doc"])
-    places = places.groupBy("doc", "node").agg(F.min(F.struct("first", "behind")).alias("p"))
-    wanted = stored(places.groupBy("doc").agg(F.collect_list(F.struct("node", "p.first", "p.behind")).alias("wanted")))
+    places = join_checked(found.filter("banded").select("node", "doc", "key", "first", "behind"), sized.select("node", "doc"), ["node", "doc"])
+    places = places.groupBy("doc", "node").agg(F.min(F.struct("first", "behind", "key")).alias("p"))
+    wanted = stored(places.groupBy("doc", "p.key").agg(F.collect_list(F.struct("node", "p.first", "p.behind")).alias("wanted")))
     items = wanted.agg(F.coalesce(F.sum(F.size("wanted")), F.lit(0))).first()[0]
-    cut = docs.join(F.broadcast(wanted) if items <= 1_000_000 else wanted, "doc")
-    texts = stored(cut.select("text", "wanted").mapInArrow(_line_texts, "doc_id bigint, text string"))
-    links = links_within(
-        texts, sized.select(F.col("node").alias("doc_id"), "n_shingles", "c"), SHINGLE, NUM, DEN
-    )
-    near = stored(components(links))
+    cut = docs.join(F.broadcast(wanted) if items <= 1_000_000 else wanted, ["doc", "key"])
+    texts = cut.select("text", "wanted").mapInArrow(_line_texts, "doc_id bigint, text string")
+    texts = stored(texts.dropDuplicates(["doc_id"]) if repeat else texts)
+    sized = finer_groups(texts, sized.select(F.col("node").alias("doc_id"), "n_shingles", "c"), SHINGLE, NUM, DEN)
+    near = stored(components(links_within(texts, sized, SHINGLE, NUM, DEN)))
 
     repeated = nodes.filter("n > 1").select("node").unionByName(near.select("node")).distinct()
     named = stored(
@@ -192,12 +201,19 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     )
     places = stored(
         join_checked(found.select("doc", "first", "behind", "n_words", "line", "node"), named, ["node"])
-        .groupBy("doc", "first", "behind", "line", "cluster_id").agg(F.max("n_words").alias("n_words"))
+        .select("doc", "first", "behind", "line", "cluster_id", "n_words")
     )
-    first_doc = places.groupBy("cluster_id").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    first_doc = stored(first_doc)
-    kept = join_checked(places, first_doc.select("cluster_id", "doc"), ["cluster_id", "doc"]).groupBy("cluster_id").agg(
-        F.min("first").alias("kept_first"), F.first("doc").alias("kept_doc")
+    # the same place twice: only of documents with several rows
+    if repeat:
+        once = join_checked(places, again, ["doc"], "left_semi")
+        once = once.groupBy("doc", "first", "behind", "line", "cluster_id").agg(F.max("n_words").alias("n_words"))
+        places = stored(join_checked(places, again, ["doc"], "left_anti").unionByName(once))
+    # the first place as one number, which partial sums can hold
+    place = F.col("doc").cast("decimal(19,0)") * F.lit(_PLACES) + F.col("first").cast("decimal(16,0)")
+    kept = places.groupBy("cluster_id").agg(F.min(place).alias("kept"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    kept_first = F.pmod("kept", F.lit(_PLACES))
+    kept = kept.select(
+        "cluster_id", kept_first.cast("bigint").alias("kept_first"), ((F.col("kept") - kept_first) / F.lit(_PLACES)).cast("bigint").alias("kept_doc")
     )
     whole = join_checked(places, stored(kept), ["cluster_id"])
     return whole.select(
