@@ -49,6 +49,7 @@ MAPS = 200_000  # most bitmaps that are broadcast
 BLOCK_SETS = 1024
 BLOCK_BYTES = 6 << 20  # of text, of all sets in a block
 HUBS = 16  # sets of a cut group that all its blocks have, about
+LOOSE_BLOCKS = 16  # most blocks of a loose group that meet each other; index entries cost about as many rows a set
 BAND_STEP = 1 << 40
 LIST_BLOCK = 64  # positions in a block of an inverted list
 
@@ -588,15 +589,13 @@ def possible_groups(
 def finer_groups(
     docs: DataFrame, sized: DataFrame, k: int, num: int, den: int, block_sets: int = BLOCK_SETS, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """``sized`` (as in ``links_within``) with groups of more than a block replaced by their ``possible_groups``.
+    """``sized`` (as in ``links_within``) with groups of over ``LOOSE_BLOCKS`` blocks replaced by their ``possible_groups``.
 
     For groups made of loose links, which grow together with the data though few of their sets are similar:
     all their blocks would meet. No link within a group is lost; sets that have none go.
     """
-    large = stored(
-        sized.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("w"))
-        .filter((F.col("n") > block_sets) | (F.col("w") * 8 > block_bytes)).select("c")
-    )
+    blocks = F.greatest(F.count(F.lit(1)) / block_sets, F.sum("n_shingles") * 8 / block_bytes)
+    large = stored(sized.groupBy("c").agg(blocks.alias("blocks")).filter(F.col("blocks") > LOOSE_BLOCKS).select("c"))
     if large.isEmpty():
         return sized
     loose = stored(join_checked(sized, large, ["c"]).select("doc_id", "n_shingles"))

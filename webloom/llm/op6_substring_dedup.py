@@ -6,8 +6,8 @@ whole. So every line is in a paragraph. Each gets MinHash values over its
 five-word shingles, in bands whose number and width are tuned for a stated recall at the
 similarity. Paragraphs that collide in a band are linked to the least of them, and within the components of
 these links exact Jaccard similarity decides, by the blockwise local join of sets. Bands let pairs of little
-similarity pass, so components grow together with the data; one of more than a block of sets is first cut into the groups
-that the exact index of ``op3`` leaves of it. What is similar enough is clustered by connected components. Sentences of longer lines take part by
+similarity pass, so components grow together with the data; one of more than ``LOOSE_BLOCKS`` blocks of sets is first cut into the
+groups that the exact index of ``op3`` leaves of it. What is similar enough is clustered by connected components. Sentences of longer lines take part by
 equality alone, so that a passage is found where another line has more around it.
 
 In a cluster the first place (least document, then start) stays and all others are to be
